@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
+
 
 def _rows(df: DataFrame, items: str | Column | None) -> DataFrame:
     """``entity, item`` rows; ``items`` is an array column whose repeats inside a row count once."""
     if items is None:
         return df.select("entity", "item")
-    return df.select("entity", F.explode(row_distinct(items)).alias("item"))
+    return unnest(df, row_distinct(items), "entity")
 
 
 def row_distinct(items: str | Column) -> Column:
@@ -27,8 +29,7 @@ def count_items(df: DataFrame, items: str | Column | None = None) -> DataFrame:
 
 def parse(df: DataFrame, column: str = "bag") -> DataFrame:
     """Explode ``k:v,k:v`` texts to ``entity, item, cnt``; unreadable pairs are dropped."""
-    pairs = (df.select("entity", F.explode(F.split(column, ",")).alias("p"))
-             .select("entity", F.split("p", ":").alias("p")))
+    pairs = unnest(df, F.split(column, ","), "entity", name="p").select("entity", F.split("p", ":").alias("p"))
     return (pairs.select("entity", F.get("p", F.lit(0)).alias("item"),
                          F.get("p", F.lit(1)).try_cast("bigint").alias("cnt"))
             .filter((F.col("item") != "") & F.col("cnt").isNotNull()))
@@ -66,7 +67,7 @@ def union_sets(df: DataFrame, *arrays: str) -> DataFrame:
     many rows never meets in one task.
     """
     both = F.array_distinct(F.array_compact(F.concat(*[F.coalesce(F.col(a), F.array()) for a in arrays])))
-    return df.select("entity", F.explode(both).alias("item")).distinct()
+    return unnest(df, both, "entity").distinct()
 
 
 def daily_counts(df: DataFrame, day: str = "day") -> DataFrame:

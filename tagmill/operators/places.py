@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.functions.constants import UNKNOWN
 from tagmill.functions.normalize import bracket_list, fill_location
 from tagmill.operators import labels as label_ops
@@ -18,7 +19,7 @@ def match_set(*lists: str | Column) -> Column:
 
 def matches(df: DataFrame, *lists: str) -> DataFrame:
     """Distinct ``entity, wid`` rows; entities without any match disappear."""
-    return df.select("entity", F.explode(match_set(*lists)).alias("wid")).distinct()
+    return unnest(df, match_set(*lists), "entity", name="wid").distinct()
 
 
 def names_per_entity(matched: DataFrame, stores: DataFrame, known: DataFrame | None = None,

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.functions.constants import ENTROPY_EPSILON, MISSING_CLASS_COUNT, PROBABILITY_FLOOR
 from tagmill.functions.normalize import not_nullish, strip_quotes
 from tagmill.operators import labels as label_ops
@@ -19,18 +20,15 @@ def triples(df: DataFrame, labels: DataFrame, families: Mapping[str, str | Colum
     ``families`` maps a family name to an array-of-text column. All families
     come out of one scan and one label join. Items repeated in a row appear once.
     """
-    tagged = [
-        F.transform(
-            F.array_distinct(F.transform(F.array_compact(F.col(c) if isinstance(c, str) else c), strip_quotes)),
-            lambda item, family=family: F.struct(F.lit(family).alias("family"), item.alias("item")),
-        )
+    labelled = label_ops.attach(df, labels)
+    nested = F.array(*[
+        F.struct(F.lit(family).alias("family"),
+                 F.array_distinct(F.transform(F.col(c) if isinstance(c, str) else c, strip_quotes)).alias("items"))
         for family, c in families.items()
-    ]
-    nested = df.select("entity", F.concat(*[F.coalesce(t, F.array()) for t in tagged]).alias("__items"))
-    joined = label_ops.attach(nested, labels)
-    return (joined.select("entity", "label", F.explode("__items").alias("i"))
-            .select("i.family", "entity", "i.item", "label")
-            .filter(not_nullish("item")))
+    ])
+    per_family = unnest(labelled, nested, "entity", "label", name="f")
+    rows = unnest(per_family.select("entity", "label", "f.family", "f.items"), "items", "family", "entity", "label")
+    return rows.select("family", "entity", "item", "label").filter(not_nullish("item"))
 
 
 def class_counts(triples_: DataFrame, missing_class: int = MISSING_CLASS_COUNT,

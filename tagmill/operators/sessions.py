@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.functions.constants import RECORDS_PER_ENTITY
 from tagmill.functions.normalize import strip_quotes
 
@@ -25,7 +26,7 @@ def flatten_messages(messages: str | Column, session: str = "session", activitie
 
 def explode(df: DataFrame, messages: str = "messages", keep: tuple[str, ...] = ("entity",)) -> DataFrame:
     """One row per activity: ``keep..., name, start, duration, refer``."""
-    one = df.select(*keep, F.explode(flatten_messages(messages)).alias("a"))
+    one = unnest(df, flatten_messages(messages), *keep, name="a")
     return one.select(*keep, "a.name", "a.start", "a.duration", "a.refer")
 
 

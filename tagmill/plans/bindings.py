@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
+from tagmill.operators.labels import attach
 from tagmill.plans.registry import Tables
 
 # Item bought by a customer, label: is the account balance not negative.
@@ -49,8 +51,7 @@ WORDS_SQL = """
 
 def document_words(t: Tables) -> DataFrame:
     """``entity, item`` for each distinct word of each document."""
-    return t.documents.select(F.col("doc_id").alias("entity"),
-                              F.explode(F.array_distinct(F.split("text", " "))).alias("item"))
+    return unnest(t.documents.withColumnRenamed("doc_id", "entity"), F.array_distinct(F.split("text", " ")), "entity")
 
 
 def document_labels(t: Tables, column: str = "quality") -> DataFrame:
@@ -59,10 +60,8 @@ def document_labels(t: Tables, column: str = "quality") -> DataFrame:
 
 def word_triples(t: Tables) -> DataFrame:
     """Words of labelled documents; the label join runs before the text is split."""
-    from tagmill.operators.labels import attach
-
     labelled = attach(t.documents.select(F.col("doc_id").alias("entity"), "text"), document_labels(t), unique=True)
-    return labelled.select("entity", F.explode(F.array_distinct(F.split("text", " "))).alias("item"), "label")
+    return unnest(labelled, F.array_distinct(F.split("text", " ")), "entity", "label")
 
 
 def event_items(t: Tables) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.functions.hashing import fnv
 from tagmill.operators import bags, ranking, selection, sessions, simhash, vocab
 from tagmill.plans import bindings as b
@@ -220,8 +221,8 @@ WITH words AS (SELECT conv_id * 1000 + turn AS entity, unnest(string_split(text,
 vocab AS (SELECT item, row_number() OVER (ORDER BY item) AS idx FROM (SELECT DISTINCT item FROM words) AS d)
 SELECT entity, idx, CAST(COUNT(*) AS DOUBLE) AS val FROM words JOIN vocab USING (item) GROUP BY 1, 2""")
 def a16_within_row_counts(t: Tables) -> DataFrame:
-    words = t.conversations.select((F.col("conv_id") * 1000 + F.col("turn")).alias("entity"),
-                                   F.explode(F.split("text", " ")).alias("item"))
+    turns = t.conversations.withColumn("entity", F.col("conv_id") * 1000 + F.col("turn"))
+    words = unnest(turns, F.split("text", " "), "entity")
     return vocab.encode_long(words, vocab.build(words, 1), "count")
 
 
@@ -331,7 +332,7 @@ _DOC_TOKENS_SQL = ("SELECT doc_id AS entity, token, CAST(COUNT(*) AS DOUBLE) AS
 
 
 def _document_prints(t: Tables) -> DataFrame:
-    tokens = t.documents.select(F.col("doc_id").alias("entity"), F.explode(F.split("text", " ")).alias("token"))
+    tokens = unnest(t.documents.withColumnRenamed("doc_id", "entity"), F.split("text", " "), "entity", name="token")
     return simhash.simhash(tokens.withColumn("weight", F.lit(1.0)), 64)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.operators import vocab
 
 
@@ -74,8 +75,7 @@ def build(rows: DataFrame, start: int = 1, weighted: bool = True) -> tuple[DataF
 
     Gives ``(vocabulary(item, idx), entries(id, label, idx, val))`` in long form.
     """
-    pair = F.explode(F.split("bag", ",")).alias("pair")
-    parsed = rows.select("id", "label", pair).select(
+    parsed = unnest(rows, F.split("bag", ","), "id", "label", name="pair").select(
         "id", "label", F.get(F.split("pair", ":"), F.lit(0)).alias("item"),
         F.get(F.split("pair", ":"), F.lit(1)).try_cast("double").alias("weight"))
     if weighted:
