@@ -28,6 +28,9 @@ EMPTY_SEX = "性别为空"
 # Carrier codes of the carrier cohort.
 CARRIER_CODES = ("46001", "46006")
 
+# Fixed value: apps whose name contains this text are ignored.
+EXCLUDED_APP = "systemui"
+
 # Defaults of missing text columns and of failed lookups.
 MISSING_ENTITY = "TDID missing"
 MISSING_DISTRICT = "District missing"

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.functions.arrays import unnest
-from tagmill.functions.constants import RECORDS_PER_ENTITY
+from tagmill.functions.constants import EXCLUDED_APP, RECORDS_PER_ENTITY
 from tagmill.functions.normalize import strip_quotes
 
 
 def filter_valid(df: DataFrame, app: str = "app", activities: str = "activities",
-                 excluded: str = "systemui") -> DataFrame:
+                 excluded: str = EXCLUDED_APP) -> DataFrame:
     """Drop records without activities and records of system apps."""
     return df.filter((F.size(activities) > 0) & ~F.col(app).contains(excluded))
 
@@ -32,8 +32,11 @@ def explode(df: DataFrame, messages: str = "messages", keep: tuple[str, ...] = (
 
 def to_records(df: DataFrame, messages: str = "messages", app: str = "app") -> DataFrame:
     """One record per message package: ``entity, app, time, activities`` without system apps and empty ones."""
-    flat = df.select("entity", strip_quotes(app).alias("app"), "time", flatten_messages(messages).alias("activities"))
-    return filter_valid(flat)
+    # Asked of the nested form, so that flattening is not evaluated once more for the test.
+    any_named = F.exists(messages, lambda m: F.coalesce(
+        F.exists(m["session"]["activities"], lambda a: a["name"].isNotNull()), F.lit(False)))
+    kept = df.filter(any_named & ~F.col(app).contains(EXCLUDED_APP))
+    return kept.select("entity", strip_quotes(app).alias("app"), "time", flatten_messages(messages).alias("activities"))
 
 
 def cap_records(df: DataFrame, order_by: list[str], limit: int = RECORDS_PER_ENTITY) -> DataFrame:

@@ -17,6 +17,10 @@ from tagmill.operators import sessions, vocab
 # Sums closer to zero than this count as zero, so that the order in which
 # partial sums meet does not decide a bit.
 ZERO = 1e-9
+# Bits summed by one row of aggregates; wider fingerprints use several rows.
+CHUNK = 64
+# Entity-by-token weights of a batch are held as a dense matrix up to this size.
+_DENSE_CELLS = 2_000_000
 
 _cached_hash = lru_cache(maxsize=1 << 18)(fnv_value)
 
@@ -40,11 +44,20 @@ def _partial_sums(bits: int, variant: str):
             token, tokens = pd.factorize(batch["token"])
             signs = np.vstack([_signs(list(tokens), bits, variant), np.zeros((1, bits))]) if len(tokens) \
                 else np.zeros((1, bits))
-            order = np.argsort(owner, kind="stable")
+            weight = batch["weight"].to_numpy(np.float64)
             # Code -1 (NULL token) picks the appended zero row.
-            weighted = signs[token[order]] * batch["weight"].to_numpy(np.float64)[order, None]
-            starts = np.searchsorted(owner[order], np.arange(len(entities)))
-            yield pd.DataFrame({"entity": entities, "sums": list(np.add.reduceat(weighted, starts, axis=0))})
+            token = np.where(token < 0, len(tokens), token)
+            width = len(tokens) + 1
+            if len(entities) * width <= _DENSE_CELLS:
+                flat = np.bincount(owner * width + token, weight, minlength=len(entities) * width)
+                total = flat.reshape(len(entities), width) @ signs
+            else:
+                order = np.argsort(owner, kind="stable")
+                starts = np.searchsorted(owner[order], np.arange(len(entities)))
+                total = np.add.reduceat(signs[token[order]] * weight[order, None], starts, axis=0)
+            for chunk, first in enumerate(range(0, bits, CHUNK)):
+                yield pd.DataFrame({"entity": entities, "chunk": np.int32(chunk),
+                                    "sums": list(total[:, first:first + CHUNK])})
 
     return sums
 
@@ -64,11 +77,19 @@ def simhash(tokens: DataFrame, bits: int = 64, variant: str = "1a", colocate: bo
     rows = rows.filter(F.col("entity").isNotNull())
     if colocate:
         rows = rows.hint("rebalance", "entity").sortWithinPartitions("entity")
-    schema = T.StructType([rows.schema["entity"], T.StructField("sums", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([rows.schema["entity"], T.StructField("chunk", T.IntegerType()),
+                           T.StructField("sums", T.ArrayType(T.DoubleType()))])
     partial = rows.mapInPandas(_partial_sums(bits, variant), schema)
-    total = partial.groupBy("entity").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"b{i}") for i in range(bits)])
-    digits = [F.when(F.col(f"b{i}") >= -ZERO, F.lit("1")).otherwise(F.lit("0")) for i in range(bits)]
-    return total.select("entity", F.concat(*digits).alias("bits"))
+    width = min(bits, CHUNK)
+    total = partial.groupBy("entity", "chunk").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"b{i}") for i in range(width)])
+    # A position past the last bit has no sum and adds no digit.
+    digits = F.concat_ws("", *[F.when(F.col(f"b{i}") >= -ZERO, F.lit("1")).when(F.col(f"b{i}").isNotNull(), F.lit("0"))
+                               for i in range(width)])
+    pieces = total.select("entity", "chunk", digits.alias("bits"))
+    if bits <= CHUNK:
+        return pieces.select("entity", "bits")
+    ordered = F.sort_array(F.collect_list(F.struct("chunk", "bits")))
+    return pieces.groupBy("entity").agg(F.array_join(ordered.getField("bits"), "").alias("bits"))
 
 
 def to_indices(df: DataFrame, start: int = 0) -> DataFrame:

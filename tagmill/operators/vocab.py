@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagmill.functions.arrays import unnest
 from tagmill.operators import ranking
 
 # Broadcasting a vocabulary is only asked for up to this many rows
@@ -85,10 +86,21 @@ def _collapse(known: DataFrame, mode: str) -> DataFrame:
 
 def encode_with_tags_long(bags: DataFrame, vocab: DataFrame, tags: DataFrame, dim: int, mode: str = "binary",
                           rows: int | None = None) -> DataFrame:
-    """Own index of an item (if known) plus its tag indices shifted by ``dim + 1``."""
-    own = bags.join(bounded(vocab.select("item", "idx"), rows), "item", "inner").drop("item")
-    shifted = tags.withColumn("tags", F.transform("tags", lambda t: t + F.lit(dim + 1)))
-    return _collapse(own.unionByName(expand_tags(bags, shifted)), mode)
+    """Own index of an item (if known) plus its tag indices shifted by ``dim + 1``.
+
+    Bags collapse to one row per entity and item first, so an entity then has at
+    most as many rows as the dictionaries have items. Only those rows are
+    exchanged by entity; the longer expansion is summed where it is produced.
+    """
+    weight = F.col("cnt") if "cnt" in bags.columns else F.lit(1)
+    counted = bags.groupBy("entity", "item").agg(F.sum(weight).cast("bigint").alias("cnt"))
+    own = bounded(vocab.select("item", F.array("idx").alias("own")), rows)
+    known = counted.join(own, "item", "left").join(tags.select("item", "tags"), "item", "left")
+    shifted = F.transform("tags", lambda t: t + F.lit(dim + 1))
+    none = F.array().cast("array<int>")
+    indices = F.concat(F.coalesce("own", none), F.coalesce(shifted, none))
+    together = known.filter(F.col("own").isNotNull() | F.col("tags").isNotNull()).repartition("entity")
+    return _collapse(unnest(together, indices, "entity", "cnt", name="idx"), mode)
 
 
 def to_vectors(encoded: DataFrame) -> DataFrame:

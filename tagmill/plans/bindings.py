@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tagmill.functions.arrays import unnest
 from tagmill.operators.labels import attach
 from tagmill.plans.registry import Tables
+from tagmill.session import spread
 
 # Item bought by a customer, label: is the account balance not negative.
 PURCHASES_SQL = """
@@ -26,7 +27,7 @@ TYPES_SQL = f"SELECT DISTINCT entity, type AS item, label FROM ({PURCHASES_SQL})
 def bought(t: Tables) -> DataFrame:
     """``entity, brand, type`` per line item."""
     return (t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity"))
-            .join(t.lineitem.select("l_orderkey", "l_partkey"), "l_orderkey")
+            .join(spread(t.lineitem.select("l_orderkey", "l_partkey")), "l_orderkey")
             .join(t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"),
                                 F.col("p_type").alias("type")), "l_partkey")
             .select("entity", "brand", "type"))
@@ -49,9 +50,14 @@ WORDS_SQL = """
  JOIN documents AS d USING (doc_id) JOIN labels AS l USING (doc_id)"""
 
 
+def texts(t: Tables) -> DataFrame:
+    """``entity, text`` of the documents."""
+    return spread(t.documents.select(F.col("doc_id").alias("entity"), "text"))
+
+
 def document_words(t: Tables) -> DataFrame:
     """``entity, item`` for each distinct word of each document."""
-    return unnest(t.documents.withColumnRenamed("doc_id", "entity"), F.array_distinct(F.split("text", " ")), "entity")
+    return unnest(texts(t), F.array_distinct(F.split("text", " ")), "entity")
 
 
 def document_labels(t: Tables, column: str = "quality") -> DataFrame:
@@ -60,7 +66,7 @@ def document_labels(t: Tables, column: str = "quality") -> DataFrame:
 
 def word_triples(t: Tables) -> DataFrame:
     """Words of labelled documents; the label join runs before the text is split."""
-    labelled = attach(t.documents.select(F.col("doc_id").alias("entity"), "text"), document_labels(t), unique=True)
+    labelled = attach(texts(t), document_labels(t), unique=True)
     return unnest(labelled, F.array_distinct(F.split("text", " ")), "entity", "label")
 
 
@@ -147,14 +153,17 @@ def points(t: Tables) -> DataFrame:
 # Nested sessions: one message package per conversation turn; words are the activities.
 def packages(t: Tables) -> DataFrame:
     """``entity, app, time, messages`` where each message has a session of activities or none."""
-    words = F.split("text", " ")
-    activities = F.transform(words, lambda w, i: F.struct(
-        F.when(w != "", w).alias("name"), (F.col("turn") * 1000 + i).alias("start"), i.alias("duration"),
-        F.when(i > 0, F.get(words, i - 1)).alias("refer")))
+    turns = spread(t.conversations).withColumn("words", F.split("text", " "))
+    # Each word next to the one before it; the last pair has no word.
+    pairs = F.zip_with("words", F.concat(F.array(F.lit(None).cast("string")), "words"),
+                       lambda w, before: F.struct(w.alias("w"), before.alias("before")))
+    activities = F.transform(pairs, lambda p, i: F.struct(
+        F.when(p["w"] != "", p["w"]).alias("name"), (F.col("turn") * 1000 + i).alias("start"), i.alias("duration"),
+        p["before"].alias("refer")))
     session = F.when(F.col("role") != "assistant", F.struct(activities.alias("activities")))
     app = F.when(F.col("role") == "system", F.lit('"com.android.systemui"')).otherwise(
         F.concat(F.lit('"app.'), F.col("role"), F.lit('"')))
-    return t.conversations.select(F.col("conv_id").alias("entity"), app.alias("app"), F.col("turn").alias("time"),
+    return turns.select(F.col("conv_id").alias("entity"), app.alias("app"), F.col("turn").alias("time"),
                                   F.array(F.struct(session.alias("session"))).alias("messages"))
 
 

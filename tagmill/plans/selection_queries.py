@@ -10,6 +10,7 @@ from tagmill.functions.hashing import fnv
 from tagmill.operators import bags, ranking, selection, sessions, simhash, vocab
 from tagmill.plans import bindings as b
 from tagmill.plans.registry import Tables, query
+from tagmill.session import spread
 from tagmill.sources import libsvm
 
 
@@ -131,7 +132,7 @@ SELECT family, entity, item, label FROM (
 WHERE item <> '' AND item <> 'null'""")
 def f17_triples(t: Tables) -> DataFrame:
     """Three families of labelled triples from one scan."""
-    docs = t.documents.select(F.col("doc_id").alias("entity"),
+    docs = spread(t.documents).select(F.col("doc_id").alias("entity"),
                               F.split(F.replace("text", F.lit('"'), F.lit("")), " ").alias("words"),
                               F.array(F.concat(F.lit('"'), "source", F.lit('"'))).alias("sources"),
                               F.array("lang").alias("langs"))
@@ -151,7 +152,7 @@ _DIM = 512
 
 
 def _basket(t: Tables) -> DataFrame:
-    return (t.lineitem.select(F.col("l_orderkey").alias("entity"), "l_partkey")
+    return (spread(t.lineitem.select(F.col("l_orderkey").alias("entity"), "l_partkey"))
             .join(t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("item")), "l_partkey")
             .select("entity", "item"))
 
@@ -332,7 +333,7 @@ _DOC_TOKENS_SQL = ("SELECT doc_id AS entity, token, CAST(COUNT(*) AS DOUBLE) AS
 
 
 def _document_prints(t: Tables) -> DataFrame:
-    tokens = unnest(t.documents.withColumnRenamed("doc_id", "entity"), F.split("text", " "), "entity", name="token")
+    tokens = unnest(b.texts(t), F.split("text", " "), "entity", name="token")
     return simhash.simhash(tokens.withColumn("weight", F.lit(1.0)), 64)
 
 

@@ -59,3 +59,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Divide a scan that yields fewer partitions than there are cores.
+
+    For input of a few unsplittable files that feeds expensive row work. A scan
+    that already has enough partitions, as any large input does, is returned
+    unchanged and is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
