@@ -34,9 +34,12 @@ def contains(ring: Column | str, lat: Column | str, lng: Column | str) -> Column
     return F.size(crossings) % 2 == 1
 
 
-def in_box(lat: Column | str, lng: Column | str, prefix: str = "") -> Column:
-    """True if the point lies in the closed box of columns ``min_lat .. max_lng``."""
+def in_box(lat: Column | str, lng: Column | str, box: Column | None = None) -> Column:
+    """True if the point lies in a closed box with fields ``min_lat .. max_lng`` (a struct, or columns)."""
     lat = F.col(lat) if isinstance(lat, str) else lat
     lng = F.col(lng) if isinstance(lng, str) else lng
-    return (lat.between(F.col(prefix + "min_lat"), F.col(prefix + "max_lat"))
-            & lng.between(F.col(prefix + "min_lng"), F.col(prefix + "max_lng")))
+
+    def side(name: str) -> Column:
+        return F.col(name) if box is None else box[name]
+
+    return lat.between(side("min_lat"), side("max_lat")) & lng.between(side("min_lng"), side("max_lng"))

@@ -20,14 +20,12 @@ from pyspark.sql import functions as F
 from tagmill.functions.constants import CLUSTER_MIN_POINTS, CLUSTER_RADIUS
 from tagmill.functions.geometry import distance
 from tagmill.operators import ranking
-from tagmill.session import checkpoint
+from tagmill.session import broadcast_if_small, checkpoint
 
 __all__ = ["dbscan", "connected_components", "distance"]
 
 # Points of one cell are spread over join keys holding about this many each.
 CHUNK = 50_000
-# Sizes of at most this many large cells are broadcast (about 40 bytes each).
-BROADCAST_CELLS = 500_000
 # Two groups of points are compared directly when one of them has at most this
 # many points; otherwise both are split into finer boxes first.
 DIRECT = 8
@@ -102,10 +100,9 @@ class _Grid:
         one salt; how many there are is counted before they are broadcast.
         """
         large = sizes.filter(F.col("n") > CHUNK).select("cell", F.ceil(F.col("n") / CHUNK).alias("__salts"))
-        found = large.limit(BROADCAST_CELLS + 1).count()
-        if found == 0:
+        if not large.limit(1).count():
             return keyed.withColumn("salt", F.lit(0).cast("bigint"))
-        large = F.broadcast(large) if found <= BROADCAST_CELLS else large
+        large = broadcast_if_small(large)
         salts = F.coalesce("__salts", F.lit(1))
         return (keyed.join(large, "cell", "left")
                 .withColumn("salt", F.pmod(F.xxhash64("id"), salts)).drop("__salts"))

@@ -11,6 +11,8 @@ from tagmill.functions.normalize import part
 
 # Cell edges are powers of two degrees between these exponents.
 FINEST_LEVEL, COARSEST_LEVEL = -12, 9
+# Areas of a grid level are broadcast up to this many ring vertices (16 bytes each).
+BROADCAST_VERTICES = 5_000_000
 
 
 def load_areas(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -63,24 +65,31 @@ def locate(points: DataFrame, areas: DataFrame, single_bbox_ok: bool = False) ->
     area get the text ``null``; of several areas the smallest code wins. With
     ``single_bbox_ok`` a point inside exactly one bounding box takes that area
     without the polygon test.
+
+    The areas of a grid cell travel as one array, so a point is one row
+    throughout; when the areas are small enough to broadcast, points are not
+    exchanged at all, however many lie in one cell.
     """
-    cells = cover_cells(areas).select("level", "cell_lat", "cell_lng", "code", "ring",
-                                      "min_lat", "max_lat", "min_lng", "max_lng")
-    # At most COARSEST_LEVEL - FINEST_LEVEL + 1 small integers.
-    levels = sorted(r.level for r in areas.select(_level().alias("level")).distinct().collect())
-    if not levels:
+    cells = cover_cells(areas)
+    # One row per grid level in use: at most COARSEST_LEVEL - FINEST_LEVEL + 1.
+    sizes = cells.groupBy("level").agg(F.sum(F.size("ring")).alias("vertices")).collect()
+    area = F.struct("code", "ring", "min_lat", "max_lat", "min_lng", "max_lng")
+    grouped = cells.groupBy("level", "cell_lat", "cell_lng").agg(F.collect_list(area).alias("areas"))
+    joined, found = points, []
+    for row in sorted(sizes):
+        name, edge = f"__areas{len(found)}", F.lit(2.0 ** row.level)
+        here = grouped.filter(F.col("level") == row.level).select("cell_lat", "cell_lng", F.col("areas").alias(name))
+        here = F.broadcast(here) if row.vertices <= BROADCAST_VERTICES else here
+        keys = [F.floor(F.col("lat") / edge) == here["cell_lat"], F.floor(F.col("lng") / edge) == here["cell_lng"]]
+        joined = joined.join(here, keys, "left").drop("cell_lat", "cell_lng")
+        found.append(name)
+    if not found:
         return points.withColumn("code", F.lit("null"))
-    keyed = points.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
-    edge = F.pow(F.lit(2.0), F.col("level"))
-    keyed = keyed.withColumns({"cell_lat": F.floor(F.col("lat") / edge), "cell_lng": F.floor(F.col("lng") / edge)})
-    same_cell = [keyed[c] == cells[c] for c in ("level", "cell_lat", "cell_lng")]
-    joined = keyed.join(cells, [*same_cell, in_box(keyed["lat"], keyed["lng"])], "left")
-    tested = joined.select(*[keyed[c] for c in points.columns], "code",
-                           contains("ring", keyed["lat"], keyed["lng"]).alias("inside"))
-    found = F.min(F.when(F.col("inside"), F.col("code")))
+    boxed = F.filter(F.flatten(F.array_compact(F.array(*found))), lambda a: in_box("lat", "lng", a))
+    exact = F.array_min(F.transform(F.filter(boxed, lambda a: contains(a["ring"], "lat", "lng")), lambda a: a["code"]))
     if single_bbox_ok:
-        found = F.when(F.count("code") == 1, F.min("code")).otherwise(found)
-    return tested.groupBy(*points.columns).agg(F.coalesce(found, F.lit("null")).alias("code"))
+        exact = F.when(F.size(boxed) == 1, boxed[0]["code"]).otherwise(exact)
+    return joined.select(*points.columns, F.coalesce(exact, F.lit("null")).alias("code"))
 
 
 def rollup(df: DataFrame, names: DataFrame, code: str = "code", default: str | None = None) -> DataFrame:

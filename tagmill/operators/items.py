@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions.constants import UNKNOWN_CATEGORY
+from tagmill.session import broadcast_if_small
 
 
 def composite(*parts: str | Column, sep: str = "|") -> Column:
@@ -32,7 +33,8 @@ def resolve_category(df: DataFrame, chain: Sequence[tuple[DataFrame, str, str]],
     """Follow a chain of dictionaries ``(frame, key column, value column)``; a break gives ``default``.
 
     The dictionaries are joined to each other first, on their own small keys, so
-    the long table is joined once, whatever the length of the chain.
+    the long table is joined once, whatever the length of the chain. Its rows
+    stay where they are if the counted result is small enough to broadcast.
     """
     first, first_key, first_value = chain[0]
     resolved = first.select(F.col(first_key).alias("__key"), F.col(first_value).alias("__value"))
@@ -40,5 +42,6 @@ def resolve_category(df: DataFrame, chain: Sequence[tuple[DataFrame, str, str]],
         step = frame.select(F.col(step_key).alias("__next"), F.col(step_value).alias("__after"))
         resolved = (resolved.join(step, F.col("__value") == F.col("__next"), "left")
                     .select("__key", F.col("__after").alias("__value")))
+    resolved = broadcast_if_small(resolved)
     joined = df.join(resolved, df[key] == F.col("__key"), "left")
     return joined.select(*[df[c] for c in df.columns], F.coalesce("__value", F.lit(default)).alias(name))

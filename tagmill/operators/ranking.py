@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagmill.session import checkpoint
+from tagmill.session import broadcast_if_small, checkpoint
 
 _PARTITION, _POSITION, _BASE = "__partition", "__position", "__base"
 _POSITION_BITS = 33
@@ -54,7 +54,8 @@ def group_index(df: DataFrame, groups: Sequence[str], order_by: Sequence[Column
         return global_index(df, order_by, start, name)
     placed = global_index(df, [*groups, *order_by], 0, _POSITION)
     first = placed.groupBy(*groups).agg(F.min(_POSITION).alias(_BASE))
-    joined = placed.join(first, list(groups))
+    # With few groups a join by shuffle would gather each group in one place.
+    joined = placed.join(broadcast_if_small(first), list(groups))
     return joined.select(*df.columns, (F.col(_POSITION) - F.col(_BASE) + F.lit(start)).alias(name))
 
 

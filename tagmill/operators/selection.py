@@ -60,8 +60,8 @@ def _with_totals(stats: DataFrame, missing_class: int, groups: Sequence[str]) ->
     totals = _totals_from_stats(stats, missing_class, groups)
     if groups:
         return stats.join(totals, list(groups))
-    # A global aggregate is exactly one row.
-    return stats.crossJoin(F.broadcast(totals))
+    both = totals.select(F.struct("all_pos", "all_neg")).scalar()
+    return stats.withColumn("__totals", both).select("*", "__totals.all_pos", "__totals.all_neg").drop("__totals")
 
 
 def _uncertainty(a: Column, b: Column) -> Column:

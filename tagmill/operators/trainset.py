@@ -30,10 +30,9 @@ def balance(df: DataFrame, ratio: float = 1.0, seed: int = SEED) -> DataFrame:
     The rows with the smallest hashes of the entity are taken.
     """
     keyed = df.withColumn("__hash", hash_hex("entity", seed))
-    smaller = class_counts(df).agg(F.min("n").alias("__smaller"))
-    quota = F.when(F.col("label") == 0, F.col("__smaller")).otherwise(F.floor(F.col("__smaller") * F.lit(ratio)))
-    # A global aggregate is exactly one row.
-    marked = keyed.crossJoin(F.broadcast(smaller)).withColumn("__quota", quota)
+    smaller = class_counts(df).agg(F.min("n")).scalar()
+    quota = F.when(F.col("label") == 0, smaller).otherwise(F.floor(smaller * F.lit(ratio)))
+    marked = keyed.withColumn("__quota", quota)
     chosen = ranking.smallest_by_hash(marked, ["label"], "__hash", ["entity"], "__quota")
     return chosen.select(*df.columns)
 

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.arrays import unnest
 from tagmill.operators import ranking
-
-# Broadcasting a vocabulary is only asked for up to this many rows
-# (about 100 bytes each); larger ones are joined by shuffle.
-BROADCAST_ROWS = 500_000
+from tagmill.session import BROADCAST_ROWS
 
 
 def build(df: DataFrame, start: int = 0) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the plans rely on. All are runtime SQL settings, so they can be
 # applied to a session somebody else created.
@@ -70,3 +71,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# A frame is only broadcast on request after counting that it has at most this many rows.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` rows; counting stops just past that."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
