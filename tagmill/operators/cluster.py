@@ -50,7 +50,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             current.select(F.col("small").alias("u"), F.col("large").alias("v")))
         smallest = two_way.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         linked = (two_way.filter("v > u").join(smallest, "u")
-                  .select(F.col("m").alias("small"), F.col("v").alias("large")).distinct())
+                  .select(F.col("m").alias("small"), F.col("v").alias("large")))
         # Small star: every node links its smaller neighbours and itself to the smallest one.
         least = linked.groupBy("large").agg(F.min("small").alias("m"))
         pulled = linked.join(least, "large")

@@ -13,6 +13,8 @@ from tagmill.functions.normalize import part
 FINEST_LEVEL, COARSEST_LEVEL = -12, 9
 # Areas of a grid level are broadcast up to this many ring vertices (16 bytes each).
 BROADCAST_VERTICES = 5_000_000
+# Areas of one cell travel as one array up to this many vertices.
+CELL_VERTICES = 1_000_000
 
 
 def load_areas(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -70,26 +72,57 @@ def locate(points: DataFrame, areas: DataFrame, single_bbox_ok: bool = False) ->
     throughout; when the areas are small enough to broadcast, points are not
     exchanged at all, however many lie in one cell.
     """
-    cells = cover_cells(areas)
+    cells = cover_cells(_without_copies(areas))
+    per_cell = cells.groupBy("level", "cell_lat", "cell_lng").agg(F.sum(F.size("ring")).alias("v"))
     # One row per grid level in use: at most COARSEST_LEVEL - FINEST_LEVEL + 1.
-    sizes = cells.groupBy("level").agg(F.sum(F.size("ring")).alias("vertices")).collect()
-    area = F.struct("code", "ring", "min_lat", "max_lat", "min_lng", "max_lng")
-    grouped = cells.groupBy("level", "cell_lat", "cell_lng").agg(F.collect_list(area).alias("areas"))
+    sizes = sorted(per_cell.groupBy("level").agg(F.sum("v").alias("all"), F.max("v").alias("most")).collect())
+    if not sizes:
+        return points.withColumn("code", F.lit("null"))
+    if max(row.most for row in sizes) > CELL_VERTICES:
+        return _locate_by_rows(points, cells, [row.level for row in sizes], single_bbox_ok)
+    grouped = cells.groupBy("level", "cell_lat", "cell_lng").agg(F.collect_list(F.struct(*_AREA)).alias("areas"))
     joined, found = points, []
-    for row in sorted(sizes):
+    for row in sizes:
         name, edge = f"__areas{len(found)}", F.lit(2.0 ** row.level)
         here = grouped.filter(F.col("level") == row.level).select("cell_lat", "cell_lng", F.col("areas").alias(name))
-        here = F.broadcast(here) if row.vertices <= BROADCAST_VERTICES else here
+        here = F.broadcast(here) if row.all <= BROADCAST_VERTICES else here
         keys = [F.floor(F.col("lat") / edge) == here["cell_lat"], F.floor(F.col("lng") / edge) == here["cell_lng"]]
         joined = joined.join(here, keys, "left").drop("cell_lat", "cell_lng")
         found.append(name)
-    if not found:
-        return points.withColumn("code", F.lit("null"))
     boxed = F.filter(F.flatten(F.array_compact(F.array(*found))), lambda a: in_box("lat", "lng", a))
-    exact = F.array_min(F.transform(F.filter(boxed, lambda a: contains(a["ring"], "lat", "lng")), lambda a: a["code"]))
+    code = F.array_min(F.transform(F.filter(boxed, lambda a: contains(a["ring"], "lat", "lng")), lambda a: a["code"]))
+    if single_bbox_ok:
+        boxes = F.aggregate(boxed, F.lit(0).cast("bigint"), lambda n, a: n + a["copies"])
+        code = F.when(boxes == 1, F.get(boxed, F.lit(0))["code"]).otherwise(code)
+    return joined.select(*points.columns, F.coalesce(code, F.lit("null")).alias("code"))
+
+
+_AREA = ("code", "copies", "ring", "min_lat", "max_lat", "min_lng", "max_lng")
+
+
+def _without_copies(areas: DataFrame) -> DataFrame:
+    """Areas of the same shape as one row with the smallest code, which is the one that wins."""
+    same = areas.groupBy("ring").agg(F.min("code").alias("code"), F.count("*").alias("copies"))
+    return with_box(same)
+
+
+def _locate_by_rows(points: DataFrame, cells: DataFrame, levels: list[int], single_bbox_ok: bool) -> DataFrame:
+    """``locate`` for grids with too many areas in one cell to travel as one array."""
+    once = points.groupBy(*points.columns).agg(F.count("*").cast("int").alias("__times"))
+    keyed = once.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    edge = F.pow(F.lit(2.0), F.col("level"))
+    keyed = keyed.withColumns({"cell_lat": F.floor(F.col("lat") / edge), "cell_lng": F.floor(F.col("lng") / edge)})
+    same_cell = [keyed[c] == cells[c] for c in ("level", "cell_lat", "cell_lng")]
+    joined = keyed.join(cells, [*same_cell, in_box(keyed["lat"], keyed["lng"])], "left")
+    tested = joined.select(*[keyed[c] for c in once.columns], "code", "copies",
+                           contains("ring", keyed["lat"], keyed["lng"]).alias("inside"))
+    code = F.min(F.when(F.col("inside"), F.col("code")))
     if single_bbox_ok:
-        exact = F.when(F.size(boxed) == 1, boxed[0]["code"]).otherwise(exact)
-    return joined.select(*points.columns, F.coalesce(exact, F.lit("null")).alias("code"))
+        code = F.when(F.sum("copies") == 1, F.min("code")).otherwise(code)
+    located = tested.groupBy(*once.columns).agg(F.coalesce(code, F.lit("null")).alias("code"))
+    # Equal points were looked up once; give each its row back.
+    repeated = located.withColumn("__times", F.explode(F.array_repeat(F.lit(0), F.col("__times"))))
+    return repeated.drop("__times")
 
 
 def rollup(df: DataFrame, names: DataFrame, code: str = "code", default: str | None = None) -> DataFrame:

@@ -22,3 +22,9 @@ def confirm(current: DataFrame, known: DataFrame, lists: str = "idents") -> Data
     """Keep an entity only if its current identifier is in its own list of known ones."""
     return (current.join(known, "entity", "inner")
             .filter(F.array_contains(F.col(lists), F.lower("ident"))))
+
+
+def confirm_pairs(current: DataFrame, known: DataFrame) -> DataFrame:
+    """As ``confirm`` with the known identifiers in long form ``entity, ident``."""
+    pairs = known.select("entity", F.col("ident").alias("__known"))
+    return current.join(pairs, [current["entity"] == pairs["entity"], F.lower(current["ident"]) == pairs["__known"]], "left_semi")

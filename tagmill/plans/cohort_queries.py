@@ -261,32 +261,35 @@ def p17_drop_sentinel(t: Tables) -> DataFrame:
 
 
 def _identifiers(t: Tables) -> DataFrame:
-    """Per order: carrier codes, part identifiers and line identifiers as nested arrays."""
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("entity")).agg(
-        F.sort_array(F.collect_set(F.array(F.concat(F.lit("4600"), F.col("l_linenumber"))))).alias("codes"),
-        F.sort_array(F.collect_set(F.col("l_partkey").cast("string"))).alias("parts"))
-    return lines
+    """Per document: carrier codes in nested arrays and identifiers, all made from its words."""
+    words = b.texts(t).withColumn("words", F.split("text", " "))
+    codes = F.transform("words", lambda w: F.array(F.concat(F.lit("4600"), F.char_length(w) % 10)))
+    return words.select("entity", codes.alias("codes"), "words")
 
 
-@query("""
-SELECT l_orderkey AS entity, string_agg(DISTINCT '4600' || l_linenumber, ',' ORDER BY '4600' || l_linenumber) AS codes
-FROM lineitem GROUP BY 1""")
+_CODES_SQL = """
+ SELECT DISTINCT doc_id AS entity, '4600' || length(w) % 10 AS code
+ FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) AS x"""
+
+
+@query(f"SELECT entity, string_agg(code, ',' ORDER BY code) AS codes FROM ({_CODES_SQL}) AS c GROUP BY 1")
 def p24_distinct_values(t: Tables) -> DataFrame:
-    return _identifiers(t).select("entity", F.array_join(n.distinct_values("codes"), ",").alias("codes"))
+    return _identifiers(t).select("entity", F.array_join(F.array_sort(n.distinct_values("codes")), ",").alias("codes"))
 
 
-@query("SELECT DISTINCT l_orderkey AS entity FROM lineitem WHERE l_linenumber IN (1, 6)")
+@query(f"SELECT DISTINCT entity FROM ({_CODES_SQL}) AS c WHERE code IN ('46001', '46006')")
 def p18_has_any(t: Tables) -> DataFrame:
     rows = _identifiers(t).select("entity", n.distinct_values("codes").alias("codes"))
     return rows.filter(cohort.has_any("codes", list(c.CARRIER_CODES))).select("entity")
 
 
 @query("""
-SELECT l_orderkey AS entity, COUNT(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1
-HAVING COUNT(DISTINCT l_partkey) >= 3 AND COUNT(DISTINCT l_partkey) < 7""")
+SELECT doc_id AS entity, len(list_distinct(string_split(text, ' '))) AS n FROM documents
+WHERE len(list_distinct(string_split(text, ' '))) >= 3 AND len(list_distinct(string_split(text, ' '))) < 100""")
 def p19_size_bounds(t: Tables) -> DataFrame:
-    rows = cohort.bounded_sets(_identifiers(t), ["codes", "parts"], below=7)
-    return rows.filter(cohort.size_between("parts", 3)).select("entity", F.size("parts").cast("bigint").alias("n"))
+    rows = cohort.bounded_sets(_identifiers(t), ["codes", "words"], below=100)
+    counted = rows.select("entity", F.array_distinct("words").alias("words"))
+    return counted.filter(cohort.size_between("words", 3)).select("entity", F.size("words").cast("bigint").alias("n"))
 
 
 @query("""
@@ -418,9 +421,9 @@ SELECT entity, ident FROM ({_LATEST_SQL}) AS l WHERE EXISTS (
  SELECT 1 FROM orders WHERE o_custkey = entity AND CAST(o_orderkey AS VARCHAR) = ident AND o_orderstatus <> 'P')""")
 def j10_confirm_identifier(t: Tables) -> DataFrame:
     """The latest order counts only if it is among the customer's settled ones."""
-    known = (t.orders.filter(F.col("o_orderstatus") != "P").groupBy(F.col("o_custkey").alias("entity"))
-             .agg(F.collect_set(F.col("o_orderkey").cast("string")).alias("idents")))
-    return identity.confirm(_latest(t), known).select("entity", "ident")
+    settled = t.orders.filter(F.col("o_orderstatus") != "P")
+    known = settled.select(F.col("o_custkey").alias("entity"), F.col("o_orderkey").cast("string").alias("ident"))
+    return identity.confirm_pairs(_latest(t), known).select("entity", "ident")
 
 
 def _periods(t: Tables) -> DataFrame:

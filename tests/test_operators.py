@@ -211,6 +211,29 @@ def test_areas_of_very_different_size(spark):
     assert rows(geo.areas_per_entity(visits, areas)) == [("e", "Not Found"), ("e", "tiny"), ("e", "world")]
 
 
+@pytest.mark.parametrize("by_rows", [False, True])
+@pytest.mark.parametrize("single", [False, True])
+def test_copies_of_an_area(spark, monkeypatch, by_rows, single):
+    """Copies count as boxes, the smallest code wins, and both ways of joining agree."""
+    if by_rows:
+        monkeypatch.setattr(geo, "CELL_VERTICES", 3)
+    triangle, square = "1.01,1.01;1.01,2.99;2.99,1.01", "5.01,5.01;5.01,6.99;6.99,6.99;6.99,5.01"
+    other = "5.51,5.51;5.51,8.99;8.99,8.99"
+    lines = [f"{code}\tx\t{ring}" for code, ring in (("30", triangle), ("20", square), ("10", square), ("15", square), ("40", other))]
+    areas = geo.load_areas(spark.createDataFrame([(x,) for x in lines], "value string"))
+    points = spark.createDataFrame([(1, 2.9, 2.9), (2, 1.5, 1.5), (3, 5.2, 5.3), (4, 8.8, 5.6), (5, 6.0, 6.5)], "pid int, lat double, lng double")
+    located = geo.locate(points.union(points), areas, single).collect()
+    got = {r.pid: r.code for r in located}
+    assert len(located) == 10
+    assert got == {1: "30" if single else "null", 2: "30", 3: "10", 4: "40" if single else "null", 5: "10"}
+
+
+def test_confirmation_in_long_form(spark):
+    latest = spark.createDataFrame([("e", "I3"), ("f", "I1")], "entity string, ident string")
+    known = spark.createDataFrame([("e", "i3"), ("e", "i3"), ("f", "i9")], "entity string, ident string")
+    assert rows(identity.confirm_pairs(latest, known)) == [("e", "I3")]
+
+
 # Models.
 
 def test_model_finds_a_planted_signal_and_survives_saving(spark, tmp_path):
