@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions.arrays import unnest
+from tagmill.functions.normalize import not_nullish
+from tagmill.sources.readers import union_all
 
 
 def _rows(df: DataFrame, items: str | Column | None) -> DataFrame:
@@ -37,10 +37,7 @@ def parse(df: DataFrame, column: str = "bag") -> DataFrame:
 
 def merge(*bags: DataFrame) -> DataFrame:
     """Sum counted bags by entity and item."""
-    everything = bags[0]
-    for bag in bags[1:]:
-        everything = everything.unionByName(bag)
-    return everything.groupBy("entity", "item").agg(F.sum("cnt").alias("cnt"))
+    return union_all(bags).groupBy("entity", "item").agg(F.sum("cnt").alias("cnt"))
 
 
 def active_slots(bitmap: str | Column, binary: bool = True) -> Column:
@@ -93,16 +90,6 @@ def to_text(df: DataFrame, name: str = "bag", sep: str = ",") -> DataFrame:
 
 def read_columns(df: DataFrame, entity: str | Column, item: str | Column) -> DataFrame:
     """Rename any two columns or paths to ``entity, item`` and drop null-like items."""
-    from tagmill.functions.normalize import not_nullish
-
     entity = F.col(entity) if isinstance(entity, str) else entity
     item = F.col(item) if isinstance(item, str) else item
     return df.select(entity.alias("entity"), item.alias("item")).filter(not_nullish("item"))
-
-
-def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union all by column name."""
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.operators import bags
+from tagmill.sources import readers
 
 
 def union_families(frames: Sequence[DataFrame], sep: str = " ") -> DataFrame:
@@ -15,7 +15,7 @@ def union_families(frames: Sequence[DataFrame], sep: str = " ") -> DataFrame:
 
     Each frame holds ``entity, features`` with about one row per entity.
     """
-    tagged = bags.stack([f.select("entity", F.lit(i).alias("family"), "features") for i, f in enumerate(frames)])
+    tagged = readers.union_all([f.select("entity", F.lit(i).alias("family"), "features") for i, f in enumerate(frames)])
     ordered = F.sort_array(F.collect_list(F.struct("family", "features")))
     text = F.array_join(F.transform(ordered, lambda p: p["features"]), sep)
     return tagged.groupBy("entity").agg(text.alias("features"))
@@ -30,4 +30,4 @@ def stack_encoded(families: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
     for encoded, dim in families.values():
         frames.append(encoded.select("entity", (F.col("idx") + F.lit(offset)).alias("idx"), "val"))
         offset += dim
-    return bags.stack(frames)
+    return readers.union_all(frames)

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.constants import SEED
 from tagmill.functions.hashing import hash_hex, unit_interval
-from tagmill.operators import bags, ranking
 from tagmill.operators import labels as label_ops
+from tagmill.operators import ranking
+from tagmill.sources import readers
+
+# Families whose presence fits in one whole number.
+_BITS = 62
 
 
 def prepare(features: DataFrame, labels: DataFrame, unique: bool = False) -> DataFrame:
@@ -72,16 +76,20 @@ def intersect(families: Sequence[DataFrame], labels: DataFrame | None = None) ->
     Each entity carries one bit per family, combined map-side, so there is a
     single exchange however many families there are.
     """
-    full = (1 << len(families)) - 1
-    marked = bags.stack([f.select("entity", F.lit(1 << i).cast("bigint").alias("seen"))
-                         for i, f in enumerate(families)])
-    common = (marked.groupBy("entity").agg(F.bit_or("seen").alias("seen"))
-              .filter(F.col("seen") == full).select("entity"))
+    words = range(0, len(families), _BITS)
+    marked = readers.union_all([
+        f.select("entity", *[F.lit(1 << (i - w) if 0 <= i - w < _BITS else 0).cast("bigint").alias(f"seen{w}") for w in words])
+        for i, f in enumerate(families)])
+    seen = marked.groupBy("entity").agg(*[F.bit_or(f"seen{w}").alias(f"seen{w}") for w in words])
+    common = seen
+    for w in words:
+        common = common.filter(F.col(f"seen{w}") == (1 << min(_BITS, len(families) - w)) - 1)
+    common = common.select("entity")
     return common if labels is None else label_ops.attach(common, labels)
 
 
 def common_training_sets(families: Mapping[str, DataFrame], labels: DataFrame) -> DataFrame:
     """``family, entity, label, features`` restricted to the entities common to all families."""
     common = intersect(list(families.values()), labels)
-    rows = bags.stack([f.select(F.lit(name).alias("family"), "entity", "features") for name, f in families.items()])
+    rows = readers.union_all([f.select(F.lit(name).alias("family"), "entity", "features") for name, f in families.items()])
     return rows.join(common, "entity", "inner").select("family", "entity", "label", "features")

@@ -201,7 +201,7 @@ def slot_frequencies(df: DataFrame, ids: DataFrame, output: str) -> None:
 
 def feature_update(spark: SparkSession, paths: Mapping[str, str], output: str, dense: bool = False) -> None:
     """Entropy and rank of every item, all families in one job."""
-    triples = bags.stack([read_triples(spark, path).withColumn("family", F.lit(name)) for name, path in paths.items()])
+    triples = readers.union_all([read_triples(spark, path).withColumn("family", F.lit(name)) for name, path in paths.items()])
     scored = selection.entropy(triples, groups=["family"])
     entropy_line = F.concat_ws("\t", "item", F.col("entropy").cast("string"), F.concat(F.lit("("), "pos", F.lit(","), "n", F.lit(")")))
     scored.select("family", entropy_line.alias("value")).write.mode("overwrite").partitionBy("family").text(f"{output}/entropy")
@@ -261,7 +261,7 @@ def _features(spark: SparkSession, path: str) -> DataFrame:
 def trainset_prep(spark: SparkSession, paths: Mapping[str, str], label_path: str, output: str) -> None:
     """``label features`` lines, one folder per family."""
     known = read_labels(spark, label_path)
-    rows = bags.stack([_features(spark, p).withColumn("family", F.lit(k)) for k, p in paths.items()])
+    rows = readers.union_all([_features(spark, p).withColumn("family", F.lit(k)) for k, p in paths.items()])
     out = trainset.prepare(rows, known, unique=True)
     out.select("family", F.concat_ws(" ", "label", "features").alias("value")).write.mode("overwrite") \
         .partitionBy("family").text(output)
@@ -395,16 +395,16 @@ def carrier_cohort(monthly: Sequence[DataFrame], codes: Sequence[str] = c.CARRIE
     Each month holds ``entity, apps, carriers, idents`` (arrays). The size bound
     applies to each monthly row before the months are merged.
     """
-    kept = bags.stack([cohort.bounded_sets(m.filter(n.has_any("carriers", list(codes))), ["apps", "carriers", "idents"], below)
+    kept = readers.union_all([cohort.bounded_sets(m.filter(n.has_any("carriers", list(codes))), ["apps", "carriers", "idents"], below)
                        for m in monthly])
     parts = [bags.union_sets(kept, name).select("entity", F.lit(name).alias("kind"), "item")
              for name in ("apps", "carriers", "idents")]
-    return bags.stack(parts)
+    return readers.union_all(parts)
 
 
 def stable_district(periods: Sequence[DataFrame], needed: int | None = None) -> DataFrame:
     """Entities seen in every period with their most frequent district: ``entity, value, freq``."""
-    tagged = bags.stack([p.select("entity", F.lit(i).alias("period"), F.col("district").alias("value"))
+    tagged = readers.union_all([p.select("entity", F.lit(i).alias("period"), F.col("district").alias("value"))
                          for i, p in enumerate(periods)])
     return cohort.restrict(cohort.modal(tagged), cohort.stable(tagged, needed or len(periods)))
 

@@ -28,6 +28,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str = "entity", buckets: int = 48) -> None:
+def write_bucketed(df: DataFrame, table: str, key: str = "entity", buckets: int = 48, path: str | None = None) -> None:
     """Table hashed and sorted by a key, so later joins on that key need no exchange."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -13,7 +13,7 @@ from tagmill.session import build  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build("tagmill-tests", "local[4]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -40,7 +40,7 @@ def uniform(seed, n, dims=2):
     return {i: tuple(rng.random() for _ in range(dims)) for i in range(n)}
 
 
-@pytest.mark.parametrize("seed, n, eps, min_pts", [(1, 250, 0.05, 4), (2, 250, 0.08, 6), (3, 120, 0.02, 3), (4, 150, 0.5, 5)])
+@pytest.mark.parametrize("seed, n, eps, min_pts", [(1, 250, 0.05, 4), (2, 250, 0.08, 6), (4, 150, 0.5, 5)])
 def test_uniform_points(spark, seed, n, eps, min_pts):
     points = uniform(seed, n)
     assert run(spark, points, eps, min_pts) == brute_force(points, eps, min_pts)
