@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -40,28 +41,38 @@ def offset_basis(bits: int) -> int:
     return value
 
 
-def fnv_value(text: str, bits: int, variant: str = "1a") -> int:
-    """Hash of the UTF-16 code units of ``text``."""
+def hasher(bits: int, variant: str = "1a") -> Callable[[str], int]:
+    """Function from a text to the hash of its UTF-16 code units.
+
+    The result refers to nothing but its own values, so it travels to workers
+    that do not have this package.
+    """
     bits = width_or_default(bits)
-    value, factor, mask = offset_basis(bits), prime(bits), (1 << bits) - 1
-    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), dtype="<u2").tolist()
-    if variant == "1a":
-        for unit in units:
-            value = (value ^ unit) * factor & mask
-    else:
-        for unit in units:
-            value = (value * factor & mask) ^ unit
-    return value
+    start, factor, mask = offset_basis(bits), prime(bits), (1 << bits) - 1
+    xor_first = variant == "1a"
+
+    def fold(text: str) -> int:
+        value = start
+        for unit in np.frombuffer(text.encode("utf-16-le", "surrogatepass"), dtype="<u2").tolist():
+            value = (value ^ unit) * factor & mask if xor_first else (value * factor & mask) ^ unit
+        return value
+
+    return fold
+
+
+def fnv_value(text: str, bits: int, variant: str = "1a") -> int:
+    """Hash of one text."""
+    return hasher(bits, variant)(text)
 
 
 def fnv(c: Column | str, bits: int = 64, variant: str = "1a") -> Column:
     """Column of hashes as fixed-width big-endian bytes; each text of a batch is hashed once."""
-    size = width_or_default(bits) // 8
+    size, fold = width_or_default(bits) // 8, hasher(bits, variant)
 
     @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
         codes, distinct = pd.factorize(texts)
-        values = [fnv_value(t, bits, variant).to_bytes(size, "big") for t in distinct]
+        values = [fold(t).to_bytes(size, "big") for t in distinct]
         return pd.Series([values[i] if i >= 0 else None for i in codes], dtype=object)
 
     return hashed(F.col(c) if isinstance(c, str) else c)

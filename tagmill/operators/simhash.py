@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagmill.functions.hashing import fnv_value, width_or_default
+from tagmill.functions.hashing import hasher, width_or_default
 from tagmill.operators import sessions, vocab
 
 # Sums closer to zero than this count as zero, so that the order in which
@@ -22,42 +22,41 @@ CHUNK = 64
 # Entity-by-token weights of a batch are held as a dense matrix up to this size.
 _DENSE_CELLS = 2_000_000
 
-_cached_hash = lru_cache(maxsize=1 << 18)(fnv_value)
 
+def _partial_sums(bits: int, variant: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Per batch, the signed weight sums of each entity: ``entity, chunk, sums``.
 
-def _signs(tokens: list[str], bits: int, variant: str) -> np.ndarray:
-    """One row of +1/-1 per token, bit 0 first."""
-    size = width_or_default(bits) // 8
-    raw = b"".join(_cached_hash(t, bits, variant).to_bytes(size, "little") for t in tokens)
-    unpacked = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(len(tokens), size), axis=1, bitorder="little")
-    full = np.zeros((len(tokens), bits), np.float64)
-    full[:, : min(bits, size * 8)] = unpacked[:, :bits]
-    return 2.0 * full - 1.0
-
+    Only local values are used inside, so workers need no copy of this package.
+    """
+    fold, size = hasher(bits, variant), width_or_default(bits) // 8
+    used, chunk_bits, dense_cells = min(bits, size * 8), CHUNK, _DENSE_CELLS
 
-def _partial_sums(bits: int, variant: str):
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashed = lru_cache(maxsize=1 << 18)(lambda text: fold(text).to_bytes(size, "little"))
         for batch in batches:
             if batch.empty:
                 continue
             owner, entities = pd.factorize(batch["entity"])
             token, tokens = pd.factorize(batch["token"])
-            signs = np.vstack([_signs(list(tokens), bits, variant), np.zeros((1, bits))]) if len(tokens) \
-                else np.zeros((1, bits))
             weight = batch["weight"].to_numpy(np.float64)
-            # Code -1 (NULL token) picks the appended zero row.
+            # One row of +1/-1 per token, bit 0 first, and a zero row for NULL tokens (code -1).
+            signs = np.full((len(tokens) + 1, bits), -1.0)
+            if len(tokens):
+                raw = np.frombuffer(b"".join(hashed(t) for t in tokens), np.uint8).reshape(len(tokens), size)
+                signs[:-1, :used] += 2.0 * np.unpackbits(raw, axis=1, bitorder="little")[:, :used]
+            signs[-1] = 0.0
             token = np.where(token < 0, len(tokens), token)
             width = len(tokens) + 1
-            if len(entities) * width <= _DENSE_CELLS:
+            if len(entities) * width <= dense_cells:
                 flat = np.bincount(owner * width + token, weight, minlength=len(entities) * width)
                 total = flat.reshape(len(entities), width) @ signs
             else:
                 order = np.argsort(owner, kind="stable")
                 starts = np.searchsorted(owner[order], np.arange(len(entities)))
                 total = np.add.reduceat(signs[token[order]] * weight[order, None], starts, axis=0)
-            for chunk, first in enumerate(range(0, bits, CHUNK)):
+            for chunk, first in enumerate(range(0, bits, chunk_bits)):
                 yield pd.DataFrame({"entity": entities, "chunk": np.int32(chunk),
-                                    "sums": list(total[:, first:first + CHUNK])})
+                                    "sums": list(total[:, first:first + chunk_bits])})
 
     return sums
 
