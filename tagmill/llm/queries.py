@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe, jaccard, mixture, rules
+from tagmill.llm import bpe, jaccard, langid, mixture, rules, secrets
 from tagmill.llm.common import ready
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -15,6 +15,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_table(spark, folder, "documents"))
+
+
+def op3_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), RANKS, PATTERN)
 
@@ -31,5 +39,5 @@ def op7_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe, op5_jaccard, op6_mixture, op7_rules)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules)}
 SQL = {"op6_mixture": mixture.sql()}
