@@ -1 +1,236 @@
+"""Quality classifier: a linear-chain conditional random field over lines, aggregated to a document score."""
 
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import count
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagmill.llm.common import crc, fraction_below
+from tagmill.llm.text import pieces
+
+SYMBOLS = b"#*$%&|<>@~^_=+\\/{}[]"
+# Documents per label in the training sample, and lines of one document that are sent to the driver (evenly spread).
+SAMPLE_DOCS, SAMPLE_LINES = 1200, 64
+THRESHOLD = 0.3
+SHARES = 9
+CUTS = np.array([0.02, 0.08, 0.2, 0.4, 0.7])
+FEATURES = 1 + SHARES * (len(CUTS) + 1)
+
+
+def _marks() -> np.ndarray:
+    """Per byte value: upper case, lower case, digit, symbol, ! or ?, other ASCII mark, part of a wider character, blank."""
+    table = np.zeros((8, 256), np.uint8)
+    for b in range(256):
+        c = chr(b)
+        kind = (6 if b >= 128 else 7 if b in b" \t\n\r\x0b\x0c" else 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit()
+                else 3 if b in SYMBOLS else 4 if c in "!?" else 5)
+        table[kind, b] = 1
+    return table
+
+
+def line_shares(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths (bytes) and shares of each line; a text without words is one empty line."""
+    table = _marks()
+    data = np.frombuffer(text + b"\n", np.uint8)
+    ends = np.flatnonzero(data == 10)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    kinds = np.stack([np.add.reduceat(table[k][data], starts, dtype=np.int64) for k in range(8)], axis=1)
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+    found = []
+    for part in pieces(text):
+        words = part.split()
+        found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+    ids = np.concatenate(found)
+    inside = table[7][data] == 0
+    first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    line = np.searchsorted(ends, first)
+    words = np.bincount(line, minlength=len(ends))
+    same = np.bincount(line[1:][(ids[1:] == ids[:-1]) & (line[1:] == line[:-1])], minlength=len(ends))
+    distinct = np.bincount(np.unique(line * max(1, len(numbers)) + ids) // max(1, len(numbers)), minlength=len(ends))
+    kept = words > 0
+    if not kept.any():
+        return np.zeros(1), np.zeros((1, SHARES))
+    kinds, words, same, distinct = kinds[kept], words[kept], same[kept], distinct[kept]
+    visible = np.maximum(1, kinds[:, :7].sum(axis=1))
+    letters = np.maximum(1, kinds[:, 0] + kinds[:, 1])
+    shares = np.stack([kinds[:, 0] / letters, kinds[:, 2] / visible, kinds[:, 3] * 4 / visible, kinds[:, 4] * 4 / visible,
+                       kinds[:, 5] / visible, same / words, 1 - distinct / words, np.minimum(1, visible / words / 16),
+                       np.minimum(1, words / 100)], axis=1)
+    return visible.astype(float), shares
+
+
+def features(shares: np.ndarray) -> np.ndarray:
+    """Indicator features of the shares, each cut into six ranges, and a constant."""
+    cell = (shares[:, :, None] >= CUTS).sum(axis=2)
+    hot = np.zeros((len(shares), SHARES, len(CUTS) + 1))
+    np.put_along_axis(hot, cell[:, :, None], 1.0, axis=2)
+    return np.concatenate([np.ones((len(shares), 1)), hot.reshape(len(shares), -1)], axis=1)
+
+
+def neighbours(found: np.ndarray) -> np.ndarray:
+    """Features of each line with those of the lines before and after (zeros at the ends)."""
+    none = np.zeros((1, found.shape[1]))
+    return np.concatenate([found, np.concatenate([none, found[:-1]]), np.concatenate([found[1:], none])], axis=1)
+
+
+def marginals(energy: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability that each line is bad, and expected moves, by the forward-backward recursion.
+
+    ``energy`` is the score of bad against good; ``moves[i, j]`` scores a step from tag i to j (0 good, 1 bad).
+    """
+    n, step = len(energy), np.exp(moves)
+    ahead, behind = np.empty((n, 2)), np.ones((n, 2))
+    own = np.stack([np.ones(n), np.exp(np.clip(energy, -30, 30))], axis=1)
+    own /= own.sum(axis=1, keepdims=True)
+    ahead[0] = own[0]
+    for t in range(1, n):
+        row = own[t] * (ahead[t - 1] @ step)
+        ahead[t] = row / row.sum()
+    for t in range(n - 2, -1, -1):
+        row = step @ (own[t + 1] * behind[t + 1])
+        behind[t] = row / row.sum()
+    both = ahead * behind
+    both /= both.sum(axis=1, keepdims=True)
+    moved = np.zeros((2, 2))
+    if n > 1:
+        pairs = ahead[:-1, :, None] * step * (own[1:] * behind[1:])[:, None, :]
+        moved = (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+    return both[:, 1], moved
+
+
+def bad_share(lengths: np.ndarray, shares: np.ndarray, weights: np.ndarray, moves: np.ndarray) -> float:
+    """Length-weighted mean of the marginals."""
+    bad, _ = marginals(neighbours(features(shares)) @ weights, moves)
+    return float((lengths * bad).sum() / lengths.sum()) if lengths.sum() else float(bad.mean())
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lengths, shares = [], []
+        for text in batch.column(1).to_pylist():
+            size, found = line_shares(text or b"")
+            some = np.unique(np.linspace(0, len(size) - 1, min(len(size), SAMPLE_LINES)).astype(int))
+            lengths.append(size[some].tolist())
+            shares.append(found[some].ravel().tolist())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.list_(pa.float64())), pa.array(shares, pa.list_(pa.float64()))],
+                                         names=["quality", "lengths", "shares"])
+
+
+def _logistic(x: np.ndarray, yes: np.ndarray, weight: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> np.ndarray:
+    data, theta = np.stack([x, np.ones_like(x)], axis=1), np.zeros(2)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(data @ theta, -30, 30)))
+        curve = (data * (weight * p * (1 - p))[:, None]).T @ data + ridge * np.eye(2)
+        theta = theta + np.clip(np.linalg.solve(curve, data.T @ (weight * (yes - p)) - ridge * theta), -3, 3)
+    return theta
+
+
+def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds: int = 3, steps: int = 60,
+        rate: float = 0.2, decay: float = 1e-3) -> tuple:
+    """Weights, moves and calibration from ``quality, lengths, shares`` per document.
+
+    Only documents are labelled. Lines of good ones are good. Lines of bad ones begin as bad; after each round
+    those that the field is sure are good (each bad document keeps its worst line bad) change their tag.
+    ``prior`` is the share of good documents among all labelled ones; the sample is weighted back to it.
+    """
+    size = 3 * FEATURES
+    weights, moves = np.zeros(size), np.zeros((2, 2))
+    if len({q for q, _, _ in sample}) < 2:
+        return weights, moves, np.array([0.0, 4.0 if prior > 0.5 else -4.0])
+    inputs = [neighbours(features(shares)) for _, _, shares in sample]
+    tags = [np.full(len(x), 1 - q, float) for (q, _, _), x in zip(sample, inputs, strict=True)]
+    stacked = np.concatenate(inputs)
+    cuts = np.cumsum([len(x) for x in inputs])[:-1]
+    for _ in range(rounds):
+        flat = np.concatenate(tags)
+        steps_of = np.zeros((2, 2))
+        for tag in tags:
+            np.add.at(steps_of, (tag[:-1].astype(int), tag[1:].astype(int)), 1)
+        first, second = np.zeros(size + 4), np.zeros(size + 4)
+        for step in range(1, steps + 1):
+            energies = np.split(stacked @ weights, cuts)
+            found = [marginals(e, moves) for e in energies]
+            bad, moved = np.concatenate([b for b, _ in found]), sum(m for _, m in found)
+            gradient = np.concatenate([stacked.T @ (flat - bad), (steps_of - moved).ravel()]) / len(sample)
+            gradient -= decay * np.concatenate([weights, moves.ravel()])
+            first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient ** 2
+            change = rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+            weights, moves = weights + change[:size], moves + change[size:].reshape(2, 2)
+        for i, (quality, _, _) in enumerate(sample):
+            if not quality:
+                bad = marginals(inputs[i] @ weights, moves)[0]
+                tags[i] = (bad >= min(0.2, bad.max())).astype(float)
+    values = np.array([bad_share(lengths, shares, weights, moves) for _, lengths, shares in sample])
+    quality = np.array([q for q, _, _ in sample], float)
+    share = quality.mean()
+    weight = np.where(quality > 0, prior / share, (1 - prior) / (1 - share))
+    return weights, moves, _logistic(values, quality, weight)
+
+
+def train(docs: DataFrame, labels: DataFrame, docs_per_label: int = SAMPLE_DOCS) -> tuple:
+    """Fit on about ``docs_per_label`` documents of each quality, chosen by a hash of the id.
+
+    Labels other than 0 and 1 are left out; of contradicting labels the lower
+    one counts. Texts become line statistics where they lie.
+    """
+    known = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
+             .agg(F.min("quality").cast("int").alias("__quality")))
+    counts = {r[0]: r[1] for r in known.groupBy("__quality").agg(F.count("*").alias("n")).collect()}
+    total = max(1, sum(counts.values()))
+    chosen = F.lit(False)
+    for quality, n in counts.items():
+        chosen = F.when(F.col("__quality") == quality, fraction_below("doc_id", "lines", min(1.0, docs_per_label / n))).otherwise(chosen)
+    # About twice docs_per_label ids, whatever the size of the tables.
+    some = F.broadcast(known.filter(chosen))
+    rows = (docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(some, "doc_id").select("__quality", "text")
+            .mapInArrow(_sampled, "quality int, lengths array<double>, shares array<double>"))
+    sample = [(r[0], np.array(r[1]), np.array(r[2]).reshape(-1, SHARES)) for r in rows.collect()]
+    sample.sort(key=lambda s: (s[0], len(s[1]), s[1].tolist(), s[2].ravel().tolist()))
+    return fit(sample, counts.get(1, 0) / total)
+
+
+def _scored(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, moves, calibration = shared.value
+        for batch in batches:
+            place = batch.schema.get_field_index("__text")
+            values = np.array([bad_share(*line_shares(text or b""), weights, moves) for text in batch.column(place).to_pylist()])
+            scores = 1 / (1 + np.exp(-(values * calibration[0] + calibration[1])))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns) if i != place], pa.array(scores, pa.float64())],
+                                             names=[*[n for n in batch.schema.names if n != "__text"], "__score"])
+
+    return run
+
+
+def score(docs: DataFrame, model: tuple, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of each row and ``__score``, the estimated probability that its label is 1.
+
+    Each text is scored by itself and whole; null and empty texts are one empty line. The model has a fixed size.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(*keep, F.col("text").cast("binary").alias("__text"))
+    schema = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in keep)
+    return rows.mapInArrow(_scored(shared), f"{schema}, __score double")
+
+
+def _held_out(folds: int):
+    return F.pmod(crc(), F.lit(folds)) == 0
+
+
+def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, held_out, score, predicted``; labels of held-out rows (CRC of the id 0 modulo ``folds``) are not used."""
+    model = train(docs, labels.filter(~_held_out(folds)))
+    return score(docs, model, ["doc_id"]).select("doc_id", _held_out(folds).alias("held_out"), F.col("__score").alias("score"),
+                                                 (F.col("__score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows and columns of the documents that are not rejected."""
+    model = train(docs, labels.filter(~_held_out(folds)))
+    return score(docs, model, list(docs.columns)).filter(F.col("__score") >= threshold).select(*docs.columns)

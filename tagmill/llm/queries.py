@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe, jaccard, langid, mixture, rules, secrets
+from tagmill.llm import bpe, jaccard, langid, lines, mixture, rules, secrets, templates, vectors
 from tagmill.llm.common import ready
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -39,5 +39,18 @@ def op7_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules)}
-SQL = {"op6_mixture": mixture.sql()}
+def op8_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.link(_table(spark, folder, "embeddings"))
+
+
+def op9_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.judge(_table(spark, folder, "pages"))
+
+
+def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules, op8_vectors,
+                                 op9_templates, op10_lines)}
+SQL = {"op6_mixture": mixture.sql(), "op9_templates": templates.sql()}

@@ -1 +1,128 @@
+"""URL filter: per-host path templates with smoothed purity over rules. DataFrame functions only."""
 
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tagmill.llm.common import staged
+
+# (verdict, host, path): a rule fits its host and all subdomains if the path starts with the rule's.
+RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+# Levels of the tree; deeper segments count as one variable rest.
+DEPTH = 3
+# A segment stays literal with this many urls and this share of its parent's; else it becomes a wildcard.
+LEAST_URLS, LEAST_PERCENT = 5, 2
+# Branches within this many standard errors of their parent's block share are merged into it.
+ERRORS = 2.0
+PRIOR, PURITY = 1.0, 0.7
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def split_url(url: str | Column) -> tuple[Column, Column]:
+    """Host and path; null or without ``://``: both empty."""
+    url = F.col(url) if isinstance(url, str) else url
+    at = F.position(F.lit("://"), url)
+    rest = F.when(at > 0, F.substr(url, at + 3)).otherwise(F.lit(""))
+    host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), UPPER, LOWER)
+    path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
+
+
+def _best_rule(rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
+    """Text and verdict of the longest rule that fits, else null."""
+    name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
+        fits = (F.endswith(F.concat(F.lit("."), F.col("host")), F.lit("." + host))) & F.startswith("path", F.lit(path))
+        name = F.when(fits, F.lit(host + path)).otherwise(name)
+        verdict = F.when(fits, F.lit(kind)).otherwise(verdict)
+    return name, verdict
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, depth: int = DEPTH, least_urls: int = LEAST_URLS,
+          least_percent: int = LEAST_PERCENT, errors: float = ERRORS, prior: float = PRIOR, purity: float = PURITY) -> DataFrame:
+    """``page_id, host, path, rule, verdict, template`` of every row.
+
+    Where a rule fits, the longest one decides; the rules' verdicts are also the
+    labels. Per host a tree of path templates is grown level by level: a segment
+    stays literal if it holds enough urls, else it is a wildcard. Branches whose
+    block share does not differ from their parent's beyond chance are merged.
+    A branch is rejected if ``(blocked + prior) / (labelled + 2 * prior)`` reaches
+    ``purity``; branches without labels are allowed. Null urls have an empty host
+    and path. All steps are sums per node, taken map-side first; the join keys of
+    crowded nodes are split by Spark.
+    """
+    host, path = split_url("url")
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    name, verdict = _best_rule(rules)
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    rows = (rows.withColumn("rule", name).withColumn("ruled", verdict).withColumn("seg", segments)
+            .withColumn("template", F.lit("")))
+    for level in range(depth):
+        piece = F.when(F.size("seg") > level, F.when(F.lit(level == depth - 1) & (F.size("seg") > depth), F.lit("**"))
+                       .otherwise(F.get("seg", F.lit(level)))).alias("piece")
+        rows = rows.select("page_id", "host", "path", "rule", "ruled", "seg", "template", piece)
+        rows = staged(rows, "level")
+        node = ["host", "template"]
+        below = rows.filter("piece IS NOT NULL")
+        children = below.groupBy(*node, "piece").agg(F.count("*").alias("n")).filter(F.col("n") >= least_urls)
+        parents = below.groupBy(*node).agg(F.count("*").alias("total"))
+        literal = (children.join(parents, node).filter(F.col("n") * 100 >= F.col("total") * least_percent)
+                   .select(*node, "piece", F.lit(True).alias("literal")))
+        step = F.when(F.col("piece").isNull(), F.lit("")).otherwise(
+            F.concat(F.lit("/"), F.when(F.col("literal"), F.col("piece")).otherwise(F.lit("*"))))
+        rows = rows.join(literal, [*node, "piece"], "left").select(
+            "page_id", "host", "path", "rule", "ruled", "seg", F.concat("template", step).alias("template"))
+    rows = staged(rows.drop("seg"), "templates")
+    blocked, labelled = F.count_if(F.col("ruled") == "block"), F.count("ruled")
+    leaves = staged(rows.groupBy("host", "template").agg(F.count("*").alias("n"), blocked.alias("b"), labelled.alias("l")), "leaves")
+    up = F.regexp_replace("template", r"/[^/]*$", "")
+    leaves = leaves.withColumn("parent", up)
+    groups = leaves.groupBy("host", "parent").agg(F.sum("n").alias("pn"), F.sum("b").alias("pb"))
+    share = F.col("pb") / F.col("pn")
+    # Distance of the branch's share of blocked urls from its parent's, in standard errors of a branch of its size.
+    apart = F.abs(F.col("b") - F.col("n") * share) > errors * F.sqrt(F.col("n") * share * (1 - share))
+    branch = leaves.join(groups, ["host", "parent"]).withColumn(
+        "branch", F.when(apart, F.col("template")).otherwise(F.concat(F.col("parent"), F.lit("/(merged)"))))
+    branch = staged(branch.select("host", "template", "branch", "b", "l"), "branches")
+    pure = branch.groupBy("host", "branch").agg(F.sum("b").alias("b"), F.sum("l").alias("l")).select(
+        "host", "branch", ((F.col("b") + prior) / (F.col("l") + 2 * prior) >= purity).alias("rejected"))
+    judged = branch.join(pure, ["host", "branch"]).select("host", "template", "rejected")
+    method = F.when(F.col("rejected"), F.lit("block")).otherwise(F.lit("allow"))
+    return rows.join(judged, ["host", "template"], "left").select(
+        "page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "template")
+
+
+def sql(rules: Sequence[tuple[str, str, str]] = RULES, depth: int = DEPTH, least_urls: int = LEAST_URLS,
+        least_percent: int = LEAST_PERCENT, errors: float = ERRORS, prior: float = PRIOR, purity: float = PURITY) -> str:
+    """The same for DuckDB."""
+    ordered = sorted(rules, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"WHEN ends_with('.' || host, '.{h}') AND starts_with(path, '{p}') THEN" for _, h, p in ordered]
+    name = "CASE " + " ".join(f"{f} '{h + p}'" for f, (_, h, p) in zip(fits, ordered, strict=True)) + " END"
+    verdict = "CASE " + " ".join(f"{f} '{k}'" for f, (k, _, _) in zip(fits, ordered, strict=True)) + " END"
+    steps = []
+    for level in range(depth):
+        deep = f"WHEN len(seg) > {depth} THEN '**'" if level == depth - 1 else ""
+        steps.append(f"""p{level} AS (SELECT *, CASE WHEN len(seg) <= {level} THEN NULL {deep} ELSE seg[{level + 1}] END AS piece FROM t{level}),
+c{level} AS (SELECT *, count(*) OVER (PARTITION BY host, template, piece) AS n,
+  count(piece) OVER (PARTITION BY host, template) AS total FROM p{level}),
+t{level + 1} AS (SELECT page_id, host, path, rule, ruled, seg, template || CASE WHEN piece IS NULL THEN ''
+  WHEN n >= {least_urls} AND n * 100 >= total * {least_percent} THEN '/' || piece ELSE '/*' END AS template FROM c{level})""")
+    return f"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+t0 AS (SELECT page_id, host, path, {name} AS rule, {verdict} AS ruled,
+  list_filter(string_split(path, '/'), lambda s: s <> '') AS seg, '' AS template FROM h),
+{", ".join(steps)},
+leaf AS (SELECT host, template, regexp_replace(template, '/[^/]*$', '') AS parent, count(*) AS n,
+  count(*) FILTER (ruled = 'block') AS b, count(ruled) AS l FROM t{depth} GROUP BY host, template),
+g AS (SELECT *, (sum(b) OVER (PARTITION BY host, parent))::DOUBLE / (sum(n) OVER (PARTITION BY host, parent))::DOUBLE AS share FROM leaf),
+br AS (SELECT *, CASE WHEN abs(b - n * share) > {errors} * sqrt(n * share * (1 - share)) THEN template
+  ELSE parent || '/(merged)' END AS branch FROM g),
+j AS (SELECT host, template, (sum(b) OVER w + {prior}) / (sum(l) OVER w + {2 * prior}) >= {purity} AS rejected
+  FROM br WINDOW w AS (PARTITION BY host, branch))
+SELECT page_id, t.host, path, rule, coalesce(ruled, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM t{depth} t LEFT JOIN j ON t.host = j.host AND t.template = j.template"""

@@ -1 +1,219 @@
+"""Embedding near-duplicates with an inverted multi-index."""
 
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagmill.llm import graph
+from tagmill.llm.common import fraction_below, staged
+
+THRESHOLD, TARGET_RECALL = 0.9, 0.995
+# Vectors in the training sample, bounds and filling of the codebooks, rows of a block.
+SAMPLE, LEAST_CODES, MOST_CODES, PER_CELL, BLOCK = 4000, 8, 256, 200, 1024
+LEAST_VISITS, LEAST_PAIRS = 4, 100
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def distances(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return np.maximum((points ** 2).sum(1)[:, None] - 2 * points @ codes.T + (codes ** 2).sum(1)[None], 0)
+
+
+def codebook(points: np.ndarray, size: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
+    """k-means with spread starting points."""
+    random = np.random.default_rng(seed)
+    codes = [points[random.integers(len(points))]]
+    nearest = ((points - codes[0]) ** 2).sum(1)
+    while len(codes) < min(size, len(points)) and nearest.sum() > 0:
+        codes.append(points[random.choice(len(points), p=nearest / nearest.sum())])
+        nearest = np.minimum(nearest, ((points - codes[-1]) ** 2).sum(1))
+    codes = np.array(codes)
+    for _ in range(rounds):
+        owner = distances(points, codes).argmin(1)
+        for i in np.unique(owner):
+            codes[i] = points[owner == i].mean(0)
+    return codes
+
+
+def visits(points: np.ndarray, first: np.ndarray, second: np.ndarray, many: int) -> np.ndarray:
+    """The ``many`` nearest cells of the product grid for each point, nearest first (multi-sequence order).
+
+    A cell is the number of its first code times the size of the second codebook
+    plus the number of its second code. The nearest ``many`` cells use the nearest
+    ``many`` codes of each half only.
+    """
+    half = points.shape[1] // 2
+    left, right = distances(points[:, :half], first), distances(points[:, half:], second)
+    a, b = np.argsort(left, axis=1, kind="stable")[:, :many], np.argsort(right, axis=1, kind="stable")[:, :many]
+    total = np.take_along_axis(left, a, 1)[:, :, None] + np.take_along_axis(right, b, 1)[:, None, :]
+    order = np.argsort(total.reshape(len(points), -1), axis=1, kind="stable")[:, :many]
+    return (np.take_along_axis(a, order // b.shape[1], 1) * len(second) + np.take_along_axis(b, order % b.shape[1], 1)).astype(np.int64)
+
+
+class Index:
+    """Two codebooks and the number of cells to visit, from a bounded sample."""
+
+    def __init__(self, sample: np.ndarray, rows: int, threshold: float, target: float):
+        size = int(np.clip(np.sqrt(rows / PER_CELL), LEAST_CODES, MOST_CODES))
+        self.dimension = sample.shape[1] if sample.ndim == 2 and len(sample) else 0
+        self.first = self.second = np.zeros((1, 0))
+        self.many = 1
+        if self.dimension < 2:
+            return
+        half = self.dimension // 2
+        self.first, self.second = codebook(sample[:, :half], size), codebook(sample[:, half:], size)
+        cells = len(self.first) * len(self.second)
+        order = visits(sample, self.first, self.second, cells if cells <= 4096 else 64)
+        home = order[:, 0]
+        ranks = []
+        for at in range(0, len(sample), 500):
+            left, right = np.nonzero(sample[at:at + 500] @ sample.T >= threshold)
+            left += at
+            left, right = left[left < right], right[left < right]
+            there, back = (order[left] == home[right][:, None]), (order[right] == home[left][:, None])
+            rank = [np.where(x.any(1), x.argmax(1), order.shape[1]) for x in (there, back)]
+            ranks.append(np.minimum(*rank) + 1)
+        found = np.sort(np.concatenate(ranks))
+        needed = int(found[min(len(found) - 1, int(np.ceil(target * len(found))))]) if len(found) else 1
+        least = 1 if len(found) >= LEAST_PAIRS else LEAST_VISITS
+        self.many = int(np.clip(max(needed, least), 1, order.shape[1]))
+
+    def plain(self) -> tuple:
+        return self.dimension, self.first, self.second, self.many
+
+
+def _assigned(shared, kind: pa.DataType):
+    """``rep, n, v, home, visited``; vectors of another length than the index get a cell of their own length."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dimension, first, second, many = shared.value
+        for batch in batches:
+            vectors = batch.column(2)
+            sizes = np.diff(vectors.offsets.to_numpy())
+            fit = np.flatnonzero(sizes == dimension) if dimension >= 2 else np.zeros(0, int)
+            lists: list = [[-int(s)] for s in sizes]
+            if len(fit):
+                points = np.stack([np.asarray(vectors[int(i)].values, np.float64) for i in fit])
+                points = points / np.linalg.norm(points, axis=1, keepdims=True)
+                for i, cells in zip(fit, visits(points, first, second, many).tolist(), strict=True):
+                    lists[i] = cells
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c[0] for c in lists], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                                             names=["rep", "n", "v", "home", "visited"])
+
+    return run
+
+
+def compare_block(ids: np.ndarray, weights: np.ndarray, points: np.ndarray, homes: np.ndarray, visited: list, query: np.ndarray,
+                  cell: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between the query rows and the index rows of a cell: ids, counted links, and smallest id joined to.
+
+    A pair seen from both of its homes is counted once for either end.
+    """
+    q, x = np.flatnonzero(query), np.flatnonzero(~query)
+    linked = points[q] @ points[x].T >= threshold
+    linked &= ids[q][:, None] != ids[x][None, :]
+    counts = np.zeros(len(ids), np.int64)
+    counts[q] += linked @ weights[x]
+    for home in np.unique(homes[q]):
+        if home != cell:
+            own = homes[q] == home
+            blind = np.array([home not in visited[i] for i in x])
+            counts[x] += (weights[q][own] @ linked[own]) * blind
+    rows, columns = linked.any(1), linked.any(0)
+    q, x, linked = q[rows], x[columns], linked[np.ix_(rows, columns)]
+    high = np.iinfo(np.int64).max
+    mine, theirs = ids[q].copy(), ids[x].copy()
+    while len(q):
+        low = np.where(linked, theirs[None, :], high).min(1)
+        mine_next = np.minimum(mine, low)
+        theirs_next = np.minimum(theirs, np.where(linked, mine_next[:, None], high).min(0))
+        if (mine_next == mine).all() and (theirs_next == theirs).all():
+            break
+        mine, theirs = mine_next, theirs_next
+    places = np.concatenate([q, x])
+    return ids[places], counts[places], np.concatenate([mine, theirs])
+
+
+def _compared(threshold: float):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        vectors = table.column("v").combine_chunks()
+        points = np.asarray(vectors.flatten(), np.float64).reshape(len(vectors), -1)
+        points = points / np.linalg.norm(points, axis=1, keepdims=True)
+        found = compare_block(table.column("rep").to_numpy(), table.column("n").to_numpy(), points, table.column("home").to_numpy(),
+                              [set(c or ()) for c in table.column("visited").to_pylist()], table.column("query").to_numpy().astype(bool),
+                              key[0].as_py(), threshold)
+        return pa.table([pa.array(c) for c in found], names=["rep", "links", "low"])
+
+    return run
+
+
+def link(vectors: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_RECALL, sample: int = SAMPLE,
+         block: int = BLOCK) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` per row of ``vectors(vec_id, embedding)``.
+
+    Equal vectors form one class and are compared once. Codebooks of the two
+    halves of unit vectors, fitted on a bounded sample, span a grid of cells; each
+    class is listed in its own cell and asks the nearest cells, as many as find
+    ``target`` of the links within the sample. All rows are listed and all ask.
+    Inside a cell, classes are compared exactly, in blocks of about ``block``
+    queries and ``block`` listed classes, so a crowded cell is spread over tasks;
+    pairs never leave a block, only counts and one edge per class do.
+
+    Null, empty and zero vectors and those with null or non-finite components are
+    linked with nothing, vectors of different length neither. Repeated rows count
+    as vectors of their own. Rows without ``vec_id`` have no component.
+    """
+    spark = vectors.sparkSession
+    kind = dict(vectors.dtypes)["embedding"]
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    good = F.coalesce(F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    key = F.when(good, F.sha1(F.concat_ws(",", F.transform("embedding", lambda x: x.cast("string")))))
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), key.alias("key"), "embedding")
+    keys = rows.select("vec_id", "key")
+    classes = staged(rows.filter("key IS NOT NULL AND vec_id IS NOT NULL").groupBy("key")
+                     .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("embedding", "vec_id").alias("v")), "vectors")
+    total = classes.count()
+    share = min(1.0, sample / max(1, total))
+    some = [r[0] for r in classes.filter(fraction_below("rep", "vectors", share)).orderBy("rep").select("v").collect()]
+    usual = max({len(v) for v in some}, key=[len(v) for v in some].count, default=0)
+    points = np.array([v for v in some if len(v) == usual], np.float64).reshape(-1, max(1, usual))
+    index = Index(unit(points), total, threshold, target)
+    shared = spark.sparkContext.broadcast(index.plain())
+    placed = staged(classes.select("rep", "n", "v").mapInArrow(
+        _assigned(shared, None), f"rep bigint, n bigint, v {kind}, home bigint, visited array<bigint>"), "cells")
+
+    # Crowded cells are cut on both sides; every part of one side meets every part of the other.
+    asked = placed.select(F.explode("visited").alias("cell")).groupBy("cell").agg(F.count("*").alias("asks"))
+    listed = placed.groupBy(F.col("home").alias("cell")).agg(F.count("*").alias("rows"))
+    # One row per cell of the grid, at most MOST_CODES squared (and one per length of odd vectors).
+    parts = F.broadcast(asked.join(listed, "cell").select("cell", F.ceil(F.col("asks") / block).cast("int").alias("p"),
+                                                          F.ceil(F.col("rows") / block).cast("int").alias("q")))
+
+    def part(count: str):
+        return F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
+
+    def all_of(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    queries = (placed.withColumn("cell", F.explode("visited")).join(parts, "cell")
+               .select("cell", part("p").alias("i"), all_of("q").alias("j"), "rep", "n", "v", "home",
+                       F.lit(None).cast("array<bigint>").alias("visited"), F.lit(True).alias("query")))
+    entries = (placed.withColumn("cell", F.col("home")).join(parts, "cell")
+               .select("cell", all_of("p").alias("i"), part("q").alias("j"), "rep", "n", "v", "home", "visited", F.lit(False).alias("query")))
+    found = staged(queries.unionByName(entries).groupBy("cell", "i", "j")
+                   .applyInArrow(_compared(threshold), "rep bigint, links bigint, low bigint"), "links")
+    joined = graph.components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")))
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    result = (classes.select("key", "rep", "n").join(links, "rep", "left")
+              .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
+              .select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
+    out = keys.join(result, "key", "left")
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
+                      F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
