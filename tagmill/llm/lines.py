@@ -104,6 +104,27 @@ def marginals(energy: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.nda
     return both[:, 1], moved
 
 
+def marginals_together(energy: np.ndarray, real: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``marginals`` of many documents at once; ``energy`` and ``real`` are documents by lines, padded at the end."""
+    docs, n = energy.shape
+    step = np.exp(moves)
+    own = np.stack([np.ones((docs, n)), np.exp(np.clip(energy, -30, 30))], axis=2)
+    own /= own.sum(axis=2, keepdims=True)
+    ahead, behind = np.empty((docs, n, 2)), np.ones((docs, n, 2))
+    ahead[:, 0] = own[:, 0]
+    for t in range(1, n):
+        row = own[:, t] * (ahead[:, t - 1] @ step)
+        ahead[:, t] = row / row.sum(axis=1, keepdims=True)
+    for t in range(n - 2, -1, -1):
+        row = (own[:, t + 1] * behind[:, t + 1]) @ step.T
+        behind[:, t] = np.where(real[:, t + 1, None], row / row.sum(axis=1, keepdims=True), 1.0)
+    both = ahead * behind
+    both /= both.sum(axis=2, keepdims=True)
+    pairs = ahead[:, :-1, :, None] * step * (own[:, 1:] * behind[:, 1:])[:, :, None, :]
+    pairs /= pairs.sum(axis=(2, 3), keepdims=True)
+    return both[:, :, 1], (pairs * real[:, 1:, None, None]).sum(axis=(0, 1))
+
+
 def bad_share(lengths: np.ndarray, shares: np.ndarray, weights: np.ndarray, moves: np.ndarray) -> float:
     """Length-weighted mean of the marginals."""
     bad, _ = marginals(neighbours(features(shares)) @ weights, moves)
@@ -146,7 +167,8 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds:
     inputs = [neighbours(features(shares)) for _, _, shares in sample]
     tags = [np.full(len(x), 1 - q, float) for (q, _, _), x in zip(sample, inputs, strict=True)]
     stacked = np.concatenate(inputs)
-    cuts = np.cumsum([len(x) for x in inputs])[:-1]
+    sizes = np.array([len(x) for x in inputs])
+    real = np.arange(sizes.max()) < sizes[:, None]
     for _ in range(rounds):
         flat = np.concatenate(tags)
         steps_of = np.zeros((2, 2))
@@ -154,9 +176,10 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds:
             np.add.at(steps_of, (tag[:-1].astype(int), tag[1:].astype(int)), 1)
         first, second = np.zeros(size + 4), np.zeros(size + 4)
         for step in range(1, steps + 1):
-            energies = np.split(stacked @ weights, cuts)
-            found = [marginals(e, moves) for e in energies]
-            bad, moved = np.concatenate([b for b, _ in found]), sum(m for _, m in found)
+            energy = np.zeros(real.shape)
+            energy[real] = stacked @ weights
+            found, moved = marginals_together(energy, real, moves)
+            bad = found[real]
             gradient = np.concatenate([stacked.T @ (flat - bad), (steps_of - moved).ravel()]) / len(sample)
             gradient -= decay * np.concatenate([weights, moves.ravel()])
             first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient ** 2

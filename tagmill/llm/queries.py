@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe, jaccard, langid, lines, mixture, rules, secrets, templates, vectors
+from tagmill.llm import bpe, jaccard, langid, lines, mixture, rules, secrets, templates, vectors, warc
 from tagmill.llm.common import ready
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(_table(spark, folder, "pages"))
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
@@ -51,6 +55,6 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules, op8_vectors,
+QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules, op8_vectors,
                                  op9_templates, op10_lines)}
-SQL = {"op6_mixture": mixture.sql(), "op9_templates": templates.sql()}
+SQL = {"op1_warc": warc.sql(), "op6_mixture": mixture.sql(), "op9_templates": templates.sql()}
