@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.llm.common import crc, fraction_below
-from tagmill.llm.text import pieces
+from tagmill.llm.text import pieces, sorted_distinct
 
 SYMBOLS = b"#*$%&|<>@~^_=+\\/{}[]"
 # Documents per label in the training sample, and lines of one document that are sent to the driver (evenly spread).
-SAMPLE_DOCS, SAMPLE_LINES = 1200, 64
+SAMPLE_DOCS, SAMPLE_LINES = 700, 32
 THRESHOLD = 0.3
 SHARES = 9
 CUTS = np.array([0.02, 0.08, 0.2, 0.4, 0.7])
@@ -25,44 +25,51 @@ FEATURES = 1 + SHARES * (len(CUTS) + 1)
 
 def _marks() -> np.ndarray:
     """Per byte value: upper case, lower case, digit, symbol, ! or ?, other ASCII mark, part of a wider character, blank."""
-    table = np.zeros((8, 256), np.uint8)
+    table = np.zeros(256, np.uint8)
     for b in range(256):
         c = chr(b)
-        kind = (6 if b >= 128 else 7 if b in b" \t\n\r\x0b\x0c" else 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit()
-                else 3 if b in SYMBOLS else 4 if c in "!?" else 5)
-        table[kind, b] = 1
+        table[b] = (6 if b >= 128 else 7 if b in b" \t\n\r\x0b\x0c" else 0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit()
+                    else 3 if b in SYMBOLS else 4 if c in "!?" else 5)
     return table
 
 
-def line_shares(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths (bytes) and shares of each line; a text without words is one empty line."""
-    table = _marks()
-    data = np.frombuffer(text + b"\n", np.uint8)
+def line_shares(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lines that have a word, over many texts: number of the text, visible bytes, shares.
+
+    Lines end at ``\\n``. A text without words counts as one empty line.
+    """
+    joined = b"\n".join([*texts, b""])
+    table, data = _marks(), np.frombuffer(joined, np.uint8)
     ends = np.flatnonzero(data == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    kinds = np.stack([np.add.reduceat(table[k][data], starts, dtype=np.int64) for k in range(8)], axis=1)
+    text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    owner = np.searchsorted(text_ends, ends)
+    kind = table[data]
+    place = np.repeat(np.arange(len(ends)) * 8, np.diff(ends, prepend=-1))
+    kinds = np.bincount(place + kind, minlength=8 * len(ends)).reshape(-1, 8)[:, :7]
     numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
     found = []
-    for part in pieces(text):
+    for part in pieces(joined):
         words = part.split()
         found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
     ids = np.concatenate(found)
-    inside = table[7][data] == 0
-    first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    blank = kind == 7
+    first = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+    if len(blank) and not blank[0]:
+        first = np.concatenate([[0], first])
     line = np.searchsorted(ends, first)
     words = np.bincount(line, minlength=len(ends))
     same = np.bincount(line[1:][(ids[1:] == ids[:-1]) & (line[1:] == line[:-1])], minlength=len(ends))
-    distinct = np.bincount(np.unique(line * max(1, len(numbers)) + ids) // max(1, len(numbers)), minlength=len(ends))
-    kept = words > 0
-    if not kept.any():
-        return np.zeros(1), np.zeros((1, SHARES))
-    kinds, words, same, distinct = kinds[kept], words[kept], same[kept], distinct[kept]
-    visible = np.maximum(1, kinds[:, :7].sum(axis=1))
-    letters = np.maximum(1, kinds[:, 0] + kinds[:, 1])
-    shares = np.stack([kinds[:, 0] / letters, kinds[:, 2] / visible, kinds[:, 3] * 4 / visible, kinds[:, 4] * 4 / visible,
-                       kinds[:, 5] / visible, same / words, 1 - distinct / words, np.minimum(1, visible / words / 16),
+    distinct = np.bincount(sorted_distinct(line * max(1, len(numbers)) + ids) // max(1, len(numbers)), minlength=len(ends))
+    # Empty lines of a text that has words are passed over; its last line stands for a text without any.
+    filled = np.bincount(owner, weights=words, minlength=len(texts)) > 0
+    kept = (words > 0) | (~filled[owner] & np.isin(ends, text_ends))
+    owner, kinds, words, same, distinct = owner[kept], kinds[kept], words[kept], same[kept], distinct[kept]
+    visible = kinds.sum(axis=1)
+    of, letters, many = np.maximum(1, visible), np.maximum(1, kinds[:, 0] + kinds[:, 1]), np.maximum(1, words)
+    shares = np.stack([kinds[:, 0] / letters, kinds[:, 2] / of, kinds[:, 3] * 4 / of, kinds[:, 4] * 4 / of, kinds[:, 5] / of,
+                       same / many, np.where(words > 0, 1 - distinct / many, 0.0), np.minimum(1, of / many / 16),
                        np.minimum(1, words / 100)], axis=1)
-    return visible.astype(float), shares
+    return owner, visible.astype(float), shares
 
 
 def features(shares: np.ndarray) -> np.ndarray:
@@ -125,18 +132,50 @@ def marginals_together(energy: np.ndarray, real: np.ndarray, moves: np.ndarray)
     return both[:, :, 1], (pairs * real[:, 1:, None, None]).sum(axis=(0, 1))
 
 
-def bad_share(lengths: np.ndarray, shares: np.ndarray, weights: np.ndarray, moves: np.ndarray) -> float:
-    """Length-weighted mean of the marginals."""
-    bad, _ = marginals(neighbours(features(shares)) @ weights, moves)
-    return float((lengths * bad).sum() / lengths.sum()) if lengths.sum() else float(bad.mean())
+def bad_shares(texts: list[bytes], weights: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Length-weighted mean of the marginals of each text's lines.
+
+    Texts are worked through side by side, longest first, so each step handles all texts that still have a line.
+    """
+    if not texts:
+        return np.zeros(0)
+    owner, lengths, shares = line_shares(texts)
+    inputs = features(shares)
+    # The weights of a line's own features and of those it shows to its neighbours.
+    own, before, after = (inputs @ w for w in np.split(weights, 3))
+    energy = own.copy()
+    joined = owner[1:] == owner[:-1]
+    energy[1:] += np.where(joined, before[:-1], 0.0)
+    energy[:-1] += np.where(joined, after[1:], 0.0)
+    sizes = np.bincount(owner, minlength=len(texts))
+    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    order = np.argsort(-sizes, kind="stable")
+    active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")
+    step = np.exp(moves)
+    chance = np.stack([np.ones(len(energy)), np.exp(np.clip(energy, -30, 30))], axis=1)
+    chance /= chance.sum(axis=1, keepdims=True)
+    ahead, behind = np.empty_like(chance), np.ones_like(chance)
+    ahead[begin] = chance[begin]
+    for t in range(1, sizes.max()):
+        at = begin[order[:active[t]]] + t
+        row = chance[at] * (ahead[at - 1] @ step)
+        ahead[at] = row / row.sum(axis=1, keepdims=True)
+    for t in range(sizes.max() - 1, 0, -1):
+        at = begin[order[:active[t]]] + t
+        row = (chance[at] * behind[at]) @ step.T
+        behind[at - 1] = row / row.sum(axis=1, keepdims=True)
+    both = ahead * behind
+    bad = both[:, 1] / both.sum(axis=1)
+    return np.bincount(owner, weights=bad * np.maximum(lengths, 1e-9)) / np.bincount(owner, weights=np.maximum(lengths, 1e-9))
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lengths, shares = [], []
-        for text in batch.column(1).to_pylist():
-            size, found = line_shares(text or b"")
-            some = np.unique(np.linspace(0, len(size) - 1, min(len(size), SAMPLE_LINES)).astype(int))
+        texts = [text or b"" for text in batch.column(1).to_pylist()]
+        owner, size, found = line_shares(texts)
+        for lines_ in np.split(np.arange(len(owner)), np.searchsorted(owner, np.arange(1, len(texts)))):
+            some = lines_[np.unique(np.linspace(0, len(lines_) - 1, min(len(lines_), SAMPLE_LINES)).astype(int))]
             lengths.append(size[some].tolist())
             shares.append(found[some].ravel().tolist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.list_(pa.float64())), pa.array(shares, pa.list_(pa.float64()))],
@@ -152,7 +191,7 @@ def _logistic(x: np.ndarray, yes: np.ndarray, weight: np.ndarray, rounds: int =
     return theta
 
 
-def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds: int = 3, steps: int = 60,
+def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds: int = 3, steps: int = 40,
         rate: float = 0.2, decay: float = 1e-3) -> tuple:
     """Weights, moves and calibration from ``quality, lengths, shares`` per document.
 
@@ -189,7 +228,12 @@ def fit(sample: list[tuple[int, np.ndarray, np.ndarray]], prior: float, rounds:
             if not quality:
                 bad = marginals(inputs[i] @ weights, moves)[0]
                 tags[i] = (bad >= min(0.2, bad.max())).astype(float)
-    values = np.array([bad_share(lengths, shares, weights, moves) for _, lengths, shares in sample])
+    energy = np.zeros(real.shape)
+    energy[real] = stacked @ weights
+    bad = np.where(real, marginals_together(energy, real, moves)[0], 0.0)
+    size_of = np.zeros(real.shape)
+    size_of[real] = np.maximum(1e-9, np.concatenate([lengths for _, lengths, _ in sample]))
+    values = (bad * size_of).sum(axis=1) / size_of.sum(axis=1)
     quality = np.array([q for q, _, _ in sample], float)
     share = quality.mean()
     weight = np.where(quality > 0, prior / share, (1 - prior) / (1 - share))
@@ -223,7 +267,7 @@ def _scored(shared):
         weights, moves, calibration = shared.value
         for batch in batches:
             place = batch.schema.get_field_index("__text")
-            values = np.array([bad_share(*line_shares(text or b""), weights, moves) for text in batch.column(place).to_pylist()])
+            values = bad_shares([text or b"" for text in batch.column(place).to_pylist()], weights, moves)
             scores = 1 / (1 + np.exp(-(values * calibration[0] + calibration[1])))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns) if i != place], pa.array(scores, pa.float64())],
                                              names=[*[n for n in batch.schema.names if n != "__text"], "__score"])

@@ -55,6 +55,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def sorted_distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def shingle_set(data: bytes, width: int, known: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the ``width``-word shingles of a text; A-Z are lowered.
 
@@ -67,4 +72,4 @@ def shingle_set(data: bytes, width: int, known: WordHashes) -> np.ndarray:
     hashed = np.zeros(count, np.uint64)
     for i in range(min(width, len(words))):
         hashed = mix(hashed * np.uint64(0x9E3779B97F4A7C15) + words[i:i + count] + np.uint64(1))
-    return np.unique(hashed)
+    return sorted_distinct(hashed)
