@@ -96,7 +96,7 @@ def _postings(width: int, percent: int, shared, most_levels: int):
 
     Shingles are ordered rare cells first. With level l a document sends
     ``n - needed + l`` shingles; two similar sets share at least l of them.
-    The level grows with the postings the sketch expects beyond chance.
+    The level grows with the postings the sketch expects beyond chance. ``meta`` holds n and the level.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -119,10 +119,9 @@ def _postings(width: int, percent: int, shared, most_levels: int):
                 cost = float(np.maximum(often[order[:base]] - chance, 0.0).mean())
                 level = max(1, min(most_levels, needed, 1 + int(np.log2(1.0 + cost) / 2)))
                 chosen = found[order[:base + level - 1]]
-                levels = np.maximum(1, np.arange(len(chosen)) - (base - 2))
                 tokens.append(chosen.view(np.int64))
                 docs.append(np.full(len(chosen), doc, np.int64))
-                metas.append((n << 16) | (levels << 8) | level)
+                metas.append(np.full(len(chosen), (n << 8) | level, np.int64))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (tokens, docs, metas)],
                                                  names=["token", "doc", "meta"])
@@ -161,20 +160,39 @@ def _verified(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> D
 
 
 def _size(meta: str):
-    return F.shiftright(meta, 16)
+    return F.shiftright(meta, 8)
 
 
 def _level(meta: str):
     return F.col(meta).bitwiseAND(255)
 
 
-def _stars(rows: DataFrame) -> DataFrame:
+def _enough(times: str, percent: int, one: str, two: str):
+    """Whether two prefixes share as many shingles as similar sets must.
+
+    Of the shingles common to two sets, those not shared by the prefixes lie behind the prefix of one of them.
+    So they are at most ``max(n - p)``, and the prefixes share the rest of the overlap that similarity asks for;
+    where both levels are higher, at least the lower level.
+    """
+    def behind(meta: str):
+        needed = F.floor((percent * _size(meta) + 99) / 100)
+        return needed - _level(meta)
+
+    overlap = F.ceil(percent * (_size(one) + _size(two)) / (100 + percent))
+    return F.col(times) >= F.greatest(F.least(_level(one), _level(two)), overlap - F.greatest(behind(one), behind(two)))
+
+
+def _comparable(percent: int, one: str, two: str):
+    return 100 * F.least(_size(one), _size(two)) >= percent * F.greatest(_size(one), _size(two))
+
+
+def _stars(rows: DataFrame, percent: int) -> DataFrame:
     """Per document the centre (smallest document of a shingle's list) it meets most often, if often enough."""
     centre = rows.groupBy("token").agg(F.min(F.struct("doc", "meta")).alias("c"))
-    met = (rows.join(centre, "token").filter("doc <> c.doc")
-           .groupBy("doc", F.col("c.doc").alias("b"))
-           .agg(F.count("*").alias("times"), F.min(F.least(_level("meta"), _level("c.meta"))).alias("level")))
-    return (met.filter("times >= level").groupBy("doc").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
+    met = (rows.join(centre, "token").select("doc", "meta", F.col("c.doc").alias("b"), F.col("c.meta").alias("mb"))
+           .filter("doc <> b").filter(_comparable(percent, "meta", "mb"))
+           .groupBy("doc", "b", "meta", "mb").agg(F.count("*").alias("times")))
+    return (met.filter(_enough("times", percent, "meta", "mb")).groupBy("doc").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
             .select(F.col("doc").alias("a"), "b"))
 
 
@@ -191,11 +209,8 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     left = mixed.select("token", F.col("component").alias("p"), F.col("doc").alias("a"), F.col("meta").alias("ma"))
     right = mixed.select("token", F.col("component").alias("q"), F.col("doc").alias("b"), F.col("meta").alias("mb"))
     met = paired.join(left, ["token", "p"]).join(right, ["token", "q"])
-    small, large = F.least(_size("ma"), _size("mb")), F.greatest(_size("ma"), _size("mb"))
-    level = F.least(_level("ma"), _level("mb"))
-    place = F.greatest(F.shiftright("ma", 8).bitwiseAND(255), F.shiftright("mb", 8).bitwiseAND(255))
-    near = met.filter((100 * small >= percent * large) & (place <= level)).select("a", "b", level.alias("level"))
-    return near.groupBy("a", "b").agg(F.count("*").alias("times"), F.first("level").alias("level")).filter("times >= level")
+    near = met.filter(_comparable(percent, "ma", "mb")).groupBy("a", "b", "ma", "mb").agg(F.count("*").alias("times"))
+    return near.filter(_enough("times", percent, "ma", "mb")).select("a", "b")
 
 
 def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int = CELLS, per_row: int = CELLS_PER_ROW,
@@ -207,8 +222,8 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
        shingles, longer where many candidates are expected.
     3. Shingles of one class only are dropped. Each class is compared with the centre it shares most with;
        that joins large groups by a few comparisons per member.
-    4. All remaining pairs of different components that share as many prefix shingles as their levels ask
-       for are compared exactly. Pairs inside a component could change nothing.
+    4. All remaining pairs of different components that share as many prefix shingles as their sizes and
+       levels ask for are compared exactly. Pairs inside a component could change nothing.
 
     Comparisons use whole sets; only equal 64-bit hashes of different shingles could deceive them.
     Rows without an id get no component; texts without words are linked with nothing. Rows that repeat an
@@ -231,7 +246,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
               .select("token", F.coalesce("rep", "doc").alias("doc"), "meta").distinct())
     listed = staged(_frequent(staged(listed, "listed"), "token", "doc"), "lists")
 
-    first = staged(_verified(texts, _stars(listed), width, percent), "links")
+    first = staged(_verified(texts, _stars(listed, percent), width, percent), "links")
     # Several texts of one id hold their classes together.
     again = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     first = first.union(again)
