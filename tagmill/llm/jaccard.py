@@ -182,27 +182,35 @@ def _enough(times: str, percent: int, one: str, two: str):
     return F.col(times) >= F.greatest(F.least(_level(one), _level(two)), overlap - F.greatest(behind(one), behind(two)))
 
 
+def _needed_prefix(meta: str, percent: int):
+    """Length of a document's prefix."""
+    return _size(meta) - F.floor((percent * _size(meta) + 99) / 100) + _level(meta)
+
+
 def _comparable(percent: int, one: str, two: str):
     return 100 * F.least(_size(one), _size(two)) >= percent * F.greatest(_size(one), _size(two))
 
 
-def _stars(rows: DataFrame, percent: int) -> DataFrame:
-    """Per document the centre (smallest document of a shingle's list) it meets most often, if often enough."""
-    centre = rows.groupBy("token").agg(F.min(F.struct("doc", "meta")).alias("c"))
-    met = (rows.join(centre, "token").select("doc", "meta", F.col("c.doc").alias("b"), F.col("c.meta").alias("mb"))
-           .filter("doc <> b").filter(_comparable(percent, "meta", "mb"))
-           .groupBy("doc", "b", "meta", "mb").agg(F.count("*").alias("times")))
+def _stars(rows: DataFrame, percent: int, rank) -> DataFrame:
+    """Per document that centre of another component it meets most often, if often enough: ``a, b``.
+
+    The centre of a shingle's list is its document of the highest rank.
+    """
+    rows = rows.withColumn("rank", rank)
+    centre = rows.groupBy("token").agg(F.max(F.struct("rank", (-F.col("doc")).alias("less"), "meta", "component")).alias("c"))
+    met = (rows.join(centre, "token").filter("component <> c.component")
+           .select("doc", "meta", (-F.col("c.less")).alias("b"), F.col("c.meta").alias("mb"))
+           .filter(_comparable(percent, "meta", "mb")).groupBy("doc", "b", "meta", "mb").agg(F.count("*").alias("times")))
     return (met.filter(_enough("times", percent, "meta", "mb")).groupBy("doc").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
             .select(F.col("doc").alias("a"), "b"))
 
 
-def _crossing(rows: DataFrame, percent: int) -> DataFrame:
+def _crossing(mixed: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share enough prefix shingles: ``a, b``.
 
-    Lists of one component are left out first, and components are paired before
+    Lists of one component are left out before, and components are paired before
     their members, so a large group of copies is never paired with itself.
     """
-    mixed = staged(_frequent(rows, "token", "component"), "mixed")
     groups = mixed.select("token", "component").distinct()
     paired = (groups.select("token", F.col("component").alias("p"))
               .join(groups.select("token", F.col("component").alias("q")), "token").filter("p < q"))
@@ -220,8 +228,8 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
     1. Each text becomes a set of 64-bit shingle hashes; equal sets form a class under its smallest id.
     2. A sketch of fixed size says which shingles are frequent; each class sends the prefix of its rarest
        shingles, longer where many candidates are expected.
-    3. Shingles of one class only are dropped. Each class is compared with the centre it shares most with;
-       that joins large groups by a few comparisons per member.
+    3. Shingles of one class only are dropped. Each class is compared with the centre it shares most with,
+       in two rounds with different centres; that joins large groups by a few comparisons per member.
     4. All remaining pairs of different components that share as many prefix shingles as their sizes and
        levels ask for are compared exactly. Pairs inside a component could change nothing.
 
@@ -246,14 +254,19 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
               .select("token", F.coalesce("rep", "doc").alias("doc"), "meta").distinct())
     listed = staged(_frequent(staged(listed, "listed"), "token", "doc"), "lists")
 
-    first = staged(_verified(texts, _stars(listed, percent), width, percent), "links")
     # Several texts of one id hold their classes together.
     again = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
-    first = first.union(again)
-    found = graph.components(first)
-    grouped = (listed.join(found.select(F.col("id").alias("doc"), "component"), "doc", "left")
-               .select("token", "doc", "meta", F.coalesce("component", "doc").alias("component")))
-    second = _verified(texts, _crossing(grouped, percent), width, percent)
-    final = graph.components(first.union(staged(second, "links")))
+    links = staged(again, "links")
+    # Originals come first as centres: most of their prefix is found elsewhere, while copies have shingles of their own.
+    shares = listed.groupBy("doc").agg((F.count("*") / F.first(_needed_prefix("meta", percent))).alias("share"))
+    ranked = staged(listed.join(shares, "doc"), "ranked")
+    for rank in (F.col("share"), F.xxhash64("doc"), None):
+        found = graph.components(links)
+        grouped = (ranked.join(found.select(F.col("id").alias("doc"), "component"), "doc", "left")
+                   .select("token", "doc", "meta", "share", F.coalesce("component", "doc").alias("component")))
+        mixed = staged(_frequent(grouped, "token", "component"), "mixed")
+        pairs = _crossing(mixed, percent) if rank is None else _stars(mixed, percent, rank)
+        links = staged(links.union(_verified(texts, pairs, width, percent)), "links")
+    final = graph.components(links)
     return (rows.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
