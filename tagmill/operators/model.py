@@ -2,27 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagmill.functions.constants import SEED
 from tagmill.session import ensure_checkpoint_dir
 
 
 def vectorize(encoded: DataFrame, dim: int, keep: tuple[str, ...] = ("entity",), first: int = 1) -> DataFrame:
-    """Sparse ML vectors from ``idxs, vals`` with whole-number values (marks or counts).
+    """Sparse ML vectors from ``idxs, vals``; index ``first`` becomes position 0 and values stay as they are.
 
-    Index ``first`` becomes position 0; indices outside ``first .. first+dim-1`` are ignored.
+    An index outside ``first .. first+dim-1``, a repeated index or a missing value is an error. Rows are
+    converted in Arrow batches; ``array_to_vector`` would need all ``dim`` places of each row.
     """
-    words = F.flatten(F.zip_with("idxs", "vals", lambda i, v: F.array_repeat(i.cast("string"), v.cast("int"))))
-    counter = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(first, first + dim)], inputCol="__words", outputCol="features")
-    return counter.transform(encoded.select(*keep, words.alias("__words"))).select(*keep, "features")
+    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+        for batch in batches:
+            vectors = []
+            for idxs, vals in zip(batch.column("__idxs").to_pylist(), batch.column("__vals").to_pylist(), strict=True):
+                pairs = sorted(zip(idxs or [], vals or [], strict=True))
+                places = [i - first for i, _ in pairs]
+                if any(not 0 <= i < dim for i in places) or len(set(places)) < len(places) or any(v is None for _, v in pairs):
+                    raise ValueError(f"indices must be distinct, between {first} and {first + dim - 1}, and have values: {idxs}")
+                vectors.append({"type": 0, "size": dim, "indices": places, "values": [float(v) for _, v in pairs]})
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(vectors, kind)], names=[*keep, "features"])
+
+    rows = encoded.select(*keep, F.col("idxs").alias("__idxs"), F.col("vals").alias("__vals"))
+    schema = T.StructType([*[rows.schema[k] for k in keep], T.StructField("features", VectorUDT())])
+    return rows.mapInArrow(sparse, schema)
+
+
+def dimension(encoded: DataFrame, first: int = 1) -> int:
+    """Number of places that the largest index needs."""
+    largest = encoded.agg(F.max(F.array_max("idxs"))).first()[0]
+    return 0 if largest is None else largest - first + 1
 
 
 def train(df: DataFrame, rounds: int = 20, depth: int = 6, seed: int = SEED, step: float = 0.3) -> GBTClassificationModel:

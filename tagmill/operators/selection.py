@@ -59,7 +59,8 @@ def _totals_from_stats(stats: DataFrame, missing_class: int, groups: Sequence[st
 def _with_totals(stats: DataFrame, missing_class: int, groups: Sequence[str]) -> DataFrame:
     totals = _totals_from_stats(stats, missing_class, groups)
     if groups:
-        return stats.join(totals, list(groups))
+        # One row per family: bounded by the families given, not by the data.
+        return stats.join(F.broadcast(totals), list(groups))
     both = totals.select(F.struct("all_pos", "all_neg")).scalar()
     return stats.withColumn("__totals", both).select("*", "__totals.all_pos", "__totals.all_neg").drop("__totals")
 

@@ -295,30 +295,42 @@ def sample_update(spark: SparkSession, origin: str, addition: str, output: str)
 
 # Models and audiences.
 
-def train(spark: SparkSession, paths: Mapping[str, str], output: str, dim: int, rounds: int = 20) -> None:
-    """One boosted-tree model per family from ``label idx:val ...`` files."""
-    for family, path in paths.items():
-        rows = libsvm.parse_labelled(readers.read_lines(spark, path))
-        fitted = model.train(model.vectorize(rows, dim, keep=("label",), first=0), rounds=rounds)
-        model.save(fitted, f"{output}/{family}")
-
+def train(spark: SparkSession, paths: Mapping[str, str], output: str, dim: int | None = None, rounds: int = 20) -> None:
+    """One boosted-tree model per family from ``label idx:val ...`` files.
 
-def predict(spark: SparkSession, path: str, model_path: str, output: str, dim: int, labelled: bool = False) -> None:
-    """``entity<TAB>score`` lines, or with the label between."""
+    Without ``dim`` each family's number of features is found from its file; the model keeps it. A family that
+    fails does not stop the others; all failures are raised together at the end.
+    """
+    failed = {}
+    for family, path in paths.items():
+        try:
+            rows = libsvm.parse_labelled(readers.read_lines(spark, path))
+            size = dim or model.dimension(rows, first=0)
+            fitted = model.train(model.vectorize(rows, size, keep=("label",), first=0), rounds=rounds)
+            model.save(fitted, f"{output}/{family}")
+        except Exception as error:
+            failed[family] = error
+    if failed:
+        raise RuntimeError(f"families that failed: { {k: str(v)[:200] for k, v in failed.items()} }") from next(iter(failed.values()))
+
+
+def predict(spark: SparkSession, path: str, model_path: str, output: str, dim: int | None = None, labelled: bool = False) -> None:
+    """``entity<TAB>score`` lines, or with the label between; without ``dim`` the model's own number of features."""
     lines = readers.read_lines(spark, path)
     keep = ("entity", "label") if labelled else ("entity",)
     rows = libsvm.parse_labelled_keyed(lines) if labelled else libsvm.parse_keyed(lines)
-    sinks.write_tsv(model.score(model.load(model_path), model.vectorize(rows, dim, keep, first=0), keep), output)
+    fitted = model.load(model_path)
+    sinks.write_tsv(model.score(fitted, model.vectorize(rows, dim or fitted.numFeatures, keep, first=0), keep), output)
 
 
-def tag_audience(spark: SparkSession, paths: Sequence[str], output: str, labelled: bool = False, files: int = 10) -> None:
+def tag_audience(spark: SparkSession, paths: Sequence[str], output: str, labelled: bool = False, files: int = 512) -> None:
     """Merge sub-model scores; write the positive and negative audience and the pseudo-labels."""
     keys = ("entity", "label") if labelled else ("entity",)
     combined = ensemble.combine(read_scores(spark, paths, labelled), len(paths), keys).persist()
     tagged = ensemble.tag(combined, keep_label=labelled)
     for side in ("pos", "neg"):
-        audience = tagged.filter(F.col("tag") == side).orderBy(F.desc("value"), "entity")
-        sinks.write_tsv(audience.select(*keys, "value"), f"{output}/{side}", files, ordered=True)
+        audience = tagged.filter(F.col("tag") == side).select(*keys, "value")
+        sinks.write_tsv(audience, f"{output}/{side}", files, order_by=[F.desc("value"), F.col("entity")])
     sinks.write_tsv(ensemble.pseudo_labels(combined), f"{output}/sample", files, sep=",")
     combined.unpersist()
 
@@ -332,13 +344,13 @@ def stack_train(spark: SparkSession, paths: Sequence[str], label_path: str, outp
     model.save(ensemble.train_stack(stored, read_labels(spark, label_path), rounds), f"{output}/model")
 
 
-def stack_predict(spark: SparkSession, scores: str, model_path: str, output: str) -> None:
+def stack_predict(spark: SparkSession, scores: str, model_path: str, output: str, files: int = 512) -> None:
     """Score and tag with the stacked model, each audience under its own folder."""
     stored = readers.read_delimited(spark, scores, {"entity": (0, "string"), "smax": (1, "double"), "smin": (2, "double")})
     tagged = ensemble.tag_stack(ensemble.score_stack(model.load(model_path), stored))
     for side in ("pos", "neg"):
-        audience = tagged.filter(F.col("tag") == side).orderBy(F.desc("value"), "entity")
-        sinks.write_tsv(audience.select("entity", "value"), f"{output}/{side}", 1, ordered=True)
+        audience = tagged.filter(F.col("tag") == side).select("entity", "value")
+        sinks.write_tsv(audience, f"{output}/{side}", files, order_by=[F.desc("value"), F.col("entity")])
 
 
 # Cohorts.

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings the plans rely on. All are runtime SQL settings, so they can be
 # applied to a session somebody else created.
@@ -73,10 +74,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-# A frame is only broadcast on request after counting that it has at most this many rows.
+# A frame is only broadcast on request after counting that it has at most this many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``rows`` rows; counting stops just past that."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _width(field: T.StructField) -> Column:
+    """About how many bytes a value takes in memory."""
+    kind = field.dataType
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(field.name)))), F.lit(0)) * 2 + 16
+    return F.lit(8)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` rows and ``size`` bytes; counting stops just past that."""
+    widths = [_width(f) for f in df.schema.fields]
+    found = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(sum(widths, F.lit(8)).cast("bigint")), F.lit(0))).first()
+    return F.broadcast(df) if found[0] <= rows and found[1] <= size else df

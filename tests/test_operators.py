@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tagmill import session
 from tagmill.functions import normalize as n
 from tagmill.operators import bags, campaign, cohort, features, geo, identity, labels, model, ranking, selection, sessions, trainset, vocab
 from tagmill.operators.evaluate import auc
@@ -293,3 +294,35 @@ def test_nested_parquet_reads_only_the_leaves(spark, tmp_path):
     df = readers.read_entities(spark, path, {"entity": "id", "model": "device.model"})
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "struct<model:bigint>" in plan and "brand" not in plan
+
+
+def test_real_valued_vectors_survive(spark):
+    df = spark.createDataFrame([("a", [1, 2, 4], [0.5, 2.7, -1.0]), ("b", [], [])], "entity string, idxs array<int>, vals array<double>")
+    got = {r.entity: r.features for r in model.vectorize(df, 4).collect()}
+    assert got["a"].toArray().tolist() == [0.5, 2.7, 0.0, -1.0] and got["b"].toArray().tolist() == [0.0] * 4
+    assert model.dimension(df) == 4
+    with pytest.raises(Exception, match="indices must be"):
+        model.vectorize(df, 3).collect()
+
+
+def test_model_learns_from_fractions(spark):
+    rows = [(float(i % 2), [1], [0.25 if i % 2 else 0.75]) for i in range(60)]
+    df = spark.createDataFrame(rows, "label double, idxs array<int>, vals array<double>")
+    vectors = model.vectorize(df, 1, keep=("label",))
+    scored = model.score(model.train(vectors, rounds=3, depth=2), vectors, keep=("label",)).collect()
+    assert all((r.score > 0.5) == (r.label == 1.0) for r in scored)
+
+
+def test_ordered_files_hold_ranges(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 97).alias("v"))
+    for _ in range(2):
+        sinks.write_tsv(df, str(tmp_path / "o"), files=4, order_by=[F.desc("v"), F.col("k")])
+    files = sorted((tmp_path / "o").glob("part-*"))
+    values = [int(line.split("\t")[1]) for f in files for line in f.read_text().splitlines()]
+    assert len(files) == 4 and values == sorted(values, reverse=True) and len(values) == 1000
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 1 << 20).alias("t"))
+    assert "broadcast" not in session.broadcast_if_small(wide)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in session.broadcast_if_small(spark.range(100))._jdf.queryExecution().logical().toString().lower()
