@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.llm import graph
@@ -92,11 +92,12 @@ def _sketch(profiles: DataFrame, cells: int, per_row: int) -> np.ndarray:
 
 
 def _postings(width: int, percent: int, shared, most_levels: int):
-    """Prefix shingles of each distinct set of a task: ``token, doc_id, meta``.
+    """Prefix shingles of each distinct set of a task: ``token, doc, meta, pos``.
 
     Shingles are ordered rare cells first. With level l a document sends
     ``n - needed + l`` shingles; two similar sets share at least l of them.
-    The level grows with the postings the sketch expects beyond chance. ``meta`` holds n and the level.
+    The level grows with the postings the sketch expects beyond chance. ``meta`` holds n and the level,
+    ``pos`` is the shingle's place in the order.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -104,7 +105,7 @@ def _postings(width: int, percent: int, shared, most_levels: int):
         chance = counts.mean() + 3.0 * np.sqrt(counts.mean()) + 1.0
         known, seen = WordHashes(), set()
         for batch in batches:
-            tokens, docs, metas = [], [], []
+            tokens, docs, metas, places = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingle_set(text or b"", width, known)
                 n = len(found)
@@ -122,9 +123,10 @@ def _postings(width: int, percent: int, shared, most_levels: int):
                 tokens.append(chosen.view(np.int64))
                 docs.append(np.full(len(chosen), doc, np.int64))
                 metas.append(np.full(len(chosen), (n << 8) | level, np.int64))
+                places.append(np.arange(len(chosen), dtype=np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (tokens, docs, metas)],
-                                                 names=["token", "doc", "meta"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, docs, metas, places)],
+                                                 names=["token", "doc", "meta", "pos"])
 
     return run
 
@@ -205,20 +207,59 @@ def _stars(rows: DataFrame, percent: int, rank) -> DataFrame:
             .select(F.col("doc").alias("a"), "b"))
 
 
+def _short(meta: str, percent: int) -> Column:
+    """Length of the prefix that suffices for the smaller set of a pair, which shares more of itself."""
+    return _size(meta) - F.ceil(2 * percent * _size(meta) / (100 + percent)) + _level(meta)
+
+
+def _possible(percent: int, one: tuple[str, str, str], two: tuple[str, str, str]) -> Column:
+    """Whether sets that share a shingle may be similar, by (shared before, behind, size) of it in both.
+
+    Both sets are in one order: what they share lies before the shingle in both or behind it in both,
+    and before it only shingles that other classes have too can be shared.
+    """
+    most = F.least(one[0], two[0]) + 1 + F.least(one[1], two[1])
+    return (100 + percent) * most >= percent * (F.col(one[2]) + F.col(two[2]))
+
+
 def _crossing(mixed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix shingles: ``a, b``.
+    """All pairs of different components that share enough prefix shingles, the larger set first: ``a, b``.
 
-    Lists of one component are left out before, and components are paired before
-    their members, so a large group of copies is never paired with itself.
+    Lists of one component are left out before, and components are paired before their members, so a large
+    group of copies is never paired with itself. Every join tests by the places of the shared shingle whether
+    the pair may be similar, for components by the best of their members; such a test never loses a similar pair.
     """
-    groups = mixed.select("token", "component").distinct()
-    paired = (groups.select("token", F.col("component").alias("p"))
-              .join(groups.select("token", F.col("component").alias("q")), "token").filter("p < q"))
-    left = mixed.select("token", F.col("component").alias("p"), F.col("doc").alias("a"), F.col("meta").alias("ma"))
-    right = mixed.select("token", F.col("component").alias("q"), F.col("doc").alias("b"), F.col("meta").alias("mb"))
-    met = paired.join(left, ["token", "p"]).join(right, ["token", "q"])
-    near = met.filter(_comparable(percent, "ma", "mb")).groupBy("a", "b", "ma", "mb").agg(F.count("*").alias("times"))
-    return near.filter(_enough("times", percent, "ma", "mb")).select("a", "b")
+    whole = mixed.select("token", "component", "doc", "meta", "before", _size("meta").alias("n"),
+                         (_size("meta") - F.col("pos") - 1).alias("behind"), (F.col("pos") < _short("meta", percent)).alias("short"))
+    short = whole.filter("short")
+
+    def groups(rows: DataFrame, to: str) -> DataFrame:
+        return rows.groupBy("token", F.col("component").alias(to)).agg(
+            F.max("before").alias(f"before_{to}"), F.max("behind").alias(f"behind_{to}"),
+            F.min("n").alias(f"least_{to}"), F.max("n").alias(f"most_{to}"))
+
+    def members(rows: DataFrame, group: str, to: str) -> DataFrame:
+        return rows.select("token", F.col("component").alias(group), F.col("doc").alias(to), F.col("meta").alias(f"m{to}"),
+                           F.col("before").alias(f"before_{to}"), F.col("behind").alias(f"behind_{to}"), F.col("n").alias(f"n_{to}"))
+
+    p, q = groups(whole, "p").alias("p"), groups(short, "q").alias("q")
+    a, b = members(whole, "p", "a").alias("a"), members(short, "q", "b").alias("b")
+    of_p, of_q = ("before_p", "behind_p", "least_p"), ("before_q", "behind_q", "least_q")
+    of_a, of_b = ("before_a", "behind_a", "n_a"), ("before_b", "behind_b", "n_b")
+    paired = (p.join(q, (F.col("p.token") == F.col("q.token")) & (F.col("p") != F.col("q")) & (F.col("least_q") <= F.col("most_p"))
+                     & (100 * F.col("most_q") >= percent * F.col("least_p")) & _possible(percent, of_p, of_q))
+              .select(F.col("p.token").alias("token"), "p", "q", "least_q", "most_q", "before_q", "behind_q").alias("pq"))
+    half = (paired.join(a, (F.col("pq.token") == F.col("a.token")) & (F.col("pq.p") == F.col("a.p")) & (F.col("least_q") <= F.col("n_a"))
+                        & (100 * F.col("most_q") >= percent * F.col("n_a")) & _possible(percent, of_a, of_q))
+            .select(F.col("pq.token").alias("token"), "q", "a", "ma", *of_a).alias("half"))
+    ordered = F.struct("n_b", "b") < F.struct("n_a", "a")
+    met = half.join(b, (F.col("half.token") == F.col("b.token")) & (F.col("half.q") == F.col("b.q")) & ordered
+                    & (100 * F.col("n_b") >= percent * F.col("n_a")) & _possible(percent, of_a, of_b))
+    near = met.groupBy("a", "b", "ma", "mb").agg(F.count("*").alias("times"))
+    # As in ``_enough``, with the short prefix of the smaller set.
+    overlap = F.ceil(percent * (_size("ma") + _size("mb")) / (100 + percent))
+    unseen = F.greatest(_size("ma") - _needed_prefix("ma", percent), _size("mb") - _short("mb", percent))
+    return near.filter(F.col("times") >= overlap - unseen).select("a", "b")
 
 
 def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int = CELLS, per_row: int = CELLS_PER_ROW,
@@ -231,7 +272,8 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
     3. Shingles of one class only are dropped. Each class is compared with the centre it shares most with,
        in two rounds with different centres; that joins large groups by a few comparisons per member.
     4. All remaining pairs of different components that share as many prefix shingles as their sizes and
-       levels ask for are compared exactly. Pairs inside a component could change nothing.
+       levels ask for, at places that leave enough in common, are compared exactly. The smaller set of a pair
+       needs a shorter prefix. Pairs inside a component could change nothing.
 
     Comparisons use whole sets; only equal 64-bit hashes of different shingles could deceive them.
     Rows without an id get no component; texts without words are linked with nothing. Rows that repeat an
@@ -247,23 +289,26 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
                .filter("rep < last").select("digest", "rep"))
     rows = staged(rows.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
 
-    postings = staged(texts.mapInArrow(_postings(width, percent, shared, most_levels), "token bigint, doc bigint, meta bigint"), "postings")
+    postings = staged(texts.mapInArrow(_postings(width, percent, shared, most_levels), "token bigint, doc bigint, meta bigint, pos bigint"),
+                      "postings")
     several = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     moved = rows.filter("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
     listed = (postings.join(several, "token", "left_semi").join(moved, "doc", "left")
-              .select("token", F.coalesce("rep", "doc").alias("doc"), "meta").distinct())
-    listed = staged(_frequent(staged(listed, "listed"), "token", "doc"), "lists")
+              .select("token", F.coalesce("rep", "doc").alias("doc"), "meta", "pos").distinct())
+    listed = _frequent(staged(listed, "listed"), "token", "doc")
 
     # Several texts of one id hold their classes together.
     again = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
     links = staged(again, "links")
     # Originals come first as centres: most of their prefix is found elsewhere, while copies have shingles of their own.
-    shares = listed.groupBy("doc").agg((F.count("*") / F.first(_needed_prefix("meta", percent))).alias("share"))
-    ranked = staged(listed.join(shares, "doc"), "ranked")
+    # A window holds one document's prefix. ``before`` counts its earlier shingles that other classes list too.
+    of_doc = Window.partitionBy("doc")
+    ranked = staged(listed.withColumn("before", (F.row_number().over(of_doc.orderBy("pos")) - 1).cast("bigint"))
+                    .withColumn("share", F.count("*").over(of_doc) / _needed_prefix("meta", percent)), "ranked")
     for rank in (F.col("share"), F.xxhash64("doc"), None):
         found = graph.components(links)
         grouped = (ranked.join(found.select(F.col("id").alias("doc"), "component"), "doc", "left")
-                   .select("token", "doc", "meta", "share", F.coalesce("component", "doc").alias("component")))
+                   .select("token", "doc", "meta", "pos", "before", "share", F.coalesce("component", "doc").alias("component")))
         mixed = staged(_frequent(grouped, "token", "component"), "mixed")
         pairs = _crossing(mixed, percent) if rank is None else _stars(mixed, percent, rank)
         links = staged(links.union(_verified(texts, pairs, width, percent)), "links")
