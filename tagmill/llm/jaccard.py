@@ -30,7 +30,7 @@ def _profiles(width: int, cells: int, per_row: int):
     """Per document its set's size and digest; per task also rows of the frequency sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, counts = WordHashes(), set(), np.zeros(cells, np.uint32)
-        names = ["doc_id", "n", "digest", "part", "counts"]
+        names = ["doc_id", "n", "digest", "cls", "part", "counts"]
         kind = None
         for batch in batches:
             kind = batch.column(0).type
@@ -45,14 +45,14 @@ def _profiles(width: int, cells: int, per_row: int):
                     np.add.at(counts, (found & np.uint64(cells - 1)).astype(np.int64), 1)
             rows = len(sizes)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([_key(d) for d in digests], pa.int64()),
                  pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if kind is not None and counts.any():
             parts = [i for i in range(cells // per_row) if counts[i * per_row:(i + 1) * per_row].any()]
             data = [counts[i * per_row:(i + 1) * per_row].tobytes() for i in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()),
-                 pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=names)
+                 pa.nulls(len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=names)
 
     return run
 
@@ -61,6 +61,11 @@ def _digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
+def _key(digest: bytes) -> int:
+    """Half a digest; together with the set's size it stands for a class while shingles are counted."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
 def _added(kind: str):
     """Add sketch rows of equal parts as they stream by."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +97,7 @@ def _sketch(profiles: DataFrame, cells: int, per_row: int) -> np.ndarray:
 
 
 def _postings(width: int, percent: int, shared, most_levels: int):
-    """Prefix shingles of each distinct set of a task: ``token, doc, meta, pos``.
+    """Prefix shingles of each distinct set of a task: ``token, cls, meta, pos``.
 
     Shingles are ordered rare cells first. With level l a document sends
     ``n - needed + l`` shingles; two similar sets share at least l of them.
@@ -105,7 +110,7 @@ def _postings(width: int, percent: int, shared, most_levels: int):
         chance = counts.mean() + 3.0 * np.sqrt(counts.mean()) + 1.0
         known, seen = WordHashes(), set()
         for batch in batches:
-            tokens, docs, metas, places = [], [], [], []
+            tokens, classes, metas, places = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingle_set(text or b"", width, known)
                 n = len(found)
@@ -121,12 +126,12 @@ def _postings(width: int, percent: int, shared, most_levels: int):
                 level = max(1, min(most_levels, needed, 1 + int(np.log2(1.0 + cost) / 2)))
                 chosen = found[order[:base + level - 1]]
                 tokens.append(chosen.view(np.int64))
-                docs.append(np.full(len(chosen), doc, np.int64))
+                classes.append(np.full(len(chosen), _key(digest), np.int64))
                 metas.append(np.full(len(chosen), (n << 8) | level, np.int64))
                 places.append(np.arange(len(chosen), dtype=np.int64))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, docs, metas, places)],
-                                                 names=["token", "doc", "meta", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, metas, places)],
+                                                 names=["token", "cls", "meta", "pos"])
 
     return run
 
@@ -253,13 +258,14 @@ def _crossing(mixed: DataFrame, percent: int) -> DataFrame:
                         & (100 * F.col("most_q") >= percent * F.col("n_a")) & _possible(percent, of_a, of_q))
             .select(F.col("pq.token").alias("token"), "q", "a", "ma", *of_a).alias("half"))
     ordered = F.struct("n_b", "b") < F.struct("n_a", "a")
+    # Sets that share ``overlap`` shingles share ``level`` of them within the first ``n - overlap + level`` of each.
+    level = F.least(_level("ma"), _level("mb"))
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     met = half.join(b, (F.col("half.token") == F.col("b.token")) & (F.col("half.q") == F.col("b.q")) & ordered
-                    & (100 * F.col("n_b") >= percent * F.col("n_a")) & _possible(percent, of_a, of_b))
+                    & (100 * F.col("n_b") >= percent * F.col("n_a")) & _possible(percent, of_a, of_b)
+                    & (F.least("behind_a", "behind_b") >= overlap - level))
     near = met.groupBy("a", "b", "ma", "mb").agg(F.count("*").alias("times"))
-    # As in ``_enough``, with the short prefix of the smaller set.
-    overlap = F.ceil(percent * (_size("ma") + _size("mb")) / (100 + percent))
-    unseen = F.greatest(_size("ma") - _needed_prefix("ma", percent), _size("mb") - _short("mb", percent))
-    return near.filter(F.col("times") >= overlap - unseen).select("a", "b")
+    return near.filter(F.col("times") >= level).select("a", "b")
 
 
 def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int = CELLS, per_row: int = CELLS_PER_ROW,
@@ -275,41 +281,43 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
        levels ask for, at places that leave enough in common, are compared exactly. The smaller set of a pair
        needs a shorter prefix. Pairs inside a component could change nothing.
 
-    Comparisons use whole sets; only equal 64-bit hashes of different shingles could deceive them.
-    Rows without an id get no component; texts without words are linked with nothing. Rows that repeat an
+    Comparisons use whole sets; only equal 64-bit hashes of different shingles, or of different sets of one size,
+    could deceive them. Rows without an id get no component; texts without words are linked with nothing. Rows that repeat an
     id are one document with several texts. Columns beyond ``doc_id, text`` are not looked at.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    profiles = staged(texts.mapInArrow(_profiles(width, cells, per_row), "doc_id bigint, n bigint, digest binary, part int, counts binary"),
-                      "profiles")
+    profiles = staged(texts.mapInArrow(_profiles(width, cells, per_row),
+                                       "doc_id bigint, n bigint, digest binary, cls bigint, part int, counts binary"), "profiles")
     shared = spark.sparkContext.broadcast(_sketch(profiles, cells, per_row))
-    rows = profiles.filter(F.col("part").isNull()).select("doc_id", "n", "digest")
+    rows = profiles.filter(F.col("part").isNull()).select("doc_id", "n", "digest", "cls")
     classes = (rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
                .filter("rep < last").select("digest", "rep"))
-    rows = staged(rows.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "classes")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
+    rows = staged(rows.join(classes, "digest", "left").select("doc_id", "n", "cls", own.alias("rep")), "classes")
 
-    postings = staged(texts.mapInArrow(_postings(width, percent, shared, most_levels), "token bigint, doc bigint, meta bigint, pos bigint"),
+    postings = staged(texts.mapInArrow(_postings(width, percent, shared, most_levels), "token bigint, cls bigint, meta bigint, pos bigint"),
                       "postings")
-    several = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    moved = rows.filter("doc_id <> rep").select(F.col("doc_id").alias("doc"), "rep").distinct()
-    listed = (postings.join(several, "token", "left_semi").join(moved, "doc", "left")
-              .select("token", F.coalesce("rep", "doc").alias("doc"), "meta", "pos").distinct())
-    listed = _frequent(staged(listed, "listed"), "token", "doc")
+    several = postings.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x < y").select("token")
+    listed = postings.join(several, "token", "left_semi").distinct().withColumn("n", _size("meta"))
+    senders = rows.filter("n > 0 AND rep IS NOT NULL").groupBy("cls", "n").agg(F.min("rep").alias("doc"))
 
     # Several texts of one id hold their classes together.
-    again = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b").select("a", "b")
-    links = staged(again, "links")
+    again = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).filter("a < last").select("doc_id", "a")
+    links = staged(rows.join(again, "doc_id").filter("a < rep").select("a", F.col("rep").alias("b")).distinct(), "links")
     # Originals come first as centres: most of their prefix is found elsewhere, while copies have shingles of their own.
     # A window holds one document's prefix. ``before`` counts its earlier shingles that other classes list too.
-    of_doc = Window.partitionBy("doc")
-    ranked = staged(listed.withColumn("before", (F.row_number().over(of_doc.orderBy("pos")) - 1).cast("bigint"))
-                    .withColumn("share", F.count("*").over(of_doc) / _needed_prefix("meta", percent)), "ranked")
-    for rank in (F.col("share"), F.xxhash64("doc"), None):
-        found = graph.components(links)
-        grouped = (ranked.join(found.select(F.col("id").alias("doc"), "component"), "doc", "left")
-                   .select("token", "doc", "meta", "pos", "before", "share", F.coalesce("component", "doc").alias("component")))
-        mixed = staged(_frequent(grouped, "token", "component"), "mixed")
+    of_doc = Window.partitionBy("cls", "n")
+    mixed = staged(listed.join(senders, ["cls", "n"]).withColumn("before", (F.row_number().over(of_doc.orderBy("pos")) - 1).cast("bigint"))
+                   .withColumn("share", F.count("*").over(of_doc) / _needed_prefix("meta", percent))
+                   .select("token", "doc", "meta", "pos", "before", "share", F.col("doc").alias("component")), "ranked")
+    for turn, rank in enumerate((F.col("share"), F.xxhash64("doc"), None)):
+        if turn:
+            # Components only grow, so shingles that one component has to itself are gone for good.
+            found = graph.components(links)
+            grouped = (mixed.drop("component").join(found.select(F.col("id").alias("doc"), "component"), "doc", "left")
+                       .select("token", "doc", "meta", "pos", "before", "share", F.coalesce("component", "doc").alias("component")))
+            mixed = staged(_frequent(grouped, "token", "component"), "mixed")
         pairs = _crossing(mixed, percent) if rank is None else _stars(mixed, percent, rank)
         links = staged(links.union(_verified(texts, pairs, width, percent)), "links")
     final = graph.components(links)
