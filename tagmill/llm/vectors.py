@@ -15,7 +15,10 @@ from tagmill.llm.common import fraction_below, staged
 THRESHOLD, TARGET_RECALL = 0.9, 0.995
 # Vectors in the training sample, bounds and filling of the codebooks, rows of a block.
 SAMPLE, LEAST_CODES, MOST_CODES, PER_CELL, BLOCK = 4000, 8, 256, 200, 1024
-LEAST_VISITS, LEAST_PAIRS = 4, 100
+# Fewest cells to visit, vectors the calibration asks for, and those of them that a band of cosines needs to count by itself.
+LEAST_VISITS, QUERIES, LEAST_QUERIES = 8, 1000, 50
+# Bands of cosines between the threshold and 1 for which the target must hold.
+BANDS = 4
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -46,44 +49,60 @@ def visits(points: np.ndarray, first: np.ndarray, second: np.ndarray, many: int)
     """The ``many`` nearest cells of the product grid for each point, nearest first (multi-sequence order).
 
     A cell is the number of its first code times the size of the second codebook
-    plus the number of its second code. The nearest ``many`` cells use the nearest
-    ``many`` codes of each half only.
+    plus the number of its second code. A cell of the i-th and the j-th nearest code
+    has i * j cells that are at least as near, itself among them, so only those with
+    i * j <= ``many`` are candidates.
     """
     half = points.shape[1] // 2
     left, right = distances(points[:, :half], first), distances(points[:, half:], second)
     a, b = np.argsort(left, axis=1, kind="stable")[:, :many], np.argsort(right, axis=1, kind="stable")[:, :many]
-    total = np.take_along_axis(left, a, 1)[:, :, None] + np.take_along_axis(right, b, 1)[:, None, :]
-    order = np.argsort(total.reshape(len(points), -1), axis=1, kind="stable")[:, :many]
-    return (np.take_along_axis(a, order // b.shape[1], 1) * len(second) + np.take_along_axis(b, order % b.shape[1], 1)).astype(np.int64)
+    i, j = np.nonzero(np.outer(np.arange(1, a.shape[1] + 1), np.arange(1, b.shape[1] + 1)) <= many)
+    total = np.take_along_axis(left, a, 1)[:, i] + np.take_along_axis(right, b, 1)[:, j]
+    order = np.argsort(total, axis=1, kind="stable")[:, :many]
+    return (np.take_along_axis(a, i[order], 1) * len(second) + np.take_along_axis(b, j[order], 1)).astype(np.int64)
+
+
+def place(order: np.ndarray, homes: np.ndarray) -> np.ndarray:
+    """1-based place of each home in its row of visited cells, one more than their number if it is not among them."""
+    there = order == homes[:, None]
+    return np.where(there.any(1), there.argmax(1), order.shape[1]) + 1
+
+
+def planted(points: np.ndarray, threshold: float, seed: int = 11) -> np.ndarray:
+    """For each unit vector another one whose cosine to it is just ``threshold``, in a random direction."""
+    other = np.random.default_rng(seed).normal(size=points.shape)
+    other = unit(other - (other * points).sum(1)[:, None] * points)
+    return threshold * points + np.sqrt(max(0.0, 1 - threshold ** 2)) * other
 
 
 class Index:
-    """Two codebooks and the number of cells to visit, from a bounded sample."""
+    """Two codebooks from a bounded sample and the number of cells to visit.
+
+    The number starts at what finds ``target`` of one planted neighbour at the
+    threshold per sampled vector, so it needs no links within the sample and does
+    not depend on the sizes of groups. ``calibrate`` raises it for the real links.
+    """
 
     def __init__(self, sample: np.ndarray, rows: int, threshold: float, target: float):
         size = int(np.clip(np.sqrt(rows / PER_CELL), LEAST_CODES, MOST_CODES))
         self.dimension = sample.shape[1] if sample.ndim == 2 and len(sample) else 0
         self.first = self.second = np.zeros((1, 0))
-        self.many = 1
+        self.many = self.cells = 1
         if self.dimension < 2:
             return
         half = self.dimension // 2
         self.first, self.second = codebook(sample[:, :half], size), codebook(sample[:, half:], size)
-        cells = len(self.first) * len(self.second)
-        order = visits(sample, self.first, self.second, cells if cells <= 4096 else 64)
-        home = order[:, 0]
-        ranks = []
-        for at in range(0, len(sample), 500):
-            left, right = np.nonzero(sample[at:at + 500] @ sample.T >= threshold)
-            left += at
-            left, right = left[left < right], right[left < right]
-            there, back = (order[left] == home[right][:, None]), (order[right] == home[left][:, None])
-            rank = [np.where(x.any(1), x.argmax(1), order.shape[1]) for x in (there, back)]
-            ranks.append(np.minimum(*rank) + 1)
-        found = np.sort(np.concatenate(ranks))
-        needed = int(found[min(len(found) - 1, int(np.ceil(target * len(found))))]) if len(found) else 1
-        least = 1 if len(found) >= LEAST_PAIRS else LEAST_VISITS
-        self.many = int(np.clip(max(needed, least), 1, order.shape[1]))
+        self.cells = len(self.first) * len(self.second)
+        some = sample[:QUERIES]
+        other, limit = planted(some, threshold), LEAST_VISITS
+        while True:
+            order, back = (visits(x, self.first, self.second, limit) for x in (some, other))
+            found = np.sort(np.minimum(place(order, back[:, 0]), place(back, order[:, 0])))
+            needed = int(found[int(np.ceil(target * len(found))) - 1])
+            if needed <= order.shape[1]:
+                break
+            limit *= 2
+        self.many = min(max(needed, LEAST_VISITS), self.cells)
 
     def plain(self) -> tuple:
         return self.dimension, self.first, self.second, self.many
@@ -109,6 +128,68 @@ def _assigned(shared, kind: pa.DataType):
     return run
 
 
+def _asked(shared, limit: int, threshold: float):
+    """``query, band, place, n``: links of the queries with the rows of a batch by cosine and by the visits that find them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries, order, first, second = shared.value
+        for batch in batches:
+            vectors = batch.column(1)
+            fit = np.flatnonzero(np.diff(vectors.offsets.to_numpy()) == queries.shape[1])
+            counted = np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
+            if len(fit):
+                points = unit(np.stack([np.asarray(vectors[int(i)].values, np.float64) for i in fit]))
+                cosine = points @ queries.T
+                row, query = np.nonzero((cosine >= threshold) & (batch.column(0).to_numpy()[fit][:, None] != ids[None, :]))
+                if len(row):
+                    linked, at = np.unique(row, return_inverse=True)
+                    back = visits(points[linked], first, second, limit)
+                    band = np.clip((cosine[row, query] - threshold) / max(1 - threshold, 1e-9) * BANDS, 0, BANDS - 1).astype(np.int64)
+                    places = np.concatenate([np.minimum(place(order[query[k:k + 65536]], back[at[k:k + 65536], 0]),
+                                                        place(back[at[k:k + 65536]], order[query[k:k + 65536], 0]))
+                                             for k in range(0, len(row), 65536)])
+                    counted = np.unique(np.stack([query, band, places], 1), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in counted[0].T], pa.array(counted[1], pa.int64())],
+                                             names=["query", "band", "place", "n"])
+
+    return run
+
+
+def visits_needed(counts: np.ndarray, limit: int, target: float) -> int:
+    """Visits that find ``target`` of the links, each query with weight one, together and in each band; more than ``limit``: not known.
+
+    ``counts`` has rows of query, band, place and number of links.
+    """
+    needed = 1
+    for band in (None, *range(BANDS)):
+        rows = counts if band is None else counts[counts[:, 1] == band]
+        queries, at = np.unique(rows[:, 0], return_inverse=True)
+        if len(queries) < LEAST_QUERIES:
+            continue
+        weight = rows[:, 3] / np.bincount(at, rows[:, 3])[at] / len(queries)
+        found = np.cumsum(np.bincount(rows[:, 2], weight, minlength=limit + 2))
+        needed = max(needed, int(np.argmax(found >= target - 1e-9)))
+    return needed
+
+
+def calibrate(index: Index, classes: DataFrame, queries: list, threshold: float, target: float) -> None:
+    """Raise the number of visits until the real links of the queries (id, vector), sought among all classes, meet the target."""
+    queries = [q for q in queries if len(q[1]) == index.dimension]
+    if index.dimension < 2 or not queries:
+        return
+    ids, points = np.array([q[0] for q in queries], np.int64), unit(np.array([q[1] for q in queries], np.float64))
+    limit = min(2 * index.many, index.cells)
+    while True:
+        shared = classes.sparkSession.sparkContext.broadcast((ids, points, visits(points, index.first, index.second, limit), index.first, index.second))
+        found = (classes.select("rep", "v").mapInArrow(_asked(shared, limit, threshold), "query bigint, band bigint, place bigint, n bigint")
+                 .groupBy("query", "band", "place").agg(F.sum("n").alias("n")))
+        counts = np.array([tuple(r) for r in found.collect()], np.int64).reshape(-1, 4)
+        needed = visits_needed(counts, limit, target)
+        if needed <= limit:
+            index.many = max(index.many, needed)
+            return
+        limit = min(2 * limit, index.cells)
+
+
 def compare_block(ids: np.ndarray, weights: np.ndarray, points: np.ndarray, homes: np.ndarray, visited: list, query: np.ndarray,
                   cell: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Links between the query rows and the index rows of a cell: ids, counted links, and smallest id joined to.
@@ -121,8 +202,8 @@ def compare_block(ids: np.ndarray, weights: np.ndarray, points: np.ndarray, home
     counts = np.zeros(len(ids), np.int64)
     counts[q] += linked @ weights[x]
     for home in np.unique(homes[q]):
-        if home != cell:
-            own = homes[q] == home
+        own = homes[q] == home
+        if home != cell and linked[own].any():
             blind = np.array([home not in visited[i] for i in x])
             counts[x] += (weights[q][own] @ linked[own]) * blind
     rows, columns = linked.any(1), linked.any(0)
@@ -160,7 +241,9 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     Equal vectors form one class and are compared once. Codebooks of the two
     halves of unit vectors, fitted on a bounded sample, span a grid of cells; each
     class is listed in its own cell and asks the nearest cells, as many as find
-    ``target`` of the links within the sample. All rows are listed and all ask.
+    ``target`` of planted neighbours at the threshold, and of the links that held-out
+    classes have with all classes, each of them weighing the same and in each band of
+    cosines. All rows are listed and all ask.
     Inside a cell, classes are compared exactly, in blocks of about ``block``
     queries and ``block`` listed classes, so a crowded cell is spread over tasks;
     pairs never leave a block, only counts and one edge per class do.
@@ -184,6 +267,9 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     usual = max({len(v) for v in some}, key=[len(v) for v in some].count, default=0)
     points = np.array([v for v in some if len(v) == usual], np.float64).reshape(-1, max(1, usual))
     index = Index(unit(points), total, threshold, target)
+    held_out = classes if share >= 0.5 else classes.filter(~fraction_below("rep", "vectors", share))
+    asking = fraction_below("rep", "queries", min(1.0, QUERIES / max(1, total) / (1 if share >= 0.5 else 1 - share)))
+    calibrate(index, classes, [tuple(r) for r in held_out.filter(asking).select("rep", "v").collect()], threshold, target)
     shared = spark.sparkContext.broadcast(index.plain())
     placed = staged(classes.select("rep", "n", "v").mapInArrow(
         _assigned(shared, None), f"rep bigint, n bigint, v {kind}, home bigint, visited array<bigint>"), "cells")

@@ -266,6 +266,38 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.link(rows.filter("false")).count() == 0
 
 
+def test_vectors_find_small_groups_beside_a_hot_family(spark):
+    ready(spark)
+    r = np.random.default_rng(7)
+    single = vectors.unit(r.normal(size=(2400, 32)))
+    hot = vectors.unit(single[:1] + r.normal(size=(600, 32)) * 0.02)
+    near = vectors.planted(single[1:601], 0.91)
+    full = np.concatenate([single, hot, near])
+    index = vectors.Index(full, len(full), 0.9, 0.995)
+    cells = vectors.visits(full, index.first, index.second, index.many)
+    a, b = cells[1:601], cells[3000:]
+    assert ((a == b[:, :1]).any(1) | (b == a[:, :1]).any(1)).mean() >= 0.99
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(full)], "vec_id bigint, embedding array<double>")
+    got = vectors.link(rows).filter("vec_id >= 3000").toPandas()
+    assert (got.n_links >= 1).mean() >= 0.99 and (got.component_id < 3000).mean() >= 0.99
+
+
+def test_each_query_weighs_the_same_in_calibration():
+    # 99 queries find their one neighbour in the 5th cell; the hot one has a million links in its own cell.
+    counts = np.array([(0, 3, 1, 10**6)] + [(i, 0, 5, 1) for i in range(1, 100)])
+    assert vectors.visits_needed(counts, 8, 0.995) == 5
+    assert vectors.visits_needed(np.array([(i, 0, 9, 1) for i in range(100)]), 8, 0.995) > 8
+
+
+def test_visits_are_the_nearest_cells():
+    r = np.random.default_rng(8)
+    points, first, second = r.normal(size=(50, 8)), r.normal(size=(9, 4)), r.normal(size=(7, 4))
+    total = vectors.distances(points[:, :4], first)[:, :, None] + vectors.distances(points[:, 4:], second)[:, None, :]
+    want = np.argsort(total.reshape(50, -1), axis=1)
+    for many in (1, 5, 20, 63, 100):
+        assert (vectors.visits(points, first, second, many) == want[:, :many]).all()
+
+
 def test_url_rules(spark):
     ready(spark)
     urls = ["http://A.example.NET/en/1", "http://example.net/de/1?x=/en/", "https://net", "https://x.org/fr/a", "http://sub.example.com/de/2#q",
