@@ -18,9 +18,15 @@ SYMBOLS = b"#*$%&|<>"
 GROUP = ("lang", "source")
 # Relative width of a sketch cell, rows a group needs for thresholds of its own, and widths of the fence.
 CELL, LEAST_ROWS, REACH = 1.05, 100, 3.0
-# Measures and the smallest distance of their fence from the upper (lower) quartile.
-UPPER = {"symbol_share": 0.1, "dup_line_share": 0.3, "repeat_share": 0.2, "mean_chars": 3.0}
-LOWER = {"mean_chars": 2.0}
+# Quantiles of a sketch: lower tail, middle, upper tail.
+QUANTILES = {"low": 0.1, "mid": 0.5, "high": 0.9}
+# Measures and the smallest distance of their fence from the tail quantile, about what a sketch resolves.
+UPPER = {"symbol_share": 0.02, "dup_line_share": 0.05, "repeat_share": 0.05, "mean_chars": 0.5, "log_words": 0.5}
+LOWER = {"mean_chars": 0.5, "log_words": 0.5}
+# Counts that are no evidence whatever their share: a few symbols or lines, two windows.
+FEW = {"symbol_share": ("n_symbols", 3), "dup_line_share": ("n_dup_lines", 3), "repeat_share": ("n_repeat_words", 6)}
+# A fence lies at most so many times as far from the middle as the usual one of its language; groups that make a usual one.
+WIDEST, LEAST_GROUPS = 2.0, 3
 MIN_WORDS = 50
 
 
@@ -77,7 +83,8 @@ def measure(docs: DataFrame) -> DataFrame:
 def _shares() -> dict:
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     return {"symbol_share": F.col("n_symbols") / words, "dup_line_share": F.col("n_dup_lines") / lines,
-            "repeat_share": F.col("n_repeat_words") / words, "mean_chars": F.col("word_chars") / words}
+            "repeat_share": F.col("n_repeat_words") / words, "mean_chars": F.col("word_chars") / words,
+            "log_words": F.log1p(F.col("n_words"))}
 
 
 def sketch(measured: DataFrame) -> DataFrame:
@@ -93,42 +100,62 @@ def sketch(measured: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n")))
 
 
-def _quartiles(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """First and third quartile per key and measure; windows hold the cells of one sketch only."""
+def _quantiles(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Lower tail, middle and upper tail per key and measure; windows hold the cells of one sketch only."""
     per_sketch = Window.partitionBy(*keys, "measure")
     running = per_sketch.orderBy(F.col("cell").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     value = F.coalesce(F.pow(F.lit(CELL), F.col("cell") - 0.5), F.lit(0.0))
     placed = cells.select(*keys, "measure", value.alias("value"), F.sum("n").over(running).alias("upto"),
                           F.sum("n").over(per_sketch).alias("rows"))
-    return placed.groupBy(*keys, "measure").agg(
-        F.first("rows").alias("rows"), F.min(F.when(F.col("upto") >= 0.25 * F.col("rows"), F.col("value"))).alias("low"),
-        F.min(F.when(F.col("upto") >= 0.75 * F.col("rows"), F.col("value"))).alias("high"))
+    return placed.groupBy(*keys, "measure").agg(F.first("rows").alias("rows"), F.struct(*[
+        F.min(F.when(F.col("upto") >= share * F.col("rows"), F.col("value"))).alias(name)
+        for name, share in QUANTILES.items()]).alias("q"))
+
+
+def _usual(own: DataFrame, keys: list[str], least_rows: int) -> DataFrame:
+    """``groups, usual``: the (lower) median of the groups' quantiles, each group with one vote whatever its rows."""
+    return own.filter(F.col("rows") >= least_rows).groupBy(*keys, "measure").agg(F.count("*").alias("groups"), F.struct(*[
+        F.percentile_approx(f"q.{name}", 0.5, 10000).alias(name) for name in QUANTILES]).alias("usual"))
 
 
 def thresholds(cells: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REACH) -> DataFrame:
     """``lang, source`` and one upper (lower) bound per measure.
 
-    A group of fewer than ``least_rows`` rows takes the sketch merged over its
-    language, a language that small the one merged over everything.
+    A bound is the upper tail quantile plus ``reach`` times its distance from the
+    middle, likewise below. A group of fewer than ``least_rows`` rows takes the
+    sketch merged over its language, a language that small the one merged over
+    everything. A group whose tail is junk would pass its own junk, so its bounds
+    are held to ``WIDEST`` times those of the usual group of its language, or of
+    all groups if the language has fewer than ``LEAST_GROUPS`` of that size.
     """
     cells = staged(cells, "sketch")
-    own = _quartiles(cells, list(GROUP))
-    by_lang = _quartiles(cells.groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n")), ["lang"])
-    overall = _quartiles(cells.groupBy("measure", "cell").agg(F.sum("n").alias("n")), [])
-    # One row per measure.
-    joined = (own.alias("o").join(by_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang"))
-                                  & (F.col("o.measure") == F.col("l.measure")))
-              .join(F.broadcast(overall).alias("a"), F.col("o.measure") == F.col("a.measure")))
-    level = (F.when(F.col("o.rows") >= least_rows, F.struct("o.low", "o.high"))
-             .when(F.col("l.rows") >= least_rows, F.struct("l.low", "l.high")).otherwise(F.struct("a.low", "a.high")))
-    spread = joined.select("o.lang", "o.source", "o.measure", level.alias("q"))
+    own = staged(_quantiles(cells, list(GROUP)), "quantiles")
+    by_lang = _quantiles(cells.groupBy("lang", "measure", "cell").agg(F.sum("n").alias("n")), ["lang"])
+    overall = _quantiles(cells.groupBy("measure", "cell").agg(F.sum("n").alias("n")), [])
+
+    def same_lang(name: str):
+        return F.col("o.lang").eqNullSafe(F.col(f"{name}.lang")) & (F.col("o.measure") == F.col(f"{name}.measure"))
+
+    # One row per measure in the broadcast tables.
+    joined = (own.alias("o").join(by_lang.alias("l"), same_lang("l"))
+              .join(F.broadcast(overall).alias("a"), F.col("o.measure") == F.col("a.measure"))
+              .join(_usual(own, ["lang"], least_rows).alias("ul"), same_lang("ul"), "left")
+              .join(F.broadcast(_usual(own, [], least_rows)).alias("ua"), F.col("o.measure") == F.col("ua.measure"), "left"))
+    level = (F.when(F.col("o.rows") >= least_rows, F.col("o.q")).when(F.col("l.rows") >= least_rows, F.col("l.q")).otherwise(F.col("a.q")))
+    usual = F.when(F.col("ul.groups") >= LEAST_GROUPS, F.col("ul.usual")).when(F.col("ua.groups") >= LEAST_GROUPS, F.col("ua.usual"))
+    spread = joined.select("o.lang", "o.source", "o.measure", level.alias("q"), usual.alias("u"))
+
+    def fence(column: str, tail: str, least: float, sign: int):
+        out = sign * (F.col(f"{column}.{tail}") - F.col(f"{column}.mid"))
+        return F.col(f"{column}.{tail}") + sign * F.greatest(F.lit(least), reach * out)
+
     bounds = []
     for name, least in UPPER.items():
-        bound = F.col("q.high") + F.greatest(F.lit(least), reach * (F.col("q.high") - F.col("q.low")))
-        bounds.append(F.max(F.when(F.col("measure") == name, bound)).alias(f"max_{name}"))
+        widest = F.col("u.mid") + WIDEST * (fence("u", "high", least, 1) - F.col("u.mid"))
+        bounds.append(F.max(F.when(F.col("measure") == name, F.least(fence("q", "high", least, 1), widest))).alias(f"max_{name}"))
     for name, least in LOWER.items():
-        bound = F.col("q.low") - F.greatest(F.lit(least), reach * (F.col("q.high") - F.col("q.low")))
-        bounds.append(F.max(F.when(F.col("measure") == name, bound)).alias(f"min_{name}"))
+        widest = F.col("u.mid") + WIDEST * (fence("u", "low", least, -1) - F.col("u.mid"))
+        bounds.append(F.max(F.when(F.col("measure") == name, F.greatest(fence("q", "low", least, -1), widest))).alias(f"min_{name}"))
     return spread.groupBy(*GROUP).agg(*bounds)
 
 
@@ -136,10 +163,10 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REACH) -
     """One row per document: its measures, ``base_failed`` and ``kept``.
 
     ``base_failed`` is the fixed rule (fewer than 50 words, or more than half of
-    the words inside repeated windows). ``kept`` also asks that every share lies
-    within the fences of the document's language and source: third quartile plus
-    ``reach`` times the distance of the quartiles (at least the distance in
-    ``UPPER``), likewise below. Null languages and sources are groups of their
+    the words inside repeated windows). ``kept`` also asks that every measure, the
+    logarithm of the number of words among them, lies within the fences of the
+    document's language and source (see ``thresholds``); counts in ``FEW`` pass
+    whatever their share. Null languages and sources are groups of their
     own. Empty and null texts fail the base rule. Repeated rows stay repeated.
     """
     rows = staged(measure(docs), "measures")
@@ -148,7 +175,8 @@ def judge(docs: DataFrame, least_rows: int = LEAST_ROWS, reach: float = REACH) -
     shares = _shares()
     inside = F.lit(True)
     for name in UPPER:
-        inside = inside & (shares[name] <= F.col(f"max_{name}"))
+        within = shares[name] <= F.col(f"max_{name}")
+        inside = inside & (within | (F.col(FEW[name][0]) <= FEW[name][1]) if name in FEW else within)
     for name in LOWER:
         inside = inside & (shares[name] >= F.col(f"min_{name}"))
     same = [rows[c].eqNullSafe(bounds[c]) for c in GROUP]

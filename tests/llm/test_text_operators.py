@@ -138,6 +138,30 @@ def test_rules_adapt_to_their_group(docs_of):
     assert not kept.pop(1000) and all(kept.values())
 
 
+def test_rules_reject_the_junk_of_a_hot_source(docs_of):
+    r = random.Random(6)
+
+    def text(symbols, n=100):
+        return " ".join(f"w{r.randint(0, 10**6)}" + "#" * (i < symbols) for i in range(n))
+
+    parts, at = [], 0
+    for source, rows in (("a", [0] * 150), ("b", [0] * 150), ("c", [4 * (i % 2) for i in range(150)]), ("hot", [0] * 400 + [90] * 300)):
+        parts.append(docs_of([(at + i, text(x)) for i, x in enumerate(rows)], source=source))
+        at += len(rows)
+    docs = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    kept = {x.doc_id: x.kept for x in rules.judge(docs).collect()}
+    assert all(kept[i] for i in range(850)) and not any(kept[i] for i in range(850, 1150))
+    bounds = {x.source: x.max_symbol_share for x in rules.thresholds(rules.sketch(rules.measure(docs))).collect()}
+    assert bounds["a"] < bounds["c"] and bounds["hot"] < 0.1
+
+
+def test_rules_bound_the_number_of_words(docs_of):
+    r = random.Random(7)
+    rows = [(i, " ".join(f"w{r.randint(0, 10**6)}" for _ in range(100 if i else 5000))) for i in range(300)]
+    kept = {x.doc_id: x.kept for x in rules.judge(docs_of(rows)).collect()}
+    assert not kept.pop(0) and all(kept.values())
+
+
 def test_secret_patterns_and_whole_text(docs_of, edges):
     text = ("é password=abcdefghijkl1 and Api_Key : 'short' AKIAABCDEFGHIJKLMN " + "x " * 1000 + "0123456789abcdef0 TOKEN=\"zzzzzzzzzzzzz\" AKIA12")
     rows = [(i, text_of(random.Random(i), 60) + (f" secret={i:020x} " if i % 3 == 0 else "")) for i in range(60)]
