@@ -114,7 +114,7 @@ def _family_vectors(t: Tables) -> DataFrame:
 def m5_train_score(t: Tables) -> DataFrame:
     """Train on labelled documents, save, load, score every document."""
     vectors = _family_vectors(t).persist()
-    fitted = model.train(trainset.prepare(vectors, b.document_labels(t), unique=True), rounds=5, depth=4)
+    fitted = model.train(trainset.prepare(vectors, b.document_labels(t), unique=True))
     path = _scratch(t)
     model.save(fitted, path)
     return model.score(model.load(path), vectors)
@@ -125,7 +125,7 @@ def m10_score_labelled(t: Tables) -> DataFrame:
     """Scores that keep the true label, from a model trained on one side of a holdout split."""
     labelled = trainset.prepare(_family_vectors(t), b.document_labels(t), unique=True)
     split = trainset.repeated_holdout(labelled, 0.8, seeds=(1,)).persist()
-    fitted = model.train(split.filter("is_train"), rounds=5, depth=4)
+    fitted = model.train(split.filter("is_train"))
     return model.score(fitted, split.filter("not is_train"), keep=("label", "entity"))
 
 
@@ -133,7 +133,7 @@ def m10_score_labelled(t: Tables) -> DataFrame:
 def m11_stack(t: Tables) -> DataFrame:
     """Stacked model over combined scores, scored and tagged."""
     combined = ensemble.combine(b.scores(t), 5).persist()
-    fitted = ensemble.train_stack(combined, b.user_labels(t), rounds=5)
+    fitted = ensemble.train_stack(combined, b.user_labels(t))
     return ensemble.score_stack(fitted, combined)
 
 
