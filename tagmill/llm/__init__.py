@@ -8,5 +8,5 @@ import importlib
 from pyspark import cloudpickle
 
 for _name in ("text", "graph", "warc", "secrets", "langid", "bpe", "jaccard", "mixture", "rules", "vectors", "templates",
-              "lines"):
+              "lines", "search", "negatives", "licenses"):
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

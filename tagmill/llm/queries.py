@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import bpe, jaccard, langid, lines, mixture, rules, secrets, templates, vectors, warc
+from tagmill.llm import bpe, jaccard, langid, licenses, lines, mixture, negatives, rules, search, secrets, templates, vectors, warc
 from tagmill.llm.common import ready
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -55,6 +55,19 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(_table(spark, folder, "embeddings"))
+
+
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents")).drop("notices")
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_langid, op4_bpe, op5_jaccard, op6_mixture, op7_rules, op8_vectors,
-                                 op9_templates, op10_lines)}
-SQL = {"op1_warc": warc.sql(), "op6_mixture": mixture.sql(), "op9_templates": templates.sql()}
+                                 op9_templates, op10_lines, op11_search, op12_negatives, op13_licenses)}
+SQL = {"op1_warc": warc.sql(), "op6_mixture": mixture.sql(), "op9_templates": templates.sql(), "op11_search": search.sql(),
+       "op12_negatives": negatives.sql()}
