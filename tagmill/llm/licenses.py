@@ -176,9 +176,13 @@ def candidates(docs: DataFrame, templates: Templates = TEMPLATES) -> DataFrame:
     votes = run_hashes(docs).join(places, "run").select("doc_id", "digest", "template", "at", "p").distinct()
     diagonals = (votes.groupBy("doc_id", "digest", "template", (F.col("p") - F.col("at")).alias("diagonal"))
                  .agg(F.count("*").alias("votes"), F.min("p").alias("first"), F.max("p").alias("last")))
-    # A diagonal counts in its own band and the one before, so two within DRIFT of each other share a band.
+    # A diagonal counts in its own band and the one before, so two within DRIFT of each other share a band, and by itself:
+    # notices that follow one another closely must not only be seen as one.
     band = F.floor(F.col("diagonal") / DRIFT)
-    merged = (diagonals.withColumn("band", F.explode(F.array(band - 1, band)))
+    alone = F.lit(None).cast("bigint")
+    bands = F.array(F.struct((band - 1).alias("band"), alone.alias("own")), F.struct(band.alias("band"), alone.alias("own")),
+                    F.struct(alone.alias("band"), F.col("diagonal").alias("own")))
+    merged = (diagonals.withColumn("band", F.explode(bands))
               .groupBy("doc_id", "digest", "template", "band")
               .agg(F.sum("votes").alias("votes"), F.min("first").alias("first"), (F.max("last") + WIDTH - 1).alias("last")))
     return (merged.join(needed, "template").filter("votes >= need")
