@@ -1,12 +1,13 @@
 """Density-based clustering (DBSCAN) without comparing all pairs of points.
 
-Points are put in a grid whose cells have diagonal ``eps``, so points of one
+Points of up to three dimensions are put in a grid whose cells have diagonal ``eps``, so points of one
 cell are always neighbours. A cell with at least ``min_pts`` points is *dense*:
 all its points are core points of one cluster, whatever their number, and no
 pair inside it is ever formed. Only points of sparse cells (fewer than
 ``min_pts`` each) look into adjacent cells, so the number of distance tests
 grows linearly with the number of points. Clusters are connected components of
-a graph between cells, not between points.
+a graph between cells, not between points. Longer vectors go through the metric
+partition of ``metric_cluster``.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.constants import CLUSTER_MIN_POINTS, CLUSTER_RADIUS
 from tagmill.functions.geometry import distance
-from tagmill.operators import ranking
+from tagmill.operators import metric_cluster, ranking
 from tagmill.session import broadcast_if_small, checkpoint
 
 __all__ = ["dbscan", "connected_components", "distance"]
@@ -29,22 +30,26 @@ CHUNK = 50_000
 # Two groups of points are compared directly when one of them has at most this
 # many points; otherwise both are split into finer boxes first.
 DIRECT = 8
-# Boxes this many halvings below a cell are treated as points.
-FINEST = 40
-# The grid that finds adjacent cells uses at most this many dimensions.
-KEY_DIMENSIONS = 3
+# Vectors of at most this many dimensions are clustered by a grid.
+GRID_DIMENSIONS = 3
+
+
+def _is_star_forest(edges: DataFrame) -> bool:
+    several = edges.groupBy("large").agg(F.count("*").alias("n")).filter("n > 1").select("large")
+    chained = edges.join(edges.select(F.col("large").alias("small")), "small", "left_semi").select("large")
+    return several.unionByName(chained).isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` (smallest node) of an undirected graph given as ``src, dst``.
 
     Alternates two star operations (Kiveris et al., "Connected Components in
-    MapReduce and Beyond", 2014) until the edges stop changing.
+    MapReduce and Beyond", 2014) until every node hangs on one centre that
+    hangs on nothing.
     """
     both = F.least("src", "dst").alias("small"), F.greatest("src", "dst").alias("large")
     current = checkpoint(edges.filter("src <> dst").select(*both).distinct())
-    state = None
-    while True:
+    while not _is_star_forest(current):
         # Large star: every node links its larger neighbours to its smallest one.
         two_way = current.select(F.col("large").alias("u"), F.col("small").alias("v")).unionByName(
             current.select(F.col("small").alias("u"), F.col("large").alias("v")))
@@ -57,10 +62,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         current = checkpoint(
             pulled.filter("small <> m").select(F.col("m").alias("small"), F.col("small").alias("large"))
             .unionByName(least.select(F.col("m").alias("small"), "large")).distinct())
-        seen = current.agg(F.count("*"), F.sum(F.xxhash64("small", "large").cast("decimal(38,0)"))).first()
-        if seen == state:
-            break
-        state = seen
     return (current.select(F.col("large").alias("node"), F.col("small").alias("component"))
             .unionByName(current.select(F.col("small").alias("node"), F.col("small").alias("component")).distinct()))
 
@@ -120,10 +121,9 @@ class _Grid:
     def adjacent(self) -> DataFrame:
         """Ordered pairs of different cells that may hold points within eps of each other."""
         span = math.ceil(math.sqrt(self.dims) * (1 + 1e-6))
-        key_dims = min(self.dims, KEY_DIMENSIONS)
-        key = F.transform(F.slice("cell", 1, key_dims), lambda c: F.floor(c / F.lit(span)))
+        key = F.transform("cell", lambda c: F.floor(c / F.lit(span)))
         offsets = F.array(*[F.array(*[F.lit(o).cast("bigint") for o in offset])
-                            for offset in itertools.product((-1, 0, 1), repeat=key_dims)])
+                            for offset in itertools.product((-1, 0, 1), repeat=self.dims)])
         left = self.cells.select(F.col("cell").alias("cell_a"), F.col("n").alias("n_a"), F.col("cid").alias("a"),
                                  key.alias("key"))
         left = left.withColumn("offset", F.explode(offsets)).select(
@@ -142,13 +142,31 @@ def dbscan(df: DataFrame, eps: float = CLUSTER_RADIUS, min_pts: int = CLUSTER_MI
     ``kind`` is 1 for core, 0 for border and -1 for noise; the neighbourhood of
     a point includes the point. ``cluster`` numbers clusters from 1 by their
     smallest core id; noise has 0. A border point between clusters takes the
-    smallest number. Adjacent cells are found through the first three
-    dimensions, which prunes well for up to about four dimensions only.
+    smallest number. Rows without a vector, or with a component that is null or
+    not finite, are noise. Up to three dimensions go through a grid, more through
+    a metric partition over the whole vectors.
     """
+    rows = df.select("id", F.col("vec").cast("array<double>").alias("vec"))
+    odd = F.col("vec").isNull() | F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    noise = rows.filter(odd).select("id", F.lit(0).cast("bigint").alias("cluster"), F.lit(-1).alias("kind"))
+    rows = rows.filter(~odd)
     if dims is None:
-        head = df.select(F.size("vec").alias("d")).head(1)
+        head = rows.select(F.size("vec").alias("d")).head(1)
         dims = head[0].d if head else 1
-    grid = _Grid(df.select("id", F.col("vec").cast("array<double>").alias("vec")), eps, dims)
+    if dims > GRID_DIMENSIONS:
+        found = metric_cluster.clusters(rows, eps, min_pts, connected_components, _numbered)
+    else:
+        found = _by_grid(rows, eps, min_pts, dims)
+    return found.unionByName(noise)
+
+
+def _numbered(components: DataFrame) -> DataFrame:
+    """Clusters from 1 by their smallest core id."""
+    return ranking.global_index(components, ["first_core"], 1, "cluster")
+
+
+def _by_grid(rows: DataFrame, eps: float, min_pts: int, dims: int) -> DataFrame:
+    grid = _Grid(rows, eps, dims)
     pairs = checkpoint(grid.adjacent())
     near = F.lit(eps)
 
@@ -205,7 +223,7 @@ def dbscan(df: DataFrame, eps: float = CLUSTER_RADIUS, min_pts: int = CLUSTER_MI
             components = _components_of(core_cells, checkpoint(edges.unionByName(late)))
 
     first = components.groupBy("component").agg(F.min("first_core").alias("first_core"))
-    numbered = ranking.global_index(first, ["first_core"], 1, "cluster").select("component", "cluster")
+    numbered = _numbered(first).select("component", "cluster")
     clusters = checkpoint(components.join(numbered, "component").select("cid", "cluster"))
 
     # Border points: nearest core cells decide, including their own cell.
@@ -239,15 +257,19 @@ def _closest_within(grid: _Grid, open_pairs: DataFrame) -> DataFrame:
 
     Boxes are halved level by level. A pair of boxes that certainly reaches
     settles its cells, one that certainly does not is dropped, and one with few
-    points on a side is decided by its points.
+    points on a side is decided by its points. Equal points count once, so boxes
+    empty until few are left.
     """
     found = None
+    points = checkpoint(grid.points.join(
+        open_pairs.select(F.col("cell_a").alias("cell")).unionByName(open_pairs.select(F.col("cell_b").alias("cell"))).distinct(),
+        "cell", "left_semi").groupBy("vec").agg(F.min("id").alias("id")))
     todo = open_pairs.select("a", "b", F.col("cell_a").alias("box_a"), "n_a", F.col("cell_b").alias("box_b"), "n_b")
-    for level in range(FINEST + 1):
+    for level in itertools.count():
         edge = grid.edge / 2 ** level
-        boxed = grid.points.select("id", "vec", _box("vec", edge).alias("cell"))
+        boxed = points.select("id", "vec", _box("vec", edge).alias("cell"))
         few = F.least("n_a", "n_b") <= DIRECT
-        direct = todo.filter(few) if level < FINEST else todo
+        direct = todo.filter(few)
         small_first = F.col("n_a") <= F.col("n_b")
         sides = direct.select(
             "a", "b",
@@ -258,25 +280,18 @@ def _closest_within(grid: _Grid, open_pairs: DataFrame) -> DataFrame:
         in_play = (todo.select(F.col("box_a").alias("cell"), F.col("n_a").alias("n"))
                    .unionByName(todo.select(F.col("box_b").alias("cell"), F.col("n_b").alias("n"))).distinct())
         boxed = boxed.join(in_play.select("cell"), "cell", "left_semi")
-        if level == FINEST:
-            # Boxes this small are points: one stands for all.
-            boxed = boxed.groupBy("cell").agg(F.min("id").alias("id"), F.min_by("vec", "id").alias("vec"))
-            spread = boxed.withColumn("salt", F.lit(0).cast("bigint"))
-        else:
-            spread = grid.spread(boxed, in_play)
+        spread = grid.spread(boxed, in_play)
         near_points = grid.reach_all(sides, "n").join(spread, ["cell", "salt"]).select(
             "a", "b", "vec", F.col("other").alias("cell"), "n_other")
         far_points = spread.select("cell", "salt", F.col("vec").alias("vec_b"))
         hits = (grid.reach_all(near_points, "n_other").join(far_points, ["cell", "salt"])
                 .filter(distance("vec", "vec_b") <= F.lit(grid.eps)).select("a", "b").distinct())
         found = hits if found is None else found.unionByName(hits)
-        if level == FINEST:
-            break
         # Children of the boxes that are still too full.
         full = todo.filter(~few)
         parents = (full.select(F.col("box_a").alias("parent"))
                    .unionByName(full.select(F.col("box_b").alias("parent"))).distinct())
-        child = grid.points.select(_box("vec", edge / 2).alias("box"))
+        child = points.select(_box("vec", edge / 2).alias("box"))
         child = (child.withColumn("parent", F.transform("box", lambda c: F.floor(c / F.lit(2))))
                  .groupBy("parent", "box").agg(F.count("*").alias("n")).join(parents, "parent", "left_semi"))
         split = (full.select("a", "b", "box_a", "box_b")

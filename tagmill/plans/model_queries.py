@@ -302,14 +302,16 @@ def geo7_areas_per_entity(t: Tables) -> DataFrame:
 
 # Clustering.
 
-_RADIUS, _MIN_POINTS = 0.03, 5
+_RADIUS, _MIN_POINTS = 1.08, 3
+_POINT_RADIUS, _POINT_MIN_POINTS = 0.3, 5
 
 
-@query(f"""
-WITH RECURSIVE p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
-near AS (SELECT a.id AS i, b.id AS j FROM p AS a JOIN p AS b
-         ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {_RADIUS}e0),
-core AS (SELECT i AS id FROM near GROUP BY i HAVING COUNT(*) >= {_MIN_POINTS}),
+def _dbscan_sql(rows: str, near: str, min_pts: int) -> str:
+    """Clusters over ``p(id, ...)`` given by ``rows``; ``near`` says when rows a and b are neighbours."""
+    return f"""
+WITH RECURSIVE p AS ({rows}),
+near AS (SELECT a.id AS i, b.id AS j FROM p AS a JOIN p AS b ON {near}),
+core AS (SELECT i AS id FROM near GROUP BY i HAVING COUNT(*) >= {min_pts}),
 edges AS (SELECT i, j FROM near WHERE i IN (SELECT id FROM core) AND j IN (SELECT id FROM core)),
 reach(id, root) AS (SELECT id, id FROM core UNION SELECT e.j, r.root FROM reach AS r JOIN edges AS e ON e.i = r.id),
 comp AS (SELECT id, MIN(root) AS root FROM reach GROUP BY id),
@@ -318,11 +320,23 @@ border AS (SELECT n.i AS id, MIN(num.cluster) AS cluster FROM near AS n JOIN num
            WHERE n.i NOT IN (SELECT id FROM core) GROUP BY 1)
 SELECT p.id, COALESCE(num.cluster, border.cluster, 0) AS cluster,
  CASE WHEN num.id IS NOT NULL THEN 1 WHEN border.id IS NOT NULL THEN 0 ELSE -1 END AS kind
-FROM p LEFT JOIN num ON num.id = p.id LEFT JOIN border ON border.id = p.id""")
+FROM p LEFT JOIN num ON num.id = p.id LEFT JOIN border ON border.id = p.id"""
+
+
+@query(_dbscan_sql("SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
+                   f"list_distance(a.vec, b.vec) <= {_RADIUS}", _MIN_POINTS))
 def c1_dbscan(t: Tables) -> DataFrame:
-    """First two coordinates of the vectors, clustered by density."""
-    rows = t.embeddings.select(F.col("vec_id").alias("id"), F.slice("embedding", 1, 2).cast("array<double>").alias("vec"))
-    return cluster.dbscan(rows, _RADIUS, _MIN_POINTS, dims=2)
+    """The vectors, all coordinates, clustered by density."""
+    rows = t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return cluster.dbscan(rows, _RADIUS, _MIN_POINTS)
+
+
+@query(_dbscan_sql("SELECT c_custkey AS id, c_acctbal / 1000e0 AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer",
+                   f"sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {_POINT_RADIUS}e0", _POINT_MIN_POINTS))
+def c1_dbscan_points(t: Tables) -> DataFrame:
+    """Customers in the plane of balance and nation clustered by density."""
+    vec = F.array(F.col("c_acctbal") / F.lit(1000.0), F.col("c_nationkey").cast("double"))
+    return cluster.dbscan(t.customer.select(F.col("c_custkey").alias("id"), vec.alias("vec")), _POINT_RADIUS, _POINT_MIN_POINTS, dims=2)
 
 
 @query("""

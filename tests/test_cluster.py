@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tagmill.operators import cluster
+from tagmill.operators import cluster, metric_cluster
 
 
 def brute_force(points, eps, min_pts):
@@ -94,3 +94,44 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     df = spark.createDataFrame(edges, "src bigint, dst bigint")
     out = {r.node: r.component for r in cluster.connected_components(df).collect()}
     assert out == {**{i: 0 for i in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+def blobs(seed, width, eps):
+    """Tight groups, loose groups, a chain and scattered points."""
+    rng, out = random.Random(seed), {}
+
+    def put(centre, spread, n):
+        for _ in range(n):
+            out[len(out)] = tuple(c + rng.gauss(0, spread) for c in centre)
+
+    for k in range(4):
+        put([rng.uniform(-3, 3) for _ in range(width)], eps / 20 if k % 2 else eps / 3.5, 60)
+    start = [rng.uniform(-3, 3) for _ in range(width)]
+    for k in range(40):
+        put([start[0] + k * eps * .45] + start[1:], eps / 50, 2)
+    put([0.0] * width, 2.0, 40)
+    out.update({len(out) + i: out[3] for i in range(30)})
+    return out
+
+
+@pytest.mark.parametrize("seed, width, eps, min_pts", [(1, 5, 0.6, 4), (2, 16, 1.0, 5), (3, 64, 1.0, 3), (4, 8, 0.5, 12)])
+def test_long_vectors(spark, seed, width, eps, min_pts):
+    points = blobs(seed, width, eps)
+    assert run(spark, points, eps, min_pts) == brute_force(points, eps, min_pts)
+
+
+def test_long_vectors_in_many_blocks_and_crowds(spark, monkeypatch):
+    for name, value in (("PER_PIVOT", 40), ("LEAST_PIVOTS", 4), ("CROWD", 20), ("BLOCK_VALUES", 64 * 6), ("MATRIX", 100)):
+        monkeypatch.setattr(metric_cluster, name, value)
+    points = blobs(5, 6, 0.6)
+    expected = brute_force(points, 0.6, 6)
+    assert len({c for c, _ in expected.values()}) > 3 and {k for _, k in expected.values()} == {1, 0, -1}
+    assert run(spark, points, 0.6, 6) == expected
+
+
+def test_rows_without_a_place_are_noise(spark):
+    rows = [(1, None), (2, [float("nan")] * 5), (3, [0.0] * 5), (4, [0.0] * 5), (5, [None] + [0.0] * 4), (6, [float("inf")] * 5)]
+    df = spark.createDataFrame(rows, "id bigint, vec array<double>")
+    assert sorted(map(tuple, cluster.dbscan(df, 1.0, 2).collect())) == [(1, 0, -1), (2, 0, -1), (3, 1, 1), (4, 1, 1), (5, 0, -1), (6, 0, -1)]
+    empty = df.filter("id = 1")
+    assert cluster.dbscan(empty, 1.0, 2, dims=5).count() == 1
