@@ -3,60 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagmill.functions.hashing import hasher, width_or_default
+from tagmill.functions.hashing import folder, width_or_default
 from tagmill.operators import sessions, vocab
 
-# Sums closer to zero than this count as zero, so that the order in which
-# partial sums meet does not decide a bit.
-ZERO = 1e-9
+# Weights are counted in steps of the entity's greatest weight rounded up to a power of two, divided by 2 to this.
+STEPS = 40
+# Sums travel as two whole numbers, multiples of 2 to this and the rest.
+HALF = 20
 # Bits summed by one row of aggregates; wider fingerprints use several rows.
 CHUNK = 64
-# Entity-by-token weights of a batch are held as a dense matrix up to this size.
-_DENSE_CELLS = 2_000_000
+# Hashes that a task remembers.
+REMEMBERED = 1 << 17
 
 
 def _partial_sums(bits: int, variant: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per batch, the signed weight sums of each entity: ``entity, chunk, sums``.
+    """Per batch, the signed weight sums of each entity in whole steps: ``entity, chunk, terms, high, low``.
 
     Only local values are used inside, so workers need no copy of this package.
     """
-    fold, size = hasher(bits, variant), width_or_default(bits) // 8
-    used, chunk_bits, dense_cells = min(bits, size * 8), CHUNK, _DENSE_CELLS
+    fold, size = folder(bits, variant), width_or_default(bits) // 8
+    used, chunk_bits, steps, half, most = min(bits, size * 8), CHUNK, STEPS, HALF, REMEMBERED
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashed = lru_cache(maxsize=1 << 18)(lambda text: fold(text).to_bytes(size, "little"))
+        known: dict[str, bytes] = {}
         for batch in batches:
             if batch.empty:
                 continue
             owner, entities = pd.factorize(batch["entity"])
             token, tokens = pd.factorize(batch["token"])
-            weight = batch["weight"].to_numpy(np.float64)
+            new = [t for t in tokens if t not in known]
+            if len(known) + len(new) > most:
+                known.clear()
+                new = list(tokens)
+            known.update(zip(new, (row.tobytes() for row in fold(new)), strict=True))
             # One row of +1/-1 per token, bit 0 first, and a zero row for NULL tokens (code -1).
-            signs = np.full((len(tokens) + 1, bits), -1.0)
+            signs = np.full((len(tokens) + 1, bits), -1, np.int64)
             if len(tokens):
-                raw = np.frombuffer(b"".join(hashed(t) for t in tokens), np.uint8).reshape(len(tokens), size)
-                signs[:-1, :used] += 2.0 * np.unpackbits(raw, axis=1, bitorder="little")[:, :used]
-            signs[-1] = 0.0
-            token = np.where(token < 0, len(tokens), token)
-            width = len(tokens) + 1
-            if len(entities) * width <= dense_cells:
-                flat = np.bincount(owner * width + token, weight, minlength=len(entities) * width)
-                total = flat.reshape(len(entities), width) @ signs
-            else:
-                order = np.argsort(owner, kind="stable")
-                starts = np.searchsorted(owner[order], np.arange(len(entities)))
-                total = np.add.reduceat(signs[token[order]] * weight[order, None], starts, axis=0)
+                raw = np.frombuffer(b"".join(known[t] for t in tokens), np.uint8).reshape(len(tokens), size)
+                signs[:-1, :used] += 2 * np.unpackbits(raw, axis=1, bitorder="little")[:, :used].astype(np.int64)
+            signs[-1] = 0
+            order = np.argsort(owner, kind="stable")
+            starts = np.searchsorted(owner[order], np.arange(len(entities)))
+            times = batch["n"].to_numpy(np.int64)[order]
+            power = np.frexp(batch["most"].to_numpy(np.float64)[order])[1]
+            whole = np.rint(np.ldexp(batch["weight"].to_numpy(np.float64)[order], steps - power)).astype(np.int64)
+            token = token[order]
+            terms = np.add.reduceat(np.where(token < 0, 0, times), starts)
+            high, low = (whole >> half) * times, (whole & ((1 << half) - 1)) * times
             for chunk, first in enumerate(range(0, bits, chunk_bits)):
-                yield pd.DataFrame({"entity": entities, "chunk": np.int32(chunk),
-                                    "sums": list(total[:, first:first + chunk_bits])})
+                sign = signs[token, first:first + chunk_bits]
+                yield pd.DataFrame({"entity": entities, "chunk": np.int32(chunk), "terms": terms,
+                                    "high": list(np.add.reduceat(sign * high[:, None], starts, axis=0)),
+                                    "low": list(np.add.reduceat(sign * low[:, None], starts, axis=0))})
 
     return sums
 
@@ -65,25 +70,42 @@ def simhash(tokens: DataFrame, bits: int = 64, variant: str = "1a", colocate: bo
     """Fingerprint text of 0/1, bit 0 first, from ``entity, token, weight`` rows.
 
     A bit is 1 if its signed weight sum is not negative, so an entity whose
-    tokens are all NULL (or weigh 0) gets only ones. Each Arrow batch is reduced
-    to one row of bit sums per entity before the shuffle, and those rows are
-    summed map-side again, so a heavy entity never meets in one task.
-
-    ``colocate`` first brings rows of an entity together; the exchange is a
-    rebalance, whose oversized partitions are split again at run time.
+    tokens are all NULL (or weigh 0) gets only ones. Equal tokens of an entity
+    are counted first. Weights become whole steps of the entity's own scale and
+    sums are sums of whole numbers, so neither the order of rows nor a factor
+    common to all weights decides a bit; a sum within half a step per term of
+    zero is zero. Missing and NaN weights count 0, infinite ones as the greatest number.
+
+    Each Arrow batch is reduced to one row of bit sums per entity before the
+    shuffle, and those rows are summed map-side again, so a heavy entity never
+    meets in one task. ``colocate`` brings rows of an entity together before; the
+    exchange is a rebalance, whose oversized partitions are split again at run time.
     """
-    rows = tokens.select("entity", "token", F.col("weight").cast("double").alias("weight"))
-    rows = rows.filter(F.col("entity").isNotNull())
+    limit = F.lit(1.7976931348623157e308)
+    weight = F.least(F.greatest(F.nanvl(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0)), -limit), limit)
+    rows = tokens.filter(F.col("entity").isNotNull()).select("entity", "token", weight.alias("weight"))
+    counted = rows.groupBy("entity", "token", "weight").agg(F.count("*").alias("n"))
+    scale = counted.groupBy(F.col("entity").alias("owner")).agg(F.max(F.abs("weight")).alias("most"))
+    scaled = counted.join(scale, F.col("entity") == F.col("owner")).select("entity", "token", "weight", "n", "most")
     if colocate:
-        rows = rows.hint("rebalance", "entity").sortWithinPartitions("entity")
-    schema = T.StructType([rows.schema["entity"], T.StructField("chunk", T.IntegerType()),
-                           T.StructField("sums", T.ArrayType(T.DoubleType()))])
-    partial = rows.mapInPandas(_partial_sums(bits, variant), schema)
+        scaled = scaled.hint("rebalance", "entity").sortWithinPartitions("entity")
+    schema = T.StructType([scaled.schema["entity"], T.StructField("chunk", T.IntegerType()), T.StructField("terms", T.LongType()),
+                           *[T.StructField(name, T.ArrayType(T.LongType())) for name in ("high", "low")]])
+    partial = scaled.mapInPandas(_partial_sums(bits, variant), schema)
     width = min(bits, CHUNK)
-    total = partial.groupBy("entity", "chunk").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"b{i}") for i in range(width)])
-    # A position past the last bit has no sum and adds no digit.
-    digits = F.concat_ws("", *[F.when(F.col(f"b{i}") >= -ZERO, F.lit("1")).when(F.col(f"b{i}").isNotNull(), F.lit("0"))
-                               for i in range(width)])
+    total = partial.groupBy("entity", "chunk").agg(
+        F.sum("terms").alias("terms"), *[F.sum(F.get(name, F.lit(i))).alias(f"{name}{i}") for i in range(width) for name in ("high", "low")])
+    rest = F.lit((1 << HALF) - 1).cast("bigint")
+    # A sum counts as negative if it is below the rounding of its terms; a position past the last bit has no sum and adds no digit.
+    least = -F.col("terms")
+    least_high, least_low = F.shiftright(least, HALF), least.bitwiseAND(rest)
+
+    def digit(i: int) -> Column:
+        high, low = F.col(f"high{i}") + F.shiftright(F.col(f"low{i}"), HALF), F.col(f"low{i}").bitwiseAND(rest)
+        reached = (high > least_high) | ((high == least_high) & (low >= least_low))
+        return F.when(reached, F.lit("1")).when(F.col(f"high{i}").isNotNull(), F.lit("0"))
+
+    digits = F.concat_ws("", *[digit(i) for i in range(width)])
     pieces = total.select("entity", "chunk", digits.alias("bits"))
     if bits <= CHUNK:
         return pieces.select("entity", "bits")

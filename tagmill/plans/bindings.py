@@ -160,7 +160,8 @@ def packages(t: Tables) -> DataFrame:
     activities = F.transform(pairs, lambda p, i: F.struct(
         F.when(p["w"] != "", p["w"]).alias("name"), (F.col("turn") * 1000 + i).alias("start"), i.alias("duration"),
         p["before"].alias("refer")))
-    session = F.when(F.col("role") != "assistant", F.struct(activities.alias("activities")))
+    # A message without words has no session.
+    session = F.when(F.exists("words", lambda w: w != ""), F.struct(activities.alias("activities")))
     app = F.when(F.col("role") == "system", F.lit('"com.android.systemui"')).otherwise(
         F.concat(F.lit('"app.'), F.col("role"), F.lit('"')))
     return turns.select(F.col("conv_id").alias("entity"), app.alias("app"), F.col("turn").alias("time"),
@@ -172,4 +173,4 @@ ACTIVITIES_SQL = """
         CAST(i - 1 AS BIGINT) AS duration, CASE WHEN i > 1 THEN w[i - 1] END AS refer
  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i
        FROM (SELECT *, string_split(text, ' ') AS w FROM conversations) AS c) AS u
- WHERE role <> 'assistant' AND w[i] <> ''"""
+ WHERE w[i] <> ''"""

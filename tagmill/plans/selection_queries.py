@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions.arrays import unnest
-from tagmill.functions.hashing import fnv
+from tagmill.functions.hashing import FNV_PRIMES, FNV_STARTS, fnv
 from tagmill.operators import bags, ranking, selection, sessions, simhash, vocab
 from tagmill.plans import bindings as b
 from tagmill.plans.registry import Tables, query
@@ -314,17 +314,69 @@ def f4_fnv1a(t: Tables) -> DataFrame:
     return words.select("item", F.conv(digits, 16, 10).alias("hash"))
 
 
-def _simhash_sql(tokens: str) -> str:
+def _limbs_sql(text: str, bits: int, variant: str) -> str:
+    """The hash as a list of 32-bit limbs, lowest first: after each unit limbs are multiplied and pass their
+    excess on once, at the end until none is left."""
+    prime, start, count, mask = FNV_PRIMES[bits], FNV_STARTS[bits], bits // 32, (1 << 32) - 1
+    power = prime.bit_length() - 1
+    skip, shift = divmod(power, 32)
+    units = (f"flatten(list_transform(regexp_extract_all({text}, '(?s).'), lambda c: CASE WHEN unicode(c) > 65535 "
+             "THEN [55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024] ELSE [unicode(c)] END))")
+    first = ", ".join(str(start >> 32 * i & mask) for i in range(count))
+    states = f"list_prepend([{first}]::BIGINT[], list_transform({units}, lambda u: [u]::BIGINT[]))"
+
+    def limb(i: int) -> str:
+        return "xor(h[1], u[1])" if i == 0 and variant == "1a" else f"h[{i + 1}]"
+
+    def product(i: int) -> str:
+        parts = [f"{limb(i)} * {prime - (1 << power)}"]
+        if i >= skip:
+            parts.append(f"(({limb(i - skip)} << {shift}) & {mask})")
+        if i > skip:
+            parts.append(f"({limb(i - skip - 1)} >> {32 - shift})")
+        return f"({' + '.join(parts)})"
+
+    def passed(item, i: int) -> str:
+        return f"({item(i)} & {mask})" + (f" + ({item(i - 1)} >> 32)" if i else "")
+
+    step = [passed(product, i) for i in range(count)]
+    if variant == "1":
+        step[0] = f"xor({step[0]}, u[1])"
+    folded = f"list_reduce({states}, lambda h, u: [{', '.join(step)}]::BIGINT[])"
+    once = ", ".join(passed(lambda k: f"h[{k + 1}]", i) for i in range(count))
+    return f"list_reduce(list_prepend({folded}, list_transform(range({count}), lambda x: [x]::BIGINT[])), lambda h, u: [{once}]::BIGINT[])"
+
+
+def _hex_sql(limbs: str) -> str:
+    return f"array_to_string(list_reverse(list_transform({limbs}, lambda x: lpad(lower(hex(x)), 8, '0'))), '')"
+
+
+_WIDE = (128, 256, 512, 1024)
+
+
+@query("SELECT item, " + ", ".join(f"{_hex_sql(_limbs_sql('item', n, '1'))} AS hash{n}" for n in _WIDE) + f" FROM ({_FNV_NAMES}) AS n")
+def f3_fnv1_wide(t: Tables) -> DataFrame:
+    items = t.part.select(F.col("p_name").alias("item")).union(t.documents.select("lang")).distinct()
+    return items.select("item", *[F.lower(F.hex(fnv("item", n, "1"))).alias(f"hash{n}") for n in _WIDE])
+
+
+@query("WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS item FROM documents) SELECT item, "
+       + ", ".join(f"{_hex_sql(_limbs_sql('item', n, '1a'))} AS hash{n}" for n in _WIDE) + " FROM w")
+def f4_fnv1a_wide(t: Tables) -> DataFrame:
+    words = b.document_words(t).select("item").distinct()
+    return words.select("item", *[F.lower(F.hex(fnv("item", n, "1a"))).alias(f"hash{n}") for n in _WIDE])
+
+
+def _simhash_sql(tokens: str, bits: int = 64) -> str:
     return f"""
 tokens AS ({tokens}),
-hashed AS (SELECT token, {_hash_sql('token', 64, 14695981039346656037, 1099511628211, '1a')} AS h
+hashed AS (SELECT token, {_limbs_sql('token', bits, '1a')} AS h
            FROM (SELECT DISTINCT token FROM tokens WHERE token IS NOT NULL) AS d),
 weights AS (SELECT entity, token, SUM(weight) AS weight FROM tokens GROUP BY 1, 2),
-bits AS (SELECT entity, i, SUM(CASE WHEN h IS NULL THEN 0 WHEN (h // p) % 2 = 1
+bits AS (SELECT entity, i, SUM(CASE WHEN h IS NULL THEN 0 WHEN (h[i // 32 + 1] >> (i % 32)) & 1 = 1
                                THEN weight ELSE -weight END) AS s
-         FROM weights LEFT JOIN hashed USING (token),
-              (SELECT i, CAST(1 AS HUGEINT) << CAST(i AS INT) AS p FROM range(64) AS r(i)) AS powers GROUP BY 1, 2),
-prints AS (SELECT entity, string_agg(CASE WHEN s >= -1e-9 THEN '1' ELSE '0' END, '' ORDER BY i) AS bits
+         FROM weights LEFT JOIN hashed USING (token), (SELECT CAST(i AS INT) AS i FROM range({bits}) AS r(i)) AS places GROUP BY 1, 2),
+prints AS (SELECT entity, string_agg(CASE WHEN s >= 0 THEN '1' ELSE '0' END, '' ORDER BY i) AS bits
            FROM bits GROUP BY entity)"""
 
 
@@ -360,7 +412,8 @@ def _app_weights(t: Tables) -> DataFrame:
     return apps.select(F.concat(F.lit("app."), "role").alias("app"), (F.col("n") % 17 / F.lit(16.0)).alias("weight"))
 
 
-@query(f"""
+def _activity_sql(bits: int) -> str:
+    return f"""
 WITH act AS ({b.ACTIVITIES_SQL}),
 kept AS (SELECT entity, time FROM (
    SELECT entity, time, row_number() OVER (PARTITION BY entity ORDER BY time) AS rn
@@ -368,20 +421,29 @@ kept AS (SELECT entity, time FROM (
 wt AS (SELECT role, (COUNT(*) % 17) / 16e0 AS weight FROM conversations GROUP BY role),
 """ + _simhash_sql("""SELECT DISTINCT entity, time, token, weight FROM (
    SELECT entity, time, role, name AS token FROM act UNION ALL SELECT entity, time, role, refer FROM act WHERE refer IS NOT NULL) AS u
-   JOIN kept USING (entity, time) JOIN wt USING (role)""") + " SELECT entity, bits FROM prints")
+   JOIN kept USING (entity, time) JOIN wt USING (role)""", bits)
+
+
+def _positions_sql(bits: int) -> str:
+    return _activity_sql(bits) + f"""
+SELECT entity, COALESCE((SELECT string_agg(CAST(i + 1 AS VARCHAR), ' ' ORDER BY i) FROM range({bits}) AS r(i)
+                         WHERE bits[CAST(i AS INT) + 1] = '1'), '') AS idxs FROM prints"""
+
+
+@query(_activity_sql(64) + " SELECT entity, bits FROM prints")
 def f6_activity_fingerprint_64(t: Tables) -> DataFrame:
     tokens = simhash.activity_tokens(_activity_records(t), _app_weights(t), ["time"], sessions.RECORDS_PER_ENTITY)
     return simhash.simhash(tokens, 64)
 
 
-@query()
+@query(_positions_sql(128))
 def f6_activity_fingerprint(t: Tables) -> DataFrame:
     """128 bits, as set-bit positions from 1."""
     found = simhash.activity(_activity_records(t), _app_weights(t), 128, 1)
     return found.select("entity", F.array_join("idxs", " ").alias("idxs"))
 
 
-@query()
+@query(_positions_sql(256))
 def f7_activity_fingerprint_256(t: Tables) -> DataFrame:
     """256 bits, as set-bit positions from 1."""
     found = simhash.activity(_activity_records(t), _app_weights(t), 256, 1)
@@ -396,15 +458,20 @@ def f18_session_explode(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH act AS ({b.ACTIVITIES_SQL})
-SELECT entity, 'app.' || role AS app, time, COUNT(*) AS n FROM act WHERE role <> 'system' GROUP BY 1, 2, 3""")
+SELECT entity, 'app.' || role AS app, time, string_agg(name || ':' || start, ' ' ORDER BY start) AS activities
+FROM act WHERE role <> 'system' GROUP BY 1, 2, 3""")
 def p3_filter_valid(t: Tables) -> DataFrame:
-    return _activity_records(t).select("entity", "app", "time", F.size("activities").cast("bigint").alias("n"))
+    """Every record that stays, with the names and starts of its activities."""
+    listed = F.transform("activities", lambda a: F.concat_ws(":", a["name"], a["start"].cast("string")))
+    return _activity_records(t).select("entity", "app", "time", F.array_join(listed, " ").alias("activities"))
 
 
 @query("""
-SELECT conv_id AS entity, role AS app, turn AS time, len(list_distinct(list_filter(string_split(text, ' '), lambda x: x <> ''))) AS n
+SELECT conv_id AS entity, role AS app, turn AS time, array_to_string(list_sort(list_distinct(list_filter(
+  string_split(replace(text, ',', ';'), ' '), lambda x: x <> ''))), ',') AS ids
 FROM conversations WHERE len(list_filter(string_split(text, ' '), lambda x: x <> '')) > 0""")
 def f19_event_ids(t: Tables) -> DataFrame:
+    """The ids of every record, put in order for the comparison."""
     events = F.transform(F.split("text", " "), lambda w: F.struct(F.when(w != "", w).alias("id")))
     records = t.conversations.select(F.col("conv_id").alias("entity"), F.col("role").alias("app"),
                                      F.col("turn").alias("time"), events.alias("events"))
@@ -412,4 +479,4 @@ def f19_event_ids(t: Tables) -> DataFrame:
     safe = records.withColumn("events", F.transform("events", lambda e: F.struct(
         F.replace(e["id"], F.lit(","), F.lit(";")).alias("id"))))
     ids = sessions.event_ids(safe, keep=("entity", "app", "time"))
-    return ids.select("entity", "app", "time", F.size(F.split("ids", ",")).cast("bigint").alias("n"))
+    return ids.select("entity", "app", "time", F.array_join(F.array_sort(F.split("ids", ",")), ",").alias("ids"))

@@ -1,12 +1,14 @@
 """Hand-computed examples."""
 
 import math
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from tagmill.functions.hashing import fnv, fnv_value, offset_basis
+from tagmill.functions import hashing
+from tagmill.functions.hashing import fnv, fnv_value, folder, offset_basis
 from tagmill.operators import cohort, ensemble, evaluate, selection, simhash
 from tagmill.sources import readers
 
@@ -67,6 +69,49 @@ def test_fnv(spark):
         assert 0 <= fnv_value("text", bits, "1") < 1 << bits
 
 
+def one_by_one(text, bits, variant):
+    """The hash by whole numbers, a code unit at a time."""
+    value, prime = offset_basis(bits), hashing.FNV_PRIMES[bits]
+    data = text.encode("utf-16-le", "surrogatepass")
+    for i in range(0, len(data), 2):
+        unit = int.from_bytes(data[i:i + 2], "little")
+        value = (value ^ unit) * prime % (1 << bits) if variant == "1a" else (value * prime % (1 << bits)) ^ unit
+    return value
+
+
+@pytest.mark.parametrize("bits", [32, 64, 128, 256, 512, 1024])
+@pytest.mark.parametrize("variant", ["1", "1a"])
+def test_fnv_of_many_texts_in_step(bits, variant, monkeypatch):
+    monkeypatch.setattr(hashing, "TOGETHER", 50)
+    r = random.Random(bits)
+    texts = ["".join(r.choice("aZ0 é漢🙂\uffff") for _ in range(r.choice((0, 1, 5, 40, 300)))) for _ in range(120)]
+    rows = folder(bits, variant)(texts)
+    assert [int.from_bytes(x.tobytes(), "little") for x in rows] == [one_by_one(t, bits, variant) for t in texts]
+    assert folder(bits, variant)([]).shape == (0, bits // 8)
+
+
+@pytest.mark.parametrize("bits", [64, 128, 256])
+def test_simhash_does_not_depend_on_the_scale_of_weights(spark, bits):
+    r = random.Random(1)
+    rows = [("one", "a", 1.0), ("tie", "a", 1.0), ("tie", "b", 2.0), ("tie", "c", 3.0), ("tie", "d", 0.3), ("tie", "e", 0.1), ("tie", "f", 0.2)]
+    rows += [(f"e{i % 7}", f"t{r.randrange(60)}", r.choice((0.1, 0.2, 0.3, 1.0, 1e-3)) * r.choice((1, -1))) for i in range(500)]
+    found = []
+    for factor in (1.0, 1e-12, 1e12, 1e-200):
+        df = spark.createDataFrame([(e, t, w * factor) for e, t, w in rows], "entity string, token string, weight double")
+        found.append({x.entity: x.bits for x in simhash.simhash(df.repartition(4), bits).collect()})
+    assert found[0] == found[1] == found[2] == found[3]
+    value = one_by_one("a", bits, "1a")
+    assert found[0]["one"] == "".join(str(value >> i & 1) for i in range(bits))
+
+
+def test_simhash_of_odd_weights(spark):
+    rows = [("n", "a", None), ("nan", "a", float("nan")), ("inf", "a", float("inf")), ("inf", "b", 1.0), ("tiny", "a", 5e-324), (None, "a", 1.0)]
+    df = spark.createDataFrame(rows, "entity string, token string, weight double")
+    out = {x.entity: x.bits for x in simhash.simhash(df, 64).collect()}
+    a = "".join(str(one_by_one("a", 64, "1a") >> i & 1) for i in range(64))
+    assert out == {"n": "1" * 64, "nan": "1" * 64, "inf": a, "tiny": a}
+
+
 FNV1_PRINT = "0011010111101101100000000110000100110010101111011100011011110101"
 FNV1A_PRINT = "0100010011010000010000000110000100110010011101111100011011110101"
 

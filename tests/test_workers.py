@@ -4,12 +4,12 @@ import pickle
 
 from pyspark import cloudpickle
 
-from tagmill.functions.hashing import hasher
+from tagmill.functions.hashing import folder
 from tagmill.operators import simhash
 
 
 def test_functions_travel_without_the_package(monkeypatch):
-    for function in (hasher(64), hasher(256, "1"), simhash._partial_sums(128, "1a")):
+    for function in (folder(64), folder(256, "1"), simhash._partial_sums(128, "1a")):
         payload = cloudpickle.dumps(function)
         seen = []
 
