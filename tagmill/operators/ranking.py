@@ -8,14 +8,18 @@ per partition is ever summed centrally.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagmill.session import broadcast_if_small, checkpoint
 
-_PARTITION, _POSITION, _BASE = "__partition", "__position", "__base"
+_PARTITION, _POSITION, _BASE, _TIE, _CHANGES = "__partition", "__position", "__base", "__tie", "__changes"
 _POSITION_BITS = 33
 
 
@@ -59,12 +63,57 @@ def group_index(df: DataFrame, groups: Sequence[str], order_by: Sequence[Column
     return joined.select(*df.columns, (F.col(_POSITION) - F.col(_BASE) + F.lit(start)).alias(name))
 
 
+def _changes(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds, to the sorted rows of a partition, how often the keys changed since its first row."""
+    def differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+        unlike = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(a.type):
+            unlike = pc.and_not(unlike, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        return pc.or_(unlike, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            new = np.zeros(len(batch), bool)
+            for i, key in enumerate(keys):
+                column = batch.column(key)
+                before = column.slice(0, 1) if last is None else last[i]
+                new |= differs(pa.concat_arrays([before, column.slice(0, len(column) - 1)]), column)
+            total = count + np.cumsum(new)
+            last, count = [batch.column(key).slice(len(batch) - 1, 1) for key in keys], int(total[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total, pa.int64())], [*batch.schema.names, _CHANGES])
+
+    return run
+
+
 def dense_index(df: DataFrame, groups: Sequence[str], value: str, start: int = 1, name: str = "rank") -> DataFrame:
-    """Dense rank of ``value`` inside each group: only distinct values are sorted."""
+    """Dense rank of ``value`` inside each group, nulls last; null groups are a group.
+
+    The range sort may cut between equal values, so a value that most rows have is spread over
+    many tasks. Each partition counts the changes of (groups, value) among its rows; of a partition
+    only its first and last key and that number are needed to carry on in the next.
+    """
     keys = [*groups, value]
-    values = group_index(df.select(*keys).distinct(), groups, [F.col(value).asc_nulls_last()], start, name)
-    same = [df[k].eqNullSafe(values[k]) for k in keys]
-    return df.join(values, same).select(*[df[c] for c in df.columns], values[name])
+    placed = _place(df.withColumn(_TIE, F.monotonically_increasing_id()), [*groups, F.col(value).asc_nulls_last(), _TIE])
+    scanned = placed.mapInArrow(_changes(keys), T.StructType([*placed.schema, T.StructField(_CHANGES, T.LongType())]))
+    key = F.struct(*keys)
+    ends = scanned.groupBy(_PARTITION).agg(F.min_by(key, _POSITION).alias("first"), F.max_by(key, _POSITION).alias("last"),
+                                           F.max(_CHANGES).alias("inside"))
+    # One row per partition of the sort: bounded by spark.sql.shuffle.partitions.
+    order = Window.orderBy(_PARTITION)
+    before = F.lag("last").over(order)
+    step = F.when(before.isNull() | before.eqNullSafe(F.col("first")), 0).otherwise(1)
+    ends = ends.select(_PARTITION, (step + F.coalesce(F.lag("inside").over(order), F.lit(0))).alias("step"))
+    base = ends.select(_PARTITION, F.sum("step").over(order).alias(_BASE))
+    ranked = scanned.join(F.broadcast(base), _PARTITION).withColumn(_CHANGES, F.col(_CHANGES) + F.col(_BASE))
+    if not groups:
+        return ranked.select(*df.columns, (F.col(_CHANGES) + F.lit(start)).alias(name))
+    first = ranked.groupBy(*[F.col(g).alias(f"__{g}") for g in groups]).agg(F.min(_CHANGES).alias("__first"))
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
+    return ranked.join(broadcast_if_small(first), same).select(
+        *df.columns, (F.col(_CHANGES) - F.col("__first") + F.lit(start)).alias(name))
 
 
 def running_sums(df: DataFrame, order_by: Sequence[Column | str], sums: Mapping[str, str]) -> DataFrame:

@@ -12,6 +12,7 @@ from tagmill.functions.constants import ENTROPY_EPSILON, MISSING_CLASS_COUNT, PR
 from tagmill.functions.normalize import not_nullish, strip_quotes
 from tagmill.operators import labels as label_ops
 from tagmill.operators import ranking
+from tagmill.operators.vocab import top_by_order
 
 
 def triples(df: DataFrame, labels: DataFrame, families: Mapping[str, str | Column]) -> DataFrame:
@@ -120,3 +121,16 @@ def rank(scored: DataFrame, method: str = "row", groups: Sequence[str] = ()) ->
     if method == "dense":
         return ranking.dense_index(keyed, groups, "__key").drop("__key")
     return ranking.group_index(keyed, groups, ["__key", "item"]).drop("__key")
+
+
+def first_ranked(scored: DataFrame, dim: int, groups: Sequence[str] = ()) -> DataFrame:
+    """The items with row rank up to ``dim``: ``item, idx`` (with ``groups``), without ranking the others.
+
+    Each task keeps its own first ``dim`` items of a group before anything is exchanged.
+    """
+    keyed = scored.withColumn("__key", F.round("entropy", 12))
+    if not groups:
+        return top_by_order(keyed, dim, "__key", "item").select("item", F.col("idx").cast("int").alias("idx"))
+    inside = Window.partitionBy(*groups).orderBy("__key", "item")
+    ranked = keyed.withColumn("idx", F.row_number().over(inside)).filter(F.col("idx") <= dim)
+    return ranked.select(*groups, "item", F.col("idx").cast("int").alias("idx"))

@@ -106,7 +106,7 @@ def m15_batches(t: Tables) -> DataFrame:
 def _family_vectors(t: Tables) -> DataFrame:
     """Documents as sparse vectors over the 256 most telling words."""
     words = b.document_words(t)
-    chosen = vocab.top(selection.rank(selection.entropy(b.word_triples(t))), 256)
+    chosen = selection.first_ranked(selection.entropy(b.word_triples(t)), 256)
     return model.vectorize(vocab.encode(words, chosen, rows=256), 256)
 
 

@@ -96,7 +96,29 @@ def w4_vocab_index(t: Tables) -> DataFrame:
 SELECT item, CAST(rank AS INT) AS idx FROM (
   SELECT item, row_number() OVER (ORDER BY ROUND(entropy, 12), item) AS rank FROM scored) AS k WHERE rank <= 768"""))
 def t2_vocab_top(t: Tables) -> DataFrame:
-    return vocab.top(selection.rank(selection.entropy(b.word_triples(t))), 768)
+    return selection.first_ranked(selection.entropy(b.word_triples(t)), 768)
+
+
+_FAMILY_WORDS = """SELECT DISTINCT lang AS family, doc_id AS entity, unnest(string_split(text, ' ')) AS item, quality AS label
+ FROM documents JOIN labels USING (doc_id) WHERE lang IS NOT NULL"""
+
+
+@query(f"""
+WITH triples AS ({_FAMILY_WORDS}),
+st AS (SELECT family, item, CAST(SUM(label) AS BIGINT) AS p, COUNT(*) AS n FROM triples GROUP BY 1, 2),
+tot AS (SELECT family, CAST(SUM(p) AS BIGINT) AS tp, CAST(SUM(n - p) AS BIGINT) AS tn FROM st GROUP BY 1),
+parts AS (SELECT family, item, n, tp + tn AS t, p / n::DOUBLE AS i, (tp - p) / NULLIF(tp + tn - n, 0)::DOUBLE AS o FROM st JOIN tot USING (family)),
+scored AS (SELECT family, item, COALESCE(
+   n::DOUBLE / t * (-i * ln(i + 1e-7) - (1 - i) * ln(1 - i + 1e-7)) + (t - n)::DOUBLE / t * (-o * ln(o + 1e-7) - (1 - o) * ln(1 - o + 1e-7)),
+   'nan'::DOUBLE) AS entropy FROM parts)
+SELECT family, item, CAST(idx AS INT) AS idx FROM (
+ SELECT family, item, row_number() OVER (PARTITION BY family ORDER BY ROUND(entropy, 12), item) AS idx FROM scored) AS r WHERE idx <= 64""")
+def t2_vocab_top_families(t: Tables) -> DataFrame:
+    """The most telling words of each language."""
+    words = b.document_words(t).join(b.document_labels(t), "entity").join(
+        t.documents.select(F.col("doc_id").alias("entity"), F.col("lang").alias("family")).filter("lang IS NOT NULL"), "entity")
+    triples = words.select("family", "entity", "item", "label").distinct()
+    return selection.first_ranked(selection.entropy(triples, groups=["family"]), 64, ["family"])
 
 
 @query(f"""

@@ -326,3 +326,42 @@ def test_wide_rows_are_not_broadcast(spark):
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1 << 20).alias("t"))
     assert "broadcast" not in session.broadcast_if_small(wide)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" in session.broadcast_if_small(spark.range(100))._jdf.queryExecution().logical().toString().lower()
+
+
+def test_dense_index_carries_over_partitions_of_tied_values(spark):
+    """Nearly all rows share a value: they lie in many partitions of like size, and ranks go on across them."""
+    rows = [(g, 5.0 if i % 100 else float(i), i) for i in range(8000) for g in ("a",)]
+    rows += [("b", v, -i) for i, v in enumerate([None, float("nan"), 1.0, float("nan"), None, 1.0, -2.0])] + [(None, 1.0, 1), (None, 0.0, 2)]
+    df = spark.createDataFrame(rows, "g string, v double, id long").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [r[0] for r in ranking._place(df.withColumn("t", F.monotonically_increasing_id()), ["g", F.col("v").asc_nulls_last(), "t"])
+                 .groupBy("__partition").count().select("count").collect()]
+        got = {(r.g, r.id): r.rank for r in ranking.dense_index(df, ["g"], "v").collect()}
+        flat = {r.id: r.rank for r in ranking.dense_index(df.filter("g = 'a'"), [], "v", 0).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(sizes) > 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    order = sorted({v for g, v, _ in rows if g == "a"})
+    assert all(got[g, i] == order.index(v) + 1 and flat[i] == order.index(v) for g, v, i in rows if g == "a")
+    assert [got["b", -i] for i in range(7)] == [4, 3, 2, 3, 4, 2, 1] and (got[None, 2], got[None, 1]) == (1, 2)
+
+
+def test_dense_index_of_nothing(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert ranking.dense_index(df, ["g"], "v").count() == 0 == ranking.dense_index(df, [], "v").count()
+
+
+def test_first_ranked_is_the_head_of_the_ranking_without_a_full_sort(spark, capsys):
+    rng = random.Random(4)
+    scored = spark.createDataFrame([(f"f{i % 3}", f"i{i:04}", rng.choice((0.1, 0.2, 0.3, float("nan")))) for i in range(300)],
+                                   "family string, item string, entropy double")
+    for groups in ([], ["family"]):
+        ranked = selection.rank(scored, "row", groups).filter("rank <= 20").select(*groups, "item", "rank").collect()
+        first = selection.first_ranked(scored, 20, groups)
+        assert sorted(map(tuple, first.collect())) == sorted(map(tuple, ranked))
+        first.explain()
+        plan = capsys.readouterr().out
+        assert "rangepartitioning" not in plan and ("WindowGroupLimit" in plan if groups else "TakeOrderedAndProject" in plan)
