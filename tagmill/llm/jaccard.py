@@ -19,6 +19,10 @@ WIDTH, PERCENT = 5, 75
 # Cells of the frequency sketch (fixed, whatever the corpus) and how many travel in one row.
 CELLS, CELLS_PER_ROW = 1 << 18, 1 << 10
 MOST_LEVELS = 8
+# Cells of a set's bitmap for each shingle, before rounding up to a power of two.
+BITS_PER_SHINGLE = 4
+# Postings that a task gathers before it packs them, and that a bucket of shingles holds.
+PER_BUCKET = 1 << 20
 
 
 def _needed(sizes: np.ndarray | int, percent: int):
@@ -30,29 +34,60 @@ def _profiles(width: int, cells: int, per_row: int):
     """Per document its set's size and digest; per task also rows of the frequency sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, counts = WordHashes(), set(), np.zeros(cells, np.uint32)
-        names = ["doc_id", "n", "digest", "cls", "part", "counts"]
+        names = ["doc_id", "n", "digest", "cls", "bits", "part", "counts"]
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            sizes, digests = [], []
+            sizes, digests, bits = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingle_set(text or b"", width, known)
                 digest = _digest(found)
                 sizes.append(len(found))
                 digests.append(digest)
+                bits.append(_bitmap(found))
                 if len(found) and digest not in seen:
                     seen.add(digest)
                     np.add.at(counts, (found & np.uint64(cells - 1)).astype(np.int64), 1)
             rows = len(sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([_key(d) for d in digests], pa.int64()),
-                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+                 pa.array(bits, pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if kind is not None and counts.any():
             parts = [i for i in range(cells // per_row) if counts[i * per_row:(i + 1) * per_row].any()]
             data = [counts[i * per_row:(i + 1) * per_row].tobytes() for i in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()),
-                 pa.nulls(len(parts), pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=names)
+                 pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.binary()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], names=names)
+
+    return run
+
+
+def _bitmap(found: np.ndarray) -> bytes:
+    """Which of some four cells per shingle, a power of two, the shingles fall into."""
+    cells = max(64, 1 << (BITS_PER_SHINGLE * len(found) - 1).bit_length()) if len(found) else 64
+    held = np.zeros(cells, np.uint8)
+    held[(found >> np.uint64(17) & np.uint64(cells - 1)).astype(np.int64)] = 1
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def most_common(one: bytes, two: bytes, n_one: int, n_two: int) -> int:
+    """Bound of the shingles that two sets share: each cell that only one of them fills holds a shingle of its own.
+
+    The longer bitmap is folded to the length of the other.
+    """
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    shorter = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, shorter)) for x in (a, b))
+    return min(n_one - int(np.bitwise_count(a & ~b).sum()), n_two - int(np.bitwise_count(b & ~a).sum()))
+
+
+def _maybe_similar(percent: int):
+    """Leaves out pairs whose bitmaps show that they share too little."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("x", "y", "nx", "ny")]
+            keep = [100 * o >= percent * (nx + ny - o) for (x, y, nx, ny) in zip(*columns, strict=True) for o in [most_common(x, y, nx, ny)]]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
     return run
 
@@ -96,21 +131,40 @@ def _sketch(profiles: DataFrame, cells: int, per_row: int) -> np.ndarray:
     return np.minimum(out, (1 << 24) - 1).astype(np.uint32)
 
 
-def _postings(width: int, percent: int, shared, most_levels: int):
-    """Prefix shingles of each distinct set of a task: ``token, cls, meta, pos``.
+def _postings(width: int, percent: int, shared, most_levels: int, buckets: int, per_bucket: int):
+    """Prefix shingles of each distinct set of a task, packed by bucket of the shingle: ``bucket, data``.
 
     Shingles are ordered rare cells first. With level l a document sends
     ``n - needed + l`` shingles; two similar sets share at least l of them.
-    The level grows with the postings the sketch expects beyond chance. ``meta`` holds n and the level,
-    ``pos`` is the shingle's place in the order.
+    The level grows with the postings the sketch expects beyond chance. A shingle whose cell alone would fill
+    much of a bucket is dealt by document instead, to buckets below 0.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         cells = len(counts)
         chance = counts.mean() + 3.0 * np.sqrt(counts.mean()) + 1.0
+        hot = per_bucket // 4 + counts.mean()
         known, seen = WordHashes(), set()
+        waiting: list[tuple[np.ndarray, np.ndarray, int, int, int]] = []
+
+        def flush() -> pa.RecordBatch:
+            sizes = [len(w[0]) for w in waiting]
+            tokens, often = (np.concatenate([w[i] for w in waiting]) for i in (0, 1))
+            docs = np.repeat(np.arange(len(waiting)), sizes)
+            places = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            classes = np.array([w[2] for w in waiting], np.int64)
+            spread = (classes.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            bucket = np.where(often > hot, -1 - spread[docs], ((tokens >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64))
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=bucket[order[0]] - 1))
+            packets = [_packed(tokens[part], docs[part], places[part], classes, np.array([w[3] for w in waiting], np.int64),
+                               np.array([w[4] for w in waiting], np.int64)) for part in np.split(order, edges[1:])]
+            names = bucket[order[edges]]
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packets, pa.binary())], names=["bucket", "data"])
+
+        gathered = 0
         for batch in batches:
-            tokens, classes, metas, places = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = shingle_set(text or b"", width, known)
                 n = len(found)
@@ -124,18 +178,53 @@ def _postings(width: int, percent: int, shared, most_levels: int):
                 base = n - needed + 1
                 cost = float(np.maximum(often[order[:base]] - chance, 0.0).mean())
                 level = max(1, min(most_levels, needed, 1 + int(np.log2(1.0 + cost) / 2)))
-                chosen = found[order[:base + level - 1]]
-                tokens.append(chosen.view(np.int64))
-                classes.append(np.full(len(chosen), _key(digest), np.int64))
-                metas.append(np.full(len(chosen), (n << 8) | level, np.int64))
-                places.append(np.arange(len(chosen), dtype=np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, metas, places)],
-                                                 names=["token", "cls", "meta", "pos"])
+                chosen = order[:base + level - 1]
+                waiting.append((found[chosen], often[chosen], _key(digest), n, level))
+                gathered += len(chosen)
+                if gathered >= per_bucket:
+                    yield flush()
+                    gathered = 0
+        if waiting:
+            yield flush()
 
     return run
 
 
+def _packed(tokens: np.ndarray, docs: np.ndarray, places: np.ndarray, classes: np.ndarray, sizes: np.ndarray, levels: np.ndarray) -> bytes:
+    """One packet of postings: its documents once, then shingles, document numbers and places by columns."""
+    used, local = np.unique(docs, return_inverse=True)
+    columns = (classes[used], sizes[used], levels[used], tokens.view(np.int64), local.astype(np.int64), places.astype(np.int64))
+    wide = [c.view(np.uint8).reshape(-1, 8) for c in columns]
+    # Bytes of equal weight lie together, so those that are 0 throughout cost little once the exchange is compressed.
+    return b"".join([np.array([len(used), len(tokens)], np.int64).tobytes(), *(np.ascontiguousarray(w.T).tobytes() for w in wide)])
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles, classes, meta and places of a packet; meta holds size and level."""
+    docs, rows = (int(x) for x in np.frombuffer(data[:16], np.int64))
+    body, at, columns = np.frombuffer(data, np.uint8), 16, []
+    for many in (docs, docs, docs, rows, rows, rows):
+        columns.append(np.ascontiguousarray(body[at:at + 8 * many].reshape(8, many).T).view(np.int64).ravel())
+        at += 8 * many
+    classes, sizes, levels, tokens, local, places = columns
+    return tokens, classes[local], ((sizes << 8) | levels)[local], places
+
+
+def _shared_postings(table: pa.Table) -> pa.Table:
+    """Postings of a bucket whose shingle more than one class sends, each class once: ``token, cls, meta, pos``."""
+    parts = [_unpacked(x.as_py()) for x in table.column("data")]
+    tokens, classes, metas, places = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    order = np.lexsort((classes, tokens))
+    tokens, classes, metas, places = tokens[order], classes[order], metas[order], places[order]
+    new_token = np.concatenate([[True], tokens[1:] != tokens[:-1]])
+    first = new_token | np.concatenate([[True], classes[1:] != classes[:-1]])
+    tokens, classes, metas, places, new_token = (x[first] for x in (tokens, classes, metas, places, new_token))
+    run = np.cumsum(new_token) - 1
+    # A bucket below 0 holds some of the classes of very frequent shingles only.
+    several = (np.bincount(run)[run] > 1) | (table.column("bucket")[0].as_py() < 0)
+    return pa.table([pa.array(x[several]) for x in (tokens, classes, metas, places)], ["token", "cls", "meta", "pos"])
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -152,12 +241,14 @@ def _frequent(rows: DataFrame, key: str, what: str) -> DataFrame:
     return rows.join(several, key, "left_semi")
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole shingle sets are similar enough."""
+def _verified(texts: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose whole shingle sets are similar enough; bitmaps leave out most others before."""
     pairs = staged(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    # Broadcast only a counted number of ids; more are met by a join.
-    sets = texts.join(broadcast_if_small(wanted), "doc_id", "left_semi").mapInArrow(_sets(width), "doc bigint, hashes array<bigint>")
+    maps = profiles.join(_members(pairs), "doc_id", "left_semi").select("doc_id", "n", "bits")
+    seen = (pairs.join(maps.select(F.col("doc_id").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("x")), "a")
+            .join(maps.select(F.col("doc_id").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("y")), "b"))
+    pairs = staged(seen.mapInArrow(_maybe_similar(percent), "a bigint, b bigint").distinct(), "pairs")
+    sets = texts.join(_members(pairs), "doc_id", "left_semi").mapInArrow(_sets(width), "doc bigint, hashes array<bigint>")
     sets = staged(sets, "sets")
     one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("hashes").alias("x")), "a")
     both = one.join(sets.select(F.col("doc").alias("b"), F.col("hashes").alias("y")), "b")
@@ -166,6 +257,11 @@ def _verified(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> D
     return common.filter(F.col("o") * 100 >= percent * (F.col("s") - F.col("o"))).select("a", "b")
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    """The ids in some pairs. Only a counted number is broadcast; more are met by a join."""
+    return broadcast_if_small(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct())
+
+
 def _size(meta: str):
     return F.shiftright(meta, 8)
 
@@ -269,14 +365,15 @@ def _crossing(mixed: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int = CELLS, per_row: int = CELLS_PER_ROW,
-         most_levels: int = MOST_LEVELS) -> DataFrame:
+         most_levels: int = MOST_LEVELS, per_bucket: int = PER_BUCKET) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per input row; no link of similarity ``percent`` or more is lost.
 
     1. Each text becomes a set of 64-bit shingle hashes; equal sets form a class under its smallest id.
     2. A sketch of fixed size says which shingles are frequent; each class sends the prefix of its rarest
        shingles, longer where many candidates are expected.
-    3. Shingles of one class only are dropped. Each class is compared with the centre it shares most with,
-       in two rounds with different centres; that joins large groups by a few comparisons per member.
+    3. Prefix shingles meet once, packed by bucket; those of one class only are dropped there. Each class
+       is compared with the centre it shares most with, in two rounds with different centres; that joins large
+       groups by a few comparisons per member.
     4. All remaining pairs of different components that share as many prefix shingles as their sizes and
        levels ask for, at places that leave enough in common, are compared exactly. The smaller set of a pair
        needs a shorter prefix. Pairs inside a component could change nothing.
@@ -288,18 +385,21 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     profiles = staged(texts.mapInArrow(_profiles(width, cells, per_row),
-                                       "doc_id bigint, n bigint, digest binary, cls bigint, part int, counts binary"), "profiles")
+                                       "doc_id bigint, n bigint, digest binary, cls bigint, bits binary, part int, counts binary"), "profiles")
     shared = spark.sparkContext.broadcast(_sketch(profiles, cells, per_row))
-    rows = profiles.filter(F.col("part").isNull()).select("doc_id", "n", "digest", "cls")
+    profiles = profiles.filter(F.col("part").isNull()).drop("part", "counts")
+    rows = profiles.select("doc_id", "n", "digest", "cls")
     classes = (rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
                .filter("rep < last").select("digest", "rep"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
     rows = staged(rows.join(classes, "digest", "left").select("doc_id", "n", "cls", own.alias("rep")), "classes")
 
-    postings = staged(texts.mapInArrow(_postings(width, percent, shared, most_levels), "token bigint, cls bigint, meta bigint, pos bigint"),
-                      "postings")
-    several = postings.groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).filter("x < y").select("token")
-    listed = postings.join(several, "token", "left_semi").distinct().withColumn("n", _size("meta"))
+    # A class's prefix is about the share of its set that similar sets may differ in.
+    sent = rows.filter("n > 0").select("cls", "n").distinct().agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).first()[0]
+    buckets = max(1, -(-(sent or 0) // per_bucket))
+    packets = texts.mapInArrow(_postings(width, percent, shared, most_levels, buckets, per_bucket), "bucket bigint, data binary")
+    listed = packets.groupBy("bucket").applyInArrow(_shared_postings, "token bigint, cls bigint, meta bigint, pos bigint")
+    listed = listed.withColumn("n", _size("meta"))
     senders = rows.filter("n > 0 AND rep IS NOT NULL").groupBy("cls", "n").agg(F.min("rep").alias("doc"))
 
     # Several texts of one id hold their classes together.
@@ -319,7 +419,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, cells: int
                        .select("token", "doc", "meta", "pos", "before", "share", F.coalesce("component", "doc").alias("component")))
             mixed = staged(_frequent(grouped, "token", "component"), "mixed")
         pairs = _crossing(mixed, percent) if rank is None else _stars(mixed, percent, rank)
-        links = staged(links.union(_verified(texts, pairs, width, percent)), "links")
+        links = staged(links.union(_verified(texts, profiles, pairs, width, percent)), "links")
     final = graph.components(links)
     return (rows.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))

@@ -73,6 +73,28 @@ def test_jaccard_equals_brute_force(docs_of):
     assert got == {i: (len(sets[i]), root(i)) for i in sets}
 
 
+def test_jaccard_in_many_small_and_hot_buckets(docs_of):
+    r = random.Random(8)
+    base = text_of(r, 60).split()
+    rows = [(i, " ".join([*base[:40], *(f"v{r.randint(0, 3)}" for _ in range(i % 9))])) for i in range(90)]
+    rows += [(200 + i, text_of(r, r.randint(3, 40))) for i in range(60)]
+    docs = docs_of(rows).repartition(5)
+    want = sorted(map(tuple, jaccard.link(docs).collect()))
+    assert len({w[2] for w in want}) < 80
+    for settings in ({"per_bucket": 16}, {"per_bucket": 64, "cells": 64, "per_row": 16}):
+        assert sorted(map(tuple, jaccard.link(docs, **settings).collect())) == want
+
+
+def test_postings_packets_round_trip():
+    r = np.random.default_rng(1)
+    tokens = r.integers(0, 2**64 - 1, 50, dtype=np.uint64)
+    docs = np.sort(r.integers(0, 6, 50))
+    classes, sizes, levels = r.integers(-2**63, 2**63 - 1, 6), r.integers(1, 2**40, 6), r.integers(1, 9, 6)
+    got = jaccard._unpacked(jaccard._packed(tokens, docs, np.arange(50), classes, sizes, levels))
+    assert np.array_equal(got[0], tokens.view(np.int64)) and np.array_equal(got[1], classes[docs])
+    assert np.array_equal(got[2], (sizes[docs] << 8) | levels[docs]) and np.array_equal(got[3], np.arange(50))
+
+
 def test_jaccard_edges(edges):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard.link(edges).collect())
     assert [g[1:] for g in got if not g[0]] == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 2, 5), (5, 2, 5), (7, 3, 7), (8, 1, 8)]
@@ -353,3 +375,16 @@ def test_pipeline_on_small_table(spark, folder):
     assert found.filter("doc_id <> component_id").count() == 0
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 100 and out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_bitmaps_never_bound_below_what_sets_share():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        n, m = (int(x) for x in r.integers(1, 400, 2))
+        shared = r.integers(0, 2**64 - 1, int(r.integers(0, min(n, m) + 1)), dtype=np.uint64)
+        one, two = (np.unique(np.concatenate([shared, r.integers(0, 2**64 - 1, k - len(shared), dtype=np.uint64)])) for k in (n, m))
+        bound = jaccard.most_common(jaccard._bitmap(one), jaccard._bitmap(two), len(one), len(two))
+        common = len(np.intersect1d(one, two))
+        assert common <= bound <= min(len(one), len(two))
+        if 100 * min(len(one), len(two)) >= 75 * max(len(one), len(two)):  # else the pair is not compared
+            assert bound - common <= 0.5 * (min(len(one), len(two)) - common) + 8
