@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
@@ -13,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagmill.functions.constants import SEED
-from tagmill.session import ensure_checkpoint_dir
+from tagmill.operators import evaluate, trainset
+from tagmill.session import checkpoint, ensure_checkpoint_dir
 
 
 def vectorize(encoded: DataFrame, dim: int, keep: tuple[str, ...] = ("entity",), first: int = 1) -> DataFrame:
@@ -71,3 +76,51 @@ def save(model: GBTClassificationModel, path: str) -> None:
 
 def load(path: str) -> GBTClassificationModel:
     return GBTClassificationModel.load(path)
+
+
+def bundle(words: Sequence[str], model: GBTClassificationModel) -> PipelineModel:
+    """Vocabulary, vector builder and trees as one stored model over ``items`` (array of text).
+
+    ``words`` are the vocabulary in order, as many as the model has places; the first is place 0. An item
+    counts once; a row without known items has an empty vector and is scored like any other.
+    """
+    if len(words) != model.numFeatures:
+        raise ValueError(f"the model has {model.numFeatures} places, the vocabulary {len(words)}")
+    vectors = CountVectorizerModel.from_vocabulary(list(words), inputCol="items", outputCol="features", binary=True)
+    return PipelineModel([vectors, model])
+
+
+def save_bundle(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_bundle(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def cross_validate(df: DataFrame, k: int = 5, seed: int = SEED, **settings) -> DataFrame:
+    """``entity, label, fold, score``: every row of ``entity, label, features`` scored by a model that has not seen its fold.
+
+    Folds come from a hash of the entity; the ``k`` models are trained side by side.
+    """
+    marked = checkpoint(trainset.folds(df, k, seed))
+
+    def out_of_fold(fold: int) -> DataFrame:
+        fitted = train(marked.filter(F.col("fold") != fold), seed=seed, **settings)
+        return score(fitted, marked.filter(F.col("fold") == fold), keep=("entity", "label", "fold"))
+
+    with ThreadPoolExecutor(k) as pool:
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(out_of_fold), range(k)))
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
+    return scored
+
+
+def fold_auc(scored: DataFrame, k: int = 5) -> DataFrame:
+    """``fold, auc`` of scores out of fold; there are ``k`` of them."""
+    parts = [evaluate.auc(scored.filter(F.col("fold") == fold)).select(F.lit(fold).alias("fold"), "auc") for fold in range(k)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,8 @@ from tagmill.functions.constants import SEED
 from tagmill.functions.hashing import hash_hex
 from tagmill.plans import bindings as b
 from tagmill.plans.registry import Tables, query
-from tagmill.session import ensure_checkpoint_dir
+from tagmill.plans.selection_queries import t2_sql
+from tagmill.session import checkpoint, ensure_checkpoint_dir
 from tagmill.sources import readers, sinks
 
 
@@ -120,6 +122,34 @@ def m5_train_score(t: Tables) -> DataFrame:
     return model.score(model.load(path), vectors)
 
 
+@query("SELECT doc_id AS entity, TRUE AS same FROM documents")
+def s14_stored_model(t: Tables) -> DataFrame:
+    """Vocabulary, vector builder and trees stored as one model: scores before and after loading, row by row."""
+    words = b.document_words(t)
+    chosen = checkpoint(selection.first_ranked(selection.entropy(b.word_triples(t)), 256))
+    vectors = model.vectorize(vocab.encode(words, chosen, rows=256), 256)
+    fitted = model.train(trainset.prepare(vectors, b.document_labels(t), unique=True))
+    whole = model.bundle([r.item for r in chosen.orderBy("idx").collect()], fitted)
+    path = _scratch(t)
+    model.save_bundle(whole, path)
+    rows = b.texts(t).select("entity", F.split(F.coalesce("text", F.lit("")), " ").alias("items"))
+    before, after = (model.score(m, rows) for m in (whole, model.load_bundle(path)))
+    both = before.join(after.withColumnRenamed("score", "again"), "entity")
+    return both.select("entity", ((F.col("score") == F.col("again")) & F.col("score").between(0, 1)).alias("same"))
+
+
+@query(f"""SELECT doc_id AS entity, quality AS label,
+  CAST(floor({_DRAW.format(seed=SEED, key="CAST(doc_id AS VARCHAR)")} * 3) AS INT) AS fold, TRUE AS scored
+FROM documents JOIN labels USING (doc_id) WHERE doc_id IN (
+  SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS item FROM documents) AS w
+  JOIN (SELECT item FROM ({t2_sql(256)}) AS v) AS v USING (item))""")
+def m5_cross_validated(t: Tables) -> DataFrame:
+    """Scores out of fold: every labelled document once, by a model that has not seen its fold."""
+    labelled = trainset.prepare(_family_vectors(t), b.document_labels(t), unique=True)
+    scored = model.cross_validate(labelled, 3, rounds=5, depth=4)
+    return scored.select("entity", "label", "fold", F.col("score").between(0, 1).alias("scored"))
+
+
 @query()
 def m10_score_labelled(t: Tables) -> DataFrame:
     """Scores that keep the true label, from a model trained on one side of a holdout split."""
@@ -387,3 +417,42 @@ def s11_vocabulary_file(t: Tables) -> DataFrame:
     path = _scratch(t)
     vocab.write(vocab.build(t.part.select(F.col("p_name").alias("item")), 1), path)
     return readers.read_delimited(t.spark, path + "/schema", {"item": (0, "string"), "idx": (1, "bigint")})
+
+
+@query("""
+SELECT o_orderkey AS entity, o_custkey AS customer, COUNT(*) AS lines, CAST(SUM(l_quantity) AS BIGINT) AS quantity
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""")
+def j7_bucketed_join(t: Tables) -> DataFrame:
+    """Both sides stored hashed and sorted by the key; joined and summed without an exchange."""
+    sides = {"orders": t.orders.select(F.col("o_orderkey").alias("entity"), F.col("o_custkey").alias("customer")),
+             "lines": t.lineitem.select(F.col("l_orderkey").alias("entity"), "l_quantity")}
+    names = {}
+    for side, rows in sides.items():
+        names[side] = f"{side}_{uuid.uuid4().hex}"
+        sinks.write_bucketed(rows, names[side], buckets=16, path=_scratch(t))
+    joined = t.spark.table(names["orders"]).hint("merge").join(t.spark.table(names["lines"]), "entity")
+    return joined.groupBy("entity", "customer").agg(F.count("*").alias("lines"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+
+
+def _by_day(t: Tables) -> DataFrame:
+    return t.events.select("event_id", "event_type", F.to_date("ts").alias("day"))
+
+
+@query("SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-12'")
+def s6_day_folders(t: Tables) -> DataFrame:
+    """Parquet folders per day; a window reads its own folders only."""
+    path = _scratch(t)
+    sinks.write_parquet(_by_day(t), path, ("day",))
+    return readers.read_window(t.spark, path, "2024-01-12", 9).select("event_id", "event_type", "day")
+
+
+@query("""SELECT event_id, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-06' THEN event_type || '!' ELSE event_type END AS event_type,
+  CAST(ts AS DATE) AS day FROM events""")
+def s10_day_overwrite(t: Tables) -> DataFrame:
+    """One day written again, twice over; the other days stay as they are."""
+    path = _scratch(t)
+    sinks.overwrite_days(_by_day(t), path)
+    again = _by_day(t).filter(F.col("day") == F.lit(date(2024, 1, 6))).withColumn("event_type", F.concat("event_type", F.lit("!")))
+    for _ in range(2):
+        sinks.overwrite_days(again, path)
+    return t.spark.read.parquet(path).select("event_id", "event_type", "day")

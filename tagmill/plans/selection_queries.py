@@ -92,9 +92,14 @@ def w4_vocab_index(t: Tables) -> DataFrame:
     return vocab.build(b.document_words(t), 0)
 
 
-@query(_entropy_sql(b.WORDS_SQL, """
+def t2_sql(dim: int) -> str:
+    """The most telling words of labelled documents."""
+    return _entropy_sql(b.WORDS_SQL, f"""
 SELECT item, CAST(rank AS INT) AS idx FROM (
-  SELECT item, row_number() OVER (ORDER BY ROUND(entropy, 12), item) AS rank FROM scored) AS k WHERE rank <= 768"""))
+  SELECT item, row_number() OVER (ORDER BY ROUND(entropy, 12), item) AS rank FROM scored) AS k WHERE rank <= {dim}""")
+
+
+@query(t2_sql(768))
 def t2_vocab_top(t: Tables) -> DataFrame:
     return selection.first_ranked(selection.entropy(b.word_triples(t)), 768)
 

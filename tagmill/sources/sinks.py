@@ -1,4 +1,4 @@
-"""Writers. Every writer replaces what is at its path."""
+"""Writers. Every writer but ``overwrite_days`` replaces what is at its path."""
 
 from __future__ import annotations
 
@@ -37,3 +37,8 @@ def write_bucketed(df: DataFrame, table: str, key: str = "entity", buckets: int
     """Table hashed and sorted by a key, so later joins on that key need no exchange."""
     writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
     (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def overwrite_days(df: DataFrame, path: str, day: str = "day") -> None:
+    """Parquet folders per day; replaces the days that ``df`` holds and leaves all others as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)

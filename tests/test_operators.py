@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagmill import session
@@ -365,3 +366,56 @@ def test_first_ranked_is_the_head_of_the_ranking_without_a_full_sort(spark, caps
         first.explain()
         plan = capsys.readouterr().out
         assert "rangepartitioning" not in plan and ("WindowGroupLimit" in plan if groups else "TakeOrderedAndProject" in plan)
+
+
+def test_out_of_fold_scores_find_a_planted_rule(spark):
+    """Every entity is scored once, by a model that has not seen it; a plain rule is found in every fold."""
+    rows = [(f"e{i}", i % 2, Vectors.dense([float(i % 2), float(i % 7), float(i % 3)])) for i in range(240)]
+    df = spark.createDataFrame(rows, ["entity", "label", "features"])
+    scored = model.cross_validate(df, 3, rounds=2, depth=2).cache()
+    assert sorted(r.entity for r in scored.collect()) == sorted(r[0] for r in rows)
+    assert {r.fold: r.auc for r in model.fold_auc(scored, 3).collect()} == {0: 1.0, 1: 1.0, 2: 1.0}
+    noise = df.withColumn("label", (F.xxhash64("entity") % 2 == 0).cast("int"))
+    for r in model.fold_auc(model.cross_validate(noise, 3, rounds=8, depth=5), 3).collect():
+        assert 0.2 < r.auc < 0.8
+
+
+def test_bundle_needs_a_word_for_each_place(spark):
+    rows = [(i % 2, Vectors.sparse(2, {i % 2: 1.0})) for i in range(20)]
+    fitted = model.train(spark.createDataFrame(rows, ["label", "features"]), rounds=1, depth=1)
+    whole = model.bundle(["a", "b"], fitted)
+    out = model.score(whole, spark.createDataFrame([(1, ["b", "b", "x"]), (2, ["a"]), (3, [])], "entity int, items array<string>"))
+    found = {r.entity: r.score for r in out.collect()}
+    assert found[1] > 0.5 > found[2] and set(found) == {1, 2, 3}
+    with pytest.raises(ValueError):
+        model.bundle(["a"], fitted)
+
+
+def test_days_are_rewritten_alone_and_windows_read_their_folders(spark, tmp_path, capsys):
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame([(i, f"2024-01-0{1 + i % 5}") for i in range(50)], "id int, day string").withColumn("day", F.to_date("day"))
+    sinks.overwrite_days(rows, path)
+    folder = tmp_path / "days"
+    before = {p: p.stat().st_mtime_ns for p in folder.glob("day=*/*.parquet")}
+    sinks.overwrite_days(rows.filter("day = DATE '2024-01-02'").withColumn("id", F.col("id") + 100), path)
+    after = {p: p.stat().st_mtime_ns for p in folder.glob("day=*/*.parquet")}
+    assert {p.parent.name for p, _ in set(before.items()) ^ set(after.items())} == {"day=2024-01-02"}
+    window = readers.read_window(spark, path, "2024-01-03", 1)
+    assert sorted(r.id for r in window.collect()) == sorted([i + 100 for i in range(50) if i % 5 == 1] + [i for i in range(50) if i % 5 == 2])
+    window.explain()
+    assert "PartitionFilters: [isnotnull(day" in capsys.readouterr().out
+
+
+def test_bucketed_sides_join_without_an_exchange(spark, tmp_path, capsys):
+    for name in ("left_side", "right_side"):
+        rows = spark.range(500).select((F.col("id") % 90).alias("entity"), F.col("id").alias(name))
+        sinks.write_bucketed(rows, f"{name}_b", buckets=4, path=str(tmp_path / name))
+    try:
+        joined = spark.table("left_side_b").hint("merge").join(spark.table("right_side_b"), "entity").groupBy("entity").agg(F.count("*").alias("n"))
+        assert joined.agg(F.sum("n")).first()[0] == sum(len(range(e, 500, 90)) ** 2 for e in range(90))
+        joined.explain()
+        plan = capsys.readouterr().out
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    finally:
+        for name in ("left_side", "right_side"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}_b")
