@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tagmill.llm import bpe, jaccard, lines, mixture, secrets
 from tagmill.llm.common import ready, shared_folder, staged
 from tagmill.llm.queries import PATTERN, RANKS
+from tagmill.session import broadcast_if_small
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # The stages train models and draw samples, which SQL cannot express.
@@ -33,9 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     found = staged(jaccard.link(docs).select("doc_id", "component_id"), "components")
     copies = found.filter("doc_id <> component_id").select("doc_id")
     again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    single = docs.join(copies.union(again).distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    # The texts stay where they are if the ids to leave out are counted and few.
+    single = docs.join(broadcast_if_small(copies.union(again).distinct()), "doc_id", "left_anti").select(*COLUMNS)
     first = Window.partitionBy("doc_id").orderBy(*[F.col(c).asc_nulls_last() for c in COLUMNS])
-    several = docs.join(again, "doc_id", "left_semi").join(copies.distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    several = (docs.join(broadcast_if_small(again), "doc_id", "left_semi")
+               .join(broadcast_if_small(copies.distinct()), "doc_id", "left_anti").select(*COLUMNS))
     return single.unionByName(several.withColumn("k", F.row_number().over(first)).filter("k = 1").drop("k"))
 
 
