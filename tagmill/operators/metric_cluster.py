@@ -244,10 +244,8 @@ def _link(layout: _Layout) -> Callable:
             core = right.column("core").to_numpy().astype(bool)
             piece, seen = np.arange(len(left)), {}
             for mine, who, near in _met(layout, left, right):
-                for q, row in zip(who, near, strict=True):
-                    hit = mine[row]
-                    if not len(hit):
-                        continue
+                for k in np.flatnonzero(near.any(1)):
+                    q, hit = who[k], mine[near[k]]
                     found = np.unique(piece[hit])
                     if core[q] and (len(found) > 1 or q in seen):
                         found = np.unique(np.concatenate([found, piece[seen.get(q, hit[:1])]]))
