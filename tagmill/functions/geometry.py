@@ -14,6 +14,12 @@ def distance(a: Column | str, b: Column | str) -> Column:
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap))
 
 
+def _crosses(lat: Column, lng: Column, lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
+    """Does the ray from a point along increasing ``lng`` cross an edge?"""
+    at = F.try_divide((lng2 - lng1) * (lat - lat1), lat2 - lat1) + lng1
+    return F.coalesce(((lat1 < lat) != (lat2 < lat)) & (lng < at), F.lit(False))
+
+
 def contains(ring: Column | str, lat: Column | str, lng: Column | str) -> Column:
     """Even-odd test of a point against a ring of ``struct<lat, lng>`` vertices.
 
@@ -26,14 +32,22 @@ def contains(ring: Column | str, lat: Column | str, lng: Column | str) -> Column
     following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
 
     def crosses(p: Column, q: Column) -> Column:
-        spans = (p["lat"] < lat) != (q["lat"] < lat)
-        at = F.try_divide((q["lng"] - p["lng"]) * (lat - p["lat"]), q["lat"] - p["lat"]) + p["lng"]
-        return F.coalesce(spans & (lng < at), F.lit(False))
+        return _crosses(lat, lng, p["lat"], p["lng"], q["lat"], q["lng"])
 
     crossings = F.filter(F.zip_with(ring, following, crosses), lambda hit: hit)
     return F.size(crossings) % 2 == 1
 
 
+def in_cell(lat: Column | str, lng: Column | str, base: Column | str, turns: Column | str, edges: Column | str) -> Column:
+    """``contains`` for a point of a cell that keeps only the edges near it.
+
+    ``base`` and ``turns`` are the parity of the edges left out: it changes at each latitude of ``turns``.
+    """
+    lat, lng, base, turns, edges = (F.col(c) if isinstance(c, str) else c for c in (lat, lng, base, turns, edges))
+    crossed = F.filter(edges, lambda e: _crosses(lat, lng, e["lat1"], e["lng1"], e["lat2"], e["lng2"]))
+    return (base.cast("int") + F.size(F.filter(turns, lambda v: v < lat)) + F.size(crossed)) % 2 == 1
+
+
 def in_box(lat: Column | str, lng: Column | str, box: Column | None = None) -> Column:
     """True if the point lies in a closed box with fields ``min_lat .. max_lng`` (a struct, or columns)."""
     lat = F.col(lat) if isinstance(lat, str) else lat

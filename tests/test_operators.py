@@ -2,12 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagmill import session
 from tagmill.functions import normalize as n
+from tagmill.functions.geometry import contains, in_box
 from tagmill.operators import bags, campaign, cohort, features, geo, identity, labels, model, ranking, selection, sessions, trainset, vocab
 from tagmill.operators.evaluate import auc
 from tagmill.sources import libsvm, readers, sinks
@@ -217,7 +219,7 @@ def test_areas_of_very_different_size(spark):
 def test_copies_of_an_area(spark, monkeypatch, by_rows, single):
     """Copies count as boxes, the smallest code wins, and both ways of joining agree."""
     if by_rows:
-        monkeypatch.setattr(geo, "CELL_VERTICES", 3)
+        monkeypatch.setattr(geo, "CELL_BYTES", 3)
     triangle, square = "1.01,1.01;1.01,2.99;2.99,1.01", "5.01,5.01;5.01,6.99;6.99,6.99;6.99,5.01"
     other = "5.51,5.51;5.51,8.99;8.99,8.99"
     lines = [f"{code}\tx\t{ring}" for code, ring in (("30", triangle), ("20", square), ("10", square), ("15", square), ("40", other))]
@@ -229,6 +231,66 @@ def test_copies_of_an_area(spark, monkeypatch, by_rows, single):
     assert got == {1: "30" if single else "null", 2: "30", 3: "10", 4: "40" if single else "null", 5: "10"}
 
 
+def _ring(rng, corners, lat, lng, size):
+    """A ring around a centre; its corners lie at random distances, on a lattice of 1/1024 degree."""
+    turn = np.sort(rng.uniform(0, 2 * np.pi, corners))
+    far = size * rng.uniform(0.5, 1.0, corners)
+    return [(round((lat + d * np.sin(t)) * 1024) / 1024, round((lng + d * np.cos(t)) * 1024) / 1024) for t, d in zip(turn, far, strict=True)]
+
+
+def _lines(spark, rings):
+    text = [f"{code}\tname {code}\t" + ";".join(f"{a!r},{g!r}" for a, g in ring) for code, ring in rings.items()]
+    return spark.createDataFrame([(x,) for x in text], "value string")
+
+
+@pytest.mark.parametrize("by_rows", [False, True])
+@pytest.mark.parametrize("single", [False, True])
+def test_quadtree_answers_as_whole_rings_do(spark, monkeypatch, by_rows, single):
+    """Against a test of every ring: corners, points on cell borders and beyond, rings that cross themselves, small and large."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(geo, "CELL_EDGES", 4)
+    if by_rows:
+        monkeypatch.setattr(geo, "CELL_BYTES", 3)
+    rings = {f"{100 + i}": _ring(rng, int(rng.integers(3, 120)), rng.uniform(-3, 3), rng.uniform(-3, 3), 2.0 ** rng.uniform(-4, 2)) for i in range(25)}
+    rings["200"] = [rings["100"][i] for i in rng.permutation(len(rings["100"]))]
+    rings["201"] = [(float("nan"), 1.0), (1.0, 2.0), (2.0, 1.0)]
+    rings["202"] = [(1.0, 1.0)]
+    spots = [p for ring in rings.values() for p in ring[:12]]
+    spots += [(a / 4, g / 4) for a in range(-8, 9, 2) for g in range(-8, 9)] + [(float("nan"), 0.0), (float("inf"), 1.0), (None, 0.5)]
+    spots += [tuple(p) for p in rng.uniform(-4, 4, (800, 2)).tolist()]
+    areas = geo.load_areas(_lines(spark, rings))
+    points = spark.createDataFrame([(i, a, g) for i, (a, g) in enumerate(spots)], "pid int, lat double, lng double")
+    got = {r.pid: r.code for r in geo.locate(points, areas, single).collect()}
+    tested = points.join(areas.filter("code <> '201'"), in_box("lat", "lng")).select("pid", "code", contains("ring", "lat", "lng").alias("inside"))
+    boxes, inside = {}, {}
+    for r in tested.collect():
+        boxes.setdefault(r.pid, []).append(r.code)
+        if r.inside:
+            inside.setdefault(r.pid, []).append(r.code)
+    for pid in range(len(spots)):
+        one = boxes[pid][0] if single and len(boxes.get(pid, [])) == 1 else min(inside.get(pid, ["null"]))
+        assert got[pid] == one, (pid, spots[pid])
+
+
+def test_large_ring_is_tested_by_the_edges_of_one_cell(spark):
+    """300,000 corners: no cell keeps more than its share of edges, most keep none, and no edge is repeated often."""
+    corners = 300_000
+    turn = np.linspace(0, 2 * np.pi, corners, endpoint=False)
+    far = 30 + 3 * np.sin(40 * turn)
+    lats, lngs = far * np.sin(turn), far * np.cos(turn)
+    ring = [(float(a), float(g)) for a, g in zip(lats, lngs, strict=True)]
+    areas = geo.load_areas(_lines(spark, {"7": ring}))
+    most, total = geo.area_cover(areas).agg(F.max(F.size("edges")), F.sum(F.size("edges"))).first()
+    assert most <= geo.CELL_EDGES and corners <= total <= geo.GROWTH * corners
+    rng = np.random.default_rng(1)
+    spots = rng.uniform(-35, 35, (2000, 2))
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(spots.tolist())], "pid int, lat double, lng double")
+    angle = np.arctan2(spots[:, 0], spots[:, 1])
+    gap = np.hypot(spots[:, 0], spots[:, 1]) - (30 + 3 * np.sin(40 * angle))
+    got = {r.pid: r.code for r in geo.locate(points, areas).collect()}
+    assert all(got[i] == ("7" if gap[i] < 0 else "null") for i in range(len(spots)) if abs(gap[i]) > 1e-3)
+
+
 def test_confirmation_in_long_form(spark):
     latest = spark.createDataFrame([("e", "I3"), ("f", "I1")], "entity string, ident string")
     known = spark.createDataFrame([("e", "i3"), ("e", "i3"), ("f", "i9")], "entity string, ident string")

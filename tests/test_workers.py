@@ -5,11 +5,11 @@ import pickle
 from pyspark import cloudpickle
 
 from tagmill.functions.hashing import folder
-from tagmill.operators import simhash
+from tagmill.operators import geo, simhash
 
 
 def test_functions_travel_without_the_package(monkeypatch):
-    for function in (folder(64), folder(256, "1"), simhash._partial_sums(128, "1a")):
+    for function in (folder(64), folder(256, "1"), simhash._partial_sums(128, "1a"), geo._divide(64, 2, 4, -96)):
         payload = cloudpickle.dumps(function)
         seen = []
 
