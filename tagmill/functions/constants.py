@@ -46,6 +46,9 @@ TAG_LOW = 0.40
 SAMPLE_HIGH = 0.95
 SAMPLE_LOW = 0.15
 
+# Ids of the positive and the negative tag in audience files.
+TAG_IDS = {"pos": "304", "neg": "305"}
+
 # Seed of training and splitting, records kept per entity,
 # class count assumed for a class that never occurs, smoothing terms.
 SEED = 12345

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.functions.constants import SAMPLE_HIGH, SAMPLE_LOW, TAG_HIGH, TAG_LOW
+from tagmill.functions.constants import SAMPLE_HIGH, SAMPLE_LOW, TAG_HIGH, TAG_IDS, TAG_LOW
 from tagmill.operators import labels as label_ops
 from tagmill.operators import model as model_ops
 
@@ -51,6 +51,17 @@ def sorted_tags(tagged: DataFrame) -> DataFrame:
     return tagged.orderBy(F.desc("tag"), F.desc("value"), "entity")
 
 
+def audience(tagged: DataFrame, side: str, ids: Mapping[str, str] = TAG_IDS, keys: Sequence[str] = ("entity",)) -> DataFrame:
+    """Members of one tag with the id it goes by: ``keys..., tag_id, value``."""
+    members = tagged.filter(F.col("tag") == side)
+    return members.select(*keys, F.lit(ids[side]).alias("tag_id"), "value")
+
+
+def labelled_scores(combined: DataFrame, labels: DataFrame) -> DataFrame:
+    """What the stacked model learns from: ``label, entity, smax, smin, missing`` of entities with a label."""
+    return label_ops.attach(combined, labels).select("label", "entity", "smax", "smin", "missing")
+
+
 def pseudo_labels(df: DataFrame, hi: float = SAMPLE_HIGH, lo: float = SAMPLE_LOW) -> DataFrame:
     """Confident entities as new labels; the positive rule is tested first."""
     label = F.when(F.col("smax") >= hi, F.lit(1)).when(F.col("smin") <= lo, F.lit(0))

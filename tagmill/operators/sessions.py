@@ -50,6 +50,23 @@ def cap_records(df: DataFrame, order_by: list[str], limit: int = RECORDS_PER_ENT
     return df.withColumn("__rank", F.row_number().over(inside)).filter(F.col("__rank") <= limit).drop("__rank")
 
 
+def nest(df: DataFrame, keys: tuple[str, ...] = ("entity",), limit: int = RECORDS_PER_ENTITY) -> DataFrame:
+    """``keys..., records``: the first ``limit`` records of an entity in one row, by time, app and activities.
+
+    From ``entity, app, time, activities``. Activities of a record that agree in
+    all fields stay once, at the first place; app, names and referrers lose their
+    quotes. At most ``limit`` records of an entity leave a task. A null list of
+    activities is empty.
+    """
+    once = F.array_distinct(F.coalesce("activities", F.array()))
+    bare = F.transform(once, lambda a: F.struct(strip_quotes(a["name"]).alias("name"), a["start"].alias("start"),
+                                                a["duration"].alias("duration"), strip_quotes(a["refer"]).alias("refer")))
+    kept = cap_records(df.select(*keys, "time", strip_quotes("app").alias("app"), bare.alias("activities")),
+                       ["time", "app", "activities"], limit)
+    listed = F.array_sort(F.collect_list(F.struct("time", "app", "activities")))
+    return kept.groupBy(*keys).agg(listed.alias("records"))
+
+
 def event_ids(df: DataFrame, events: str = "events", keep: tuple[str, ...] = ("entity", "app")) -> DataFrame:
     """Distinct event ids of one record, comma-joined in order of appearance."""
     ids = F.array_distinct(F.array_compact(F.transform(events, lambda e: e["id"])))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +52,57 @@ def prune(dictionary: DataFrame, used: DataFrame, key: str) -> DataFrame:
     return dictionary.join(used.select(key), key, "left_semi")
 
 
+# Bits of a key filter for each distinct key, bits a key sets, and the most blocks of 4 KB a filter may have (32 MB, broadcast).
+FILTER_BITS, FILTER_HASHES, FILTER_BLOCKS = 12, 3, 8192
+_BLOCK_BITS = 1 << 15
+
+
+def _places(key: str, blocks: int) -> tuple[Column, Column]:
+    """Block of a key and the positions of its bits there."""
+    block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    return block, F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(_BLOCK_BITS)) for i in range(FILTER_HASHES)])
+
+
+def key_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
+    """A blocked Bloom filter of the values of ``key``: ``block, bits``, one row per block in use.
+
+    Bits are set map-side first, so a task sends at most ``blocks`` rows of 4 KB, however often a key occurs.
+    """
+    block, places = _places(key, blocks)
+    spread = keys.filter(F.col(key).isNotNull()).select(block.alias("block"), F.explode(places).alias("place"))
+    return spread.groupBy("block").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def may_be_in(df: DataFrame, key: str, bits: DataFrame, blocks: int) -> DataFrame:
+    """Rows of ``df`` whose key is in the filter: all that are in the keys, and few others. Nothing is exchanged."""
+    block, places = _places(key, blocks)
+    held = df.join(F.broadcast(bits.select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))), block == F.col("__block"))
+    for i in range(FILTER_HASHES):
+        place = F.get(places, F.lit(i))
+        byte = F.conv(F.hex(F.substring("__bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        held = held.filter(byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0)
+    return held.select(*df.columns)
+
+
+def prune_large(dictionary: DataFrame, used: DataFrame, key: str) -> DataFrame:
+    """``prune`` for a dictionary, and a set of used keys, too large to broadcast.
+
+    A filter of the used keys, broadcast, leaves out most other rows before the
+    dictionary is exchanged; the join decides the rest, so the result is exact at
+    any size of the filter, which is sized by the number of distinct keys up to
+    ``FILTER_BLOCKS``. Null keys match nothing, repeated dictionary rows stay,
+    equal used keys meet once. Keys have one type on both sides, which is not a fraction.
+    """
+    kinds = {dict(df.dtypes)[key] for df in (dictionary, used)}
+    if len(kinds) > 1 or kinds & {"float", "double"}:
+        raise ValueError(f"types of {key}: {sorted(kinds)}")
+    keys = used.select(key).filter(F.col(key).isNotNull()).distinct()
+    count = keys.agg(F.approx_count_distinct(key)).first()[0]
+    blocks = min(FILTER_BLOCKS, max(1, math.ceil(count * FILTER_BITS / _BLOCK_BITS)))
+    likely = may_be_in(dictionary, key, key_filter(keys, key, blocks), blocks)
+    return likely.hint("merge").join(keys, key, "left_semi").select(*dictionary.columns)
+
+
 def expand_tags(bags: DataFrame, tags: DataFrame) -> DataFrame:
     """Replace items by their tag indices: ``bags(entity, item, ...)`` with ``tags(item, tags array<int>)``.
 

@@ -522,6 +522,13 @@ def j8_prune_dictionary(t: Tables) -> DataFrame:
     return vocab.prune(t.supplier.select(F.col("s_suppkey").alias("wid"), F.col("s_name").alias("name")), used, "wid")
 
 
+@query("SELECT o_orderkey AS wid, o_orderpriority AS name FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)")
+def j8_prune_large_dictionary(t: Tables) -> DataFrame:
+    """Orders with a line of the largest quantity; a filter of the keys works before the orders are exchanged."""
+    used = t.lineitem.filter(F.col("l_quantity") == 50).select(F.col("l_orderkey").alias("wid"))
+    return vocab.prune_large(t.orders.select(F.col("o_orderkey").alias("wid"), F.col("o_orderpriority").alias("name")), used, "wid")
+
+
 # Set operations.
 
 @query("SELECT o_custkey AS entity FROM orders UNION ALL SELECT user_id FROM events UNION ALL SELECT c_custkey FROM customer")

@@ -77,6 +77,14 @@ def activity_filter(spark: SparkSession, path: str, label_path: str, output: str
     kept.withColumn("entity", n.entity_id("entity")).write.mode("overwrite").json(output)
 
 
+def activity_nested(spark: SparkSession, path: str, label_path: str, output: str) -> None:
+    """One JSON record per labelled entity that nests its first twenty activity records."""
+    records = readers.read_json(spark, path, ACTIVITY_SCHEMA).withColumn("entity", n.entity_id("entity"))
+    known = read_labels(spark, label_path).withColumn("entity", n.entity_id("entity"))
+    nested = sessions.nest(labels.attach(records, known, unique=True), keys=("entity", "label"))
+    nested.write.mode("overwrite").json(output)
+
+
 def activity_hash(spark: SparkSession, paths: Sequence[str], weight_path: str, output: str, bits: int = 128,
                   start: int = 0, label_path: str | None = None) -> None:
     """Activity fingerprints as ``entity idx:1 ...``; missing day folders are skipped."""
@@ -324,24 +332,26 @@ def predict(spark: SparkSession, path: str, model_path: str, output: str, dim: i
 
 
 def tag_audience(spark: SparkSession, paths: Sequence[str], output: str, labelled: bool = False, files: int = 512) -> None:
-    """Merge sub-model scores; write the positive and negative audience and the pseudo-labels."""
+    """Merge sub-model scores; write each audience as ``entity, tag id, value`` (the label after the entity, if any) and the pseudo-labels."""
     keys = ("entity", "label") if labelled else ("entity",)
     combined = ensemble.combine(read_scores(spark, paths, labelled), len(paths), keys).persist()
     tagged = ensemble.tag(combined, keep_label=labelled)
     for side in ("pos", "neg"):
-        audience = tagged.filter(F.col("tag") == side).select(*keys, "value")
+        audience = ensemble.audience(tagged, side, keys=keys)
         sinks.write_tsv(audience, f"{output}/{side}", files, order_by=[F.desc("value"), F.col("entity")])
     sinks.write_tsv(ensemble.pseudo_labels(combined), f"{output}/sample", files, sep=",")
     combined.unpersist()
 
 
 def stack_train(spark: SparkSession, paths: Sequence[str], label_path: str, output: str, rounds: int = 20) -> None:
-    """Stacked model over the combined scores; the combined scores are written as well."""
+    """Stacked model over the combined scores; all combined scores and the labelled ones it learns from are written as well."""
     combined = ensemble.combine(read_scores(spark, paths), len(paths))
     sinks.write_tsv(combined, f"{output}/scores")
     stored = readers.read_delimited(spark, f"{output}/scores", {
         "entity": (0, "string"), "smax": (1, "double"), "smin": (2, "double"), "missing": (3, "int")})
-    model.save(ensemble.train_stack(stored, read_labels(spark, label_path), rounds), f"{output}/model")
+    known = read_labels(spark, label_path)
+    sinks.write_tsv(ensemble.labelled_scores(stored, known), f"{output}/labelled")
+    model.save(ensemble.train_stack(stored, known, rounds), f"{output}/model")
 
 
 def stack_predict(spark: SparkSession, scores: str, model_path: str, output: str, files: int = 512) -> None:
@@ -349,7 +359,7 @@ def stack_predict(spark: SparkSession, scores: str, model_path: str, output: str
     stored = readers.read_delimited(spark, scores, {"entity": (0, "string"), "smax": (1, "double"), "smin": (2, "double")})
     tagged = ensemble.tag_stack(ensemble.score_stack(model.load(model_path), stored))
     for side in ("pos", "neg"):
-        audience = tagged.filter(F.col("tag") == side).select("entity", "value")
+        audience = ensemble.audience(tagged, side)
         sinks.write_tsv(audience, f"{output}/{side}", files, order_by=[F.desc("value"), F.col("entity")])
 
 

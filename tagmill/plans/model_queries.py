@@ -456,3 +456,15 @@ def s10_day_overwrite(t: Tables) -> DataFrame:
     for _ in range(2):
         sinks.overwrite_days(again, path)
     return t.spark.read.parquet(path).select("event_id", "event_type", "day")
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS key, CAST(props->>'$.k' AS BIGINT) AS ts, 'body of ' || event_id AS body FROM events""")
+def s4_sequence_files(t: Tables) -> DataFrame:
+    """Framed records written to Hadoop sequence files, read back and split."""
+    path = _scratch(t)
+    header = F.concat(F.lit('{"ts":'), F.get_json_object("props", "$.k"), F.lit("}"))
+    frame = F.concat(F.encode(header, "UTF-8"), F.unhex(F.lit("00")), F.encode(F.concat(F.lit("body of "), "event_id"), "UTF-8"))
+    sinks.write_framed(t.events.select(F.col("event_id").alias("key"), frame.alias("value")), path)
+    parts = readers.split_framed(readers.read_framed(t.spark, path))
+    return parts.select("key", "ts", F.decode("body", "UTF-8").alias("body"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.functions.arrays import unnest
@@ -507,3 +507,21 @@ def f19_event_ids(t: Tables) -> DataFrame:
         F.replace(e["id"], F.lit(","), F.lit(";")).alias("id"))))
     ids = sessions.event_ids(safe, keep=("entity", "app", "time"))
     return ids.select("entity", "app", "time", F.array_join(F.array_sort(F.split("ids", ",")), ",").alias("ids"))
+
+
+@query(f"""
+WITH act AS ({b.ACTIVITIES_SQL}),
+a AS (SELECT DISTINCT entity, 'app.' || role AS app, time, regexp_replace(regexp_replace(name, '^"', ''), '"$', '') AS name, start,
+ regexp_replace(regexp_replace(refer, '^"', ''), '"$', '') AS refer FROM act WHERE role <> 'system'),
+r AS (SELECT entity, app, time, string_agg(name || ':' || start || ':' || COALESCE(refer, '-'), ' ' ORDER BY start) AS listed FROM a GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY time, app) AS place FROM r)
+SELECT entity, string_agg(app || '@' || time || '=' || listed, '|' ORDER BY place) AS records FROM k WHERE place <= 20 GROUP BY 1""")
+def p3_nested_records(t: Tables) -> DataFrame:
+    """The first twenty records of each entity as one row, written out for the comparison."""
+    def listed(a: Column) -> Column:
+        return F.concat_ws(":", a["name"], a["start"].cast("string"), F.coalesce(a["refer"], F.lit("-")))
+
+    nested = sessions.nest(_activity_records(t))
+    records = F.transform("records", lambda r: F.concat(
+        r["app"], F.lit("@"), r["time"].cast("string"), F.lit("="), F.array_join(F.transform(r["activities"], listed), " ")))
+    return nested.select("entity", F.array_join(records, "|").alias("records"))

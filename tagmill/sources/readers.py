@@ -76,14 +76,15 @@ def read_window(spark: SparkSession, root: str, end: str | date, days_back: int,
 
 
 def read_framed(spark: SparkSession, path: str) -> DataFrame:
-    """Values of a Hadoop sequence file of ``(Text, BytesWritable)`` as a binary ``value`` column.
+    """Keys and values of Hadoop sequence files of ``(Text, BytesWritable)``: ``key string, value binary``.
 
     Spark has no DataFrame source for this format, so the records enter through
-    the RDD reader; everything after that is columns.
+    the RDD reader, which splits large files at their sync marks; everything
+    after that is columns.
     """
-    schema = T.StructType([T.StructField("value", T.BinaryType())])
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())])
     records = spark.sparkContext.sequenceFile(path, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.BytesWritable")
-    return spark.createDataFrame(records.values().map(lambda v: (bytes(v),)), schema)
+    return spark.createDataFrame(records, schema, verifySchema=False)
 
 
 def split_framed(df: DataFrame, column: str = "value") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers. Every writer but ``overwrite_days`` replaces what is at its path."""
+"""Writers. Every writer but ``overwrite_days`` and ``write_framed`` replaces what is at its path."""
 
 from __future__ import annotations
 
@@ -39,6 +39,12 @@ def write_bucketed(df: DataFrame, table: str, key: str = "entity", buckets: int
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def write_framed(df: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
+    """Hadoop sequence files of ``(Text, BytesWritable)`` in a new folder; rows without a key or value are left out."""
+    whole = df.select(F.col(key).cast("string").alias("k"), F.col(value).cast("binary").alias("v")).dropna()
+    whole.rdd.map(lambda r: (r[0], bytearray(r[1]))).saveAsSequenceFile(path)
+
+
 def overwrite_days(df: DataFrame, path: str, day: str = "day") -> None:
     """Parquet folders per day; replaces the days that ``df`` holds and leaves all others as they are."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)

@@ -149,3 +149,31 @@ def test_cluster_points(spark, tmp_path):
     put(tmp_path / "points", ["0.0\t0.0", "0.1\t0.0", "0.0\t0.1", "9.0\t9.0", "x\t1"])
     jobs.cluster_points(spark, str(tmp_path / "points"), 2, str(tmp_path / "clusters"), 0.5, 3)
     assert sorted(r.cluster for r in spark.read.parquet(str(tmp_path / "clusters")).collect()) == [0, 1, 1, 1]
+
+
+def test_nested_activity_records(spark, tmp_path):
+    """One record per labelled entity; repeated activities once, quotes gone, twenty records at most."""
+    def activity(name, start):
+        return {"name": name, "start": start, "duration": 1, "refer": '"r"'}
+
+    rows = [{"entity": "U-1", "app": '"a"', "time": i, "activities": [activity('"x"', 1), activity("y", 0), activity('"x"', 1)]} for i in range(30)]
+    rows += [{"entity": "U-2", "app": "b", "time": None, "activities": None}, {"entity": "U-3", "app": "c", "time": 1, "activities": []}]
+    put(tmp_path / "day", [json.dumps(r) for r in rows])
+    label_path = put(tmp_path / "labels", ["U-1,1", "U-2,0"])
+    jobs.activity_nested(spark, str(tmp_path / "day"), label_path, str(tmp_path / "out"))
+    got = {r["entity"]: r for r in map(json.loads, get(spark, tmp_path / "out"))}
+    assert set(got) == {"u1", "u2"} and got["u1"]["label"] == 1
+    assert [r["time"] for r in got["u1"]["records"]] == list(range(20))
+    assert got["u1"]["records"][0]["activities"] == [{"name": "x", "start": 1, "duration": 1, "refer": "r"},
+                                                     {"name": "y", "start": 0, "duration": 1, "refer": "r"}]
+    assert got["u2"]["records"] == [{"app": "b", "activities": []}]
+
+
+def test_audience_files_carry_tag_ids_and_the_stack_its_labelled_set(spark, tmp_path):
+    one = put(tmp_path / "one", ["a\t0.9", "b\t0.2", "c\t0.5"])
+    two = put(tmp_path / "two", ["a\t0.7", "d\t0.1"])
+    jobs.tag_audience(spark, [one, two], str(tmp_path / "tags"))
+    assert get(spark, tmp_path / "tags/pos") == ["a\t304\t90.0"]
+    assert sorted(get(spark, tmp_path / "tags/neg")) == ["b\t305\t80.0", "d\t305\t90.0"]
+    jobs.stack_train(spark, [one, two], put(tmp_path / "known", ["a,1", "b,0", "e,1"]), str(tmp_path / "stack"), rounds=1)
+    assert sorted(get(spark, tmp_path / "stack/labelled")) == ["0\tb\t0.2\t0.2\t1", "1\ta\t0.9\t0.7\t0"]

@@ -481,3 +481,33 @@ def test_bucketed_sides_join_without_an_exchange(spark, tmp_path, capsys):
     finally:
         for name in ("left_side", "right_side"):
             spark.sql(f"DROP TABLE IF EXISTS {name}_b")
+
+
+# Dictionaries too large to broadcast.
+
+def test_filter_of_used_keys_works_before_the_exchange(spark, monkeypatch):
+    """Exact whatever the size of the filter; the filter leaves out nearly all keys that are not used."""
+    dictionary = spark.range(50_000).select((F.col("id") % 40_000).cast("string").alias("k"), "id").union(spark.sql("SELECT NULL, -1L"))
+    used = spark.range(3000).select((F.col("id") * 30).cast("string").alias("k")).union(spark.sql("SELECT NULL")).unionAll(spark.sql("SELECT '0'"))
+    want = rows(vocab.prune(dictionary, used, "k"))
+    pruned = vocab.prune_large(dictionary, used, "k")
+    assert rows(pruned) == want
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" in text and "bitmap_construct_agg" in text
+    filled = vocab.key_filter(used, "k", 2)
+    kept = vocab.may_be_in(dictionary, "k", filled, 2).count()
+    assert len(want) <= kept < len(want) + 3000
+    monkeypatch.setattr(vocab, "FILTER_BLOCKS", 1)
+    monkeypatch.setattr(vocab, "FILTER_BITS", 100)
+    assert rows(vocab.prune_large(dictionary, used, "k")) == want
+    assert vocab.prune_large(dictionary, used.filter("false"), "k").count() == 0
+    assert vocab.prune_large(dictionary.filter("false"), used, "k").count() == 0
+    with pytest.raises(ValueError):
+        vocab.prune_large(dictionary, spark.range(3).withColumnRenamed("id", "k"), "k")
+
+
+def test_framed_records_through_sequence_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", b'{"ts":5}\x00\xff\x00z'), ("b", b"no zero"), ("c", b'{"ts":"x"}\x00'), (None, b"x"), ("d", None)], "key string, value binary")
+    sinks.write_framed(df, str(tmp_path / "frames"))
+    got = rows(readers.split_framed(readers.read_framed(spark, str(tmp_path / "frames"))))
+    assert [(k, h, t, bytes(v)) for k, h, t, v in got] == [("a", '{"ts":5}', 5, b"\xff\x00z"), ("c", '{"ts":"x"}', None, b"")]
