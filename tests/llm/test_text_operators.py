@@ -7,6 +7,7 @@ import random
 import re
 import zipfile
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -356,6 +357,46 @@ def test_url_rules(spark):
     assert len(got) == len(urls) and templates.judge(pages.filter("false")).count() == 0
 
 
+def _judged(spark, tmp_path, urls):
+    """Verdicts and templates by page, which have to agree with the SQL."""
+    pages = spark.createDataFrame([(i, u, "", "x") for i, u in enumerate(urls)], "page_id bigint, url string, html string, template string")
+    got = sorted(tuple(r) for r in templates.judge(pages).collect())
+    path = str(tmp_path / "pages")
+    pages.write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{path}/*.parquet'")
+    assert got == sorted(con.execute(templates.sql()).fetchall())
+    return {r[0]: (r[4], r[5]) for r in got}
+
+
+def test_templates_tell_deep_branches_apart(spark, tmp_path):
+    """Deep sections differ; similar inner branches are one; a segment may be called like a mark of the tree."""
+    ready(spark)
+    deep = [f"http://a.com/p/q/{side}/r/{i}" for side in ("good", "bad") for i in range(30)]
+    rules = (("block", "a.com", "/p/q/bad/r/1"), ("allow", "a.com", "/p/q/good"))
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(deep)], "page_id bigint, url string")
+    got = {deep[r.page_id]: (r.verdict, r.template) for r in templates.judge(pages, rules).collect()}
+    assert got["http://a.com/p/q/good/r/2"] == ("allow", "/p/q/good/r/*") and got["http://a.com/p/q/bad/r/2"] == ("block", "/p/q/bad/r/*")
+    many = [f"http://www.example.com/{lang}/x/{k}/{i}" for lang in ("en", "fr", "(merged)", "**", "*") for k in "ab" for i in range(12)]
+    many += [f"http://www.example.com/de/x/{k}/{i}" for k in "ab" for i in range(40)] + ["http://www.example.com/de/x", "http://www.example.com/de"] * 6
+    many += ["http://b.org/" + "/".join("s" * 3000)] + ["http://b.org/" + "d/" * n for n in range(12)] * 2 + [None, "", "x", "http://b.org"]
+    found = _judged(spark, tmp_path, many)
+    assert all(found[i][0] == ("block" if u and "/de/" in u else "allow") for i, u in enumerate(many) if u and "example.com/" in u and u != "http://www.example.com/de")
+    assert found[many.index("http://b.org/" + "/".join("s" * 3000))][1] == "/*/**"
+
+
+def test_similar_branches_share_their_labels(spark, tmp_path):
+    """Branches alike in their share of blocked urls are judged together, up to the host; others keep their own verdict."""
+    ready(spark)
+    urls = [f"http://m.org/{a}/{b}/{i}" for a in ("fr", "es") for b in ("u", "v") for i in range(20)]
+    _judged(spark, tmp_path, urls + urls)
+    rng = np.random.default_rng(3)
+    names = ["de", "en", "fr", "it", "x1", "x2"]
+    hosts = ["example.com", "a.example.com", "example.net", "k.org", "q.net"]
+    mixed = [f"http://{hosts[rng.integers(5)]}/" + "/".join(names[j] for j in rng.integers(0, 6, rng.integers(0, 6))) for _ in range(1500)]
+    _judged(spark, tmp_path.joinpath("second"), mixed)
+
+
 def test_templates_reject_by_purity(spark):
     ready(spark)
     rows = [(i, f"http://m.example.com/de/{i}") for i in range(40)] + [(100 + i, f"http://m.example.com/en/{i}") for i in range(40)]
