@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
+from bisect import bisect
 from collections.abc import Iterator
 from itertools import chain
 
@@ -18,12 +21,19 @@ KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{16,}")
-LEAST_ASSIGN, LEAST_ACCESS, LEAST_ADDED = 12, 18, 12
+LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s+/.\-]")
 OUT, BEGIN, IN = 0, 1, 2
-# Bounds of the training sample: texts with and without a pattern, and tokens kept around a token of interest.
-SAMPLE_TEXTS, SAMPLE_LENGTH, WINDOW, CLEAN_WINDOWS = 500, 20_000, 4, 3
+# Bounds of the training sample: texts with and without a pattern, their length, tokens kept around a token of interest,
+# and how often a secret or an ordinary word is rewritten.
+SAMPLE_TEXTS, SAMPLE_LENGTH, WINDOW, CLEAN_WINDOWS, REWRITES = 500, 20_000, 4, 3, 4
+# Ways to write a secret down which the patterns do not know; training puts the secrets of the sample into them.
+FORMS = ("{name} = {v}", "{name}: {v}", '"{name}": "{v}"', "{name}='{v}'", "Authorization: Bearer {v}", "bearer {v}",
+         "{scheme}://{user}:{v}@{host}/", "auth={v}", "-p {name}={v}")
+FORM_NAMES = ("pwd", "private_key", "credential", "credentials", "auth", "access_key", "clientKey", "signing-key", "db.pwd")
+ALPHABETS = ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789ABCDEF", "0123456789abcdef",
+             "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHabcdefgh0123456789+/")
 CACHED_TOKENS, PART = 1 << 18, 1 << 21
 
 NAMES = {name: i for i, name in enumerate(
@@ -31,7 +41,11 @@ NAMES = {name: i for i, name in enumerate(
      "authorization client id user login").split(), 1)}
 PUNCTUATION = {c: i for i, c in enumerate("=:\"'`,;()<>{}[]|#$@&*!?", len(NAMES) + 1)}
 OTHER_MARK = len(NAMES) + len(PUNCTUATION) + 1
-_WORDS = OTHER_MARK + 1
+# A name made of several parts, one of which announces a secret, and a mark between such a name and what it names.
+COMPOUND, CUED = OTHER_MARK + 1, OTHER_MARK + 2
+_WORDS = CUED + 1
+CUES = frozenset("password passwd pwd passphrase secret token apikey key auth bearer credential credentials private authorization".split())
+CAMEL = re.compile(r"[a-z](?:Key|Secret|Token|Password|Passwd|Pwd|Credentials?|Auth)$")
 # Kinds of characters (16) x length (7) x changes between letters and digits (4) x only hexadecimal digits (2).
 CLASSES = _WORDS + 16 * 7 * 4 * 2
 EDGE, FILES = CLASSES, 8
@@ -45,6 +59,8 @@ def token_class(token: str) -> int:
     named = NAMES.get(token.lower())
     if named:
         return named
+    if len(token) <= 40 and (CAMEL.search(token) or not CUES.isdisjoint(re.split(r"[_.\-]+", token.lower())[:8])):
+        return COMPOUND
     low = up = digit = other = False
     changes, before = 0, None
     for c in token:
@@ -87,6 +103,26 @@ def _factors() -> np.ndarray:
     return out
 
 
+_IS_CUE = np.zeros(CLASSES + 1, bool)
+_IS_CUE[[COMPOUND, *(i for name, i in NAMES.items() if name in CUES or name == "api_key")]] = True
+_IS_LINK = np.zeros(CLASSES + 1, bool)
+_IS_LINK[[PUNCTUATION[c] for c in "=:\"'`"]] = True
+
+
+def _cue(own: np.ndarray) -> np.ndarray:
+    """Up to four marks after a name that announces a secret become ``CUED``, so what follows knows of the name."""
+    spots = np.flatnonzero(_IS_LINK[own])
+    spots = spots[spots > 0]
+    for _ in range(4):
+        before = own[spots - 1]
+        told = _IS_CUE[before] | (before == CUED)
+        own[spots[told]] = CUED
+        spots = spots[~told]
+        if not told.any():
+            break
+    return own
+
+
 class WordClasses(dict):
     """Classes of the tokens of a word between blanks, remembered up to a bound."""
 
@@ -108,7 +144,7 @@ def text_classes(text: str, known: WordClasses) -> np.ndarray:
             end += 1
         out.append(np.fromiter(chain.from_iterable(map(known.__getitem__, text[at:end].split())), np.int16))
         at = end
-    return np.concatenate(out) if out else np.zeros(0, np.int16)
+    return _cue(np.concatenate(out)) if out else np.zeros(0, np.int16)
 
 
 def file_class(text: str) -> int:
@@ -148,6 +184,47 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def uncovered(start: int, end: int, covered: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a span outside of sorted spans."""
+    for low, high in covered[max(0, bisect(covered, (start,)) - 1):]:
+        if low >= end:
+            break
+        if high > start:
+            if low > start:
+                yield start, low
+            start = high
+    if start < end:
+        yield start, end
+
+
+def _rewritten(text: str, values: list[tuple[int, int]]) -> Iterator[tuple[str, int, int, bool]]:
+    """Secrets of a text in other ways of writing, cut short or drawn anew, and ordinary words written like secrets.
+
+    Words are also joined to long ones that nothing announces. Gives a passage with its surroundings, where the value
+    stands, and whether it is a secret. Follows from the text alone.
+    """
+    draw = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    plain = re.findall(r"\b(?:[^\W\d_]{1,16}|[0-9]{1,5})\b", text) or ["none"]
+    found = [(start, end, True) for start, end in values[:CLEAN_WINDOWS]]
+    at = draw.randrange(len(text) + 1)
+    for start, end, secret in [*found, (at, at, False)]:
+        for _ in range(REWRITES if secret else 2 * REWRITES):
+            form = draw.choice(FORMS)
+            if not secret and draw.random() < 0.5:
+                form, value = "{v}", draw.choice((str, str.upper, str.title))("".join(draw.choices(plain, k=draw.randint(2, 5))))
+            elif not secret:
+                value = draw.choice(plain)
+            elif draw.random() < 0.4:
+                value = text[start:end][:draw.randint(8, max(8, min(60, end - start)))]
+            else:
+                signs = draw.choice(ALPHABETS)
+                value = "".join(draw.choice(signs) for _ in range(draw.randint(10, 40)))
+            written = form.format(name=draw.choice(FORM_NAMES), v="\0", scheme=draw.choice(plain), user=draw.choice(plain),
+                                  host=draw.choice(plain))
+            head = text[max(0, start - 60):start] + " " + written[:written.index("\0")]
+            yield head + value + written[written.index("\0") + 1:] + " " + text[end:end + 60], len(head), len(head) + len(value), secret
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token windows for training: classes, tags, file class; around secrets and at regular places elsewhere."""
     classes = WordClasses()
@@ -178,6 +255,19 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append(own[width + middle - WINDOW - 1:width + middle + WINDOW + 2].tolist())
                 tags_of.append(tags[width + middle - WINDOW:width + middle + WINDOW + 1].tolist())
                 files.append(file_class(text))
+            for passage, start, end, secret in _rewritten(text, secret_values(text)):
+                spots = list(TOKEN.finditer(passage))
+                own = np.full(len(spots) + 2 * width, EDGE, np.int64)
+                own[width:width + len(spots)] = text_classes(passage, classes)
+                tags = np.zeros(len(own), np.int64)
+                for from_, to in [*secret_values(passage), *([(start, end)] if secret else [])]:
+                    inside = [width + i for i, m in enumerate(spots) if m.start() < to and m.end() > from_]
+                    tags[inside] = IN
+                    tags[inside[:1]] = BEGIN
+                middle = next(i for i, m in enumerate(spots) if m.end() > start)
+                rows.append(own[width + middle - WINDOW - 1:width + middle + WINDOW + 2].tolist())
+                tags_of.append(tags[width + middle - WINDOW:width + middle + WINDOW + 1].tolist())
+                files.append(file_class(text))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64())), pa.array(tags_of, pa.list_(pa.int64())),
                                           pa.array(files, pa.int64())], names=["classes", "tags", "file"])
 
@@ -253,8 +343,10 @@ def fit(windows: list, steps: int = 150, rate: float = 0.25, decay: float = 1e-4
 def train(docs: DataFrame, texts: int = SAMPLE_TEXTS, length: int = SAMPLE_LENGTH) -> dict[str, np.ndarray]:
     """Fit on a bounded sample: about ``texts`` texts that hold a base span and as many others.
 
-    The base spans are the labels. Training texts have at most ``length``
-    characters, chosen by a hash of the id, so reruns agree; scanning has no bound.
+    The base spans are the labels; the secrets in them are also put into other ways
+    of writing (``FORMS``), cut short or drawn anew, and ordinary words are put there
+    as what is no secret. Training texts have at most ``length`` characters, chosen by
+    a hash of the id, so reruns agree; scanning has no bound.
     """
     pattern = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
     marked = docs.filter(F.length("text") <= length).select("doc_id", F.col("text").rlike(pattern).alias("hit"))
@@ -263,8 +355,8 @@ def train(docs: DataFrame, texts: int = SAMPLE_TEXTS, length: int = SAMPLE_LENGT
     some = docs.filter(F.length("text") <= length).filter(
         F.when(F.col("text").rlike(pattern), fraction_below("doc_id", "crf", share[True]))
         .otherwise(fraction_below("doc_id", "crf", share[False])))
-    found = (some.select("text").mapInArrow(_windows, "classes array<bigint>, tags array<bigint>, file bigint")
-             .limit(2 * texts * 4 * CLEAN_WINDOWS).collect())
+    # Bounded by the choice of texts: a text gives at most 4 * CLEAN_WINDOWS + (CLEAN_WINDOWS + 2) * REWRITES windows.
+    found = some.select("text").mapInArrow(_windows, "classes array<bigint>, tags array<bigint>, file bigint").collect()
     return fit(sorted((list(r[0]), list(r[1]), r[2]) for r in found))
 
 
@@ -333,8 +425,7 @@ class Tagger:
             else:
                 added.append([start, end, place])
         covered = merged([(start, end) for start, _, end in base])
-        free = [(start, 3, end) for start, end, _ in added if end - start >= LEAST_ADDED and any(c.isdigit() for c in text[start:end])
-                and not any(start < b and a < end for a, b in covered)]
+        free = [(start, 3, end) for first, last, _ in added for start, end in uncovered(first, last, covered)]
         return sorted(base + free)
 
 
@@ -365,8 +456,9 @@ def scan(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataF
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every whole text.
 
     ``spans`` holds ``kind:start:end`` in code points, end exclusive; ``crf``
-    marks what the field finds beyond the patterns. Null and empty texts have no
-    spans. One row per input row. The weights have a fixed size.
+    marks what the field finds beyond the patterns: of a span that a pattern covers
+    in part, the parts outside. Null and empty texts have no spans. One row per input
+    row, repeated rows included; an empty table gives none. The weights have a fixed size.
     """
     weights = train(docs) if weights is None else weights
     shared = docs.sparkSession.sparkContext.broadcast(weights)

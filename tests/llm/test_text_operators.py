@@ -429,3 +429,41 @@ def test_bitmaps_never_bound_below_what_sets_share():
         assert common <= bound <= min(len(one), len(two))
         if 100 * min(len(one), len(two)) >= 75 * max(len(one), len(two)):  # else the pair is not compared
             assert bound - common <= 0.5 * (min(len(one), len(two)) - common) + 8
+
+
+def test_field_finds_secrets_that_the_patterns_do_not_know(spark, docs_of):
+    """Trained on one half of the texts; secrets of several kinds planted in the other half are found, ordinary texts stay."""
+    ready(spark)
+    draw = random.Random(11)
+
+    def text():
+        return " ".join(draw.choice(WORDS) + draw.choice(["", "", ".", ",", "\n"]) for _ in range(60))
+
+    def value(n):
+        return "".join(draw.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+
+    known = [lambda: f"password = {value(20)}", lambda: "AKIA" + value(16).upper(), lambda: hashlib.sha1(value(9).encode()).hexdigest(),
+             lambda: f"api_key: {value(32)}"]
+    learn = [(i, text() + " " + draw.choice(known)() + " " + text() if i % 2 else text()) for i in range(300)]
+    weights = secrets.train(docs_of(learn))
+    kinds = {"bearer": "Authorization: Bearer {}", "pwd": "pwd = {}", "url": "postgres://admin:{}@db.internal/prod", "private": "private_key: {}",
+             "credential": 'credential="{}"', "passphrase": "passphrase: {}"}
+    planted, rows = {}, []
+    for i in range(240):
+        hidden, form = value(draw.randint(16, 40)), kinds[sorted(kinds)[i % 6]]
+        before = text() + " " + form[:form.index("{}")]
+        planted[i] = (len(before), len(before) + len(hidden))
+        rows.append((i, before + hidden + form[form.index("{}") + 2:] + " " + text()))
+    rows += [(1000 + i, text()) for i in range(200)]
+    got = {r.doc_id: [tuple(map(int, p.split(":")[1:])) for p in r.spans.split(",") if p] for r in secrets.scan(docs_of(rows), weights).collect()}
+    for place, kind in enumerate(sorted(kinds)):
+        hits = [any(a <= planted[i][0] and b >= planted[i][1] for a, b in got[i]) for i in range(place, 240, 6)]
+        assert sum(hits) >= 0.9 * len(hits), kind
+    assert sum(bool(got[1000 + i]) for i in range(200)) <= 2
+
+
+@pytest.mark.parametrize(("span", "covered"), [((0, 10), [(2, 3), (5, 12)]), ((4, 10), [(2, 6), (20, 30)]), ((4, 10), []), ((4, 10), [(0, 40)]),
+                                               ((4, 10), [(0, 1), (1, 2), (4, 5), (9, 10)])])
+def test_parts_outside_of_base_spans_stay(span, covered):
+    left = {i for a, b in secrets.uncovered(*span, covered) for i in range(a, b)}
+    assert left == set(range(*span)) - {i for a, b in covered for i in range(a, b)}
