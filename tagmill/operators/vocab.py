@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagmill.functions.arrays import unnest
 from tagmill.operators import ranking
-from tagmill.session import BROADCAST_ROWS
+from tagmill.session import BROADCAST_ROWS, is_small
 
 
 def build(df: DataFrame, start: int = 0) -> DataFrame:
@@ -134,23 +138,105 @@ def _collapse(known: DataFrame, mode: str) -> DataFrame:
     return known.groupBy("entity", "idx").agg(F.sum(weight).cast("double").alias("val"))
 
 
+def _collapse_adjacent(binary: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``entity, cnt, indices`` to ``entity, idx, val``, where the rows of an entity follow one another.
+
+    Only the sums of the last entity are carried on. Only local values are used inside, so workers need no
+    copy of this package.
+    """
+    def unlike(a: pa.Array, b: pa.Array) -> np.ndarray:
+        out = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(a.type):
+            out = pc.and_not(out, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        return pc.or_(out, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+    def summed(code: np.ndarray, idx: np.ndarray, cnt: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct pairs of code and index with their sums and how many of the summed were not null."""
+        low = idx.min(initial=0)
+        span = int(idx.max(initial=0)) - int(low) + 1
+        places = None
+        if span > 1 << 31:
+            places, idx = np.unique(idx, return_inverse=True)
+            low, span = 0, len(places)
+        key = code * span + (idx - low)
+        if len(key) and span * (int(code[-1]) + 1) <= 8 * len(key) + 4096:
+            keys = np.flatnonzero(np.bincount(key))
+            total, valid = np.bincount(key, cnt)[keys], np.bincount(key, known)[keys]
+        else:
+            keys, at = np.unique(key, return_inverse=True)
+            total, valid = np.bincount(at, cnt, len(keys)), np.bincount(at, known, len(keys))
+        code, idx = keys // span, keys % span + low
+        return code, idx if places is None else places[idx], total, valid
+
+    def rows(entities: pa.Array, idx: np.ndarray, total: np.ndarray, valid: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+        val = pa.array(np.ones(len(idx))) if binary else pa.array(total, mask=valid == 0)
+        return pa.RecordBatch.from_arrays([entities, pa.array(idx).cast(kind), val], ["entity", "idx", "val"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, kind = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            entity, lists, cnt = (batch.column(c) for c in ("entity", "indices", "cnt"))
+            kind = lists.type.value_type
+            before = entity.slice(0, 1) if last is None else last[0]
+            new = unlike(pa.concat_arrays([before, entity.slice(0, len(entity) - 1)]), entity)
+            if last is not None and new[0]:
+                yield rows(pa.concat_arrays([last[0]] * len(last[1])) if len(last[1]) else entity.slice(0, 0), *last[1:], kind)
+                last = None
+            new[0] = False
+            owner = np.cumsum(new)
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            if flat.null_count:
+                row, flat = row[flat.is_valid().to_numpy(zero_copy_only=False)], flat.drop_null()
+            idx = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+            held = pc.is_valid(cnt).to_numpy(zero_copy_only=False).astype(float)
+            times = pc.fill_null(cnt, 0).to_numpy(zero_copy_only=False).astype(float)
+            parts = [owner[row], idx, times[row], held[row]]
+            if last is not None:
+                parts = [np.concatenate([a, b]) for a, b in zip([np.zeros(len(last[1]), np.int64), *last[1:]], parts, strict=True)]
+            code, idx, total, valid = summed(*parts)
+            done = np.searchsorted(code, owner[-1])
+            first = np.concatenate([[0], np.flatnonzero(new)])
+            if done:
+                yield rows(entity.take(pa.array(first[code[:done]])), idx[:done], total[:done], valid[:done], kind)
+            last = entity.slice(len(entity) - 1, 1), idx[done:], total[done:], valid[done:]
+        if last is not None and len(last[1]):
+            yield rows(pa.concat_arrays([last[0]] * len(last[1])), *last[1:], kind)
+
+    return run
+
+
 def encode_with_tags_long(bags: DataFrame, vocab: DataFrame, tags: DataFrame, dim: int, mode: str = "binary",
                           rows: int | None = None) -> DataFrame:
     """Own index of an item (if known) plus its tag indices shifted by ``dim + 1``.
 
     Bags collapse to one row per entity and item first, so an entity then has at
     most as many rows as the dictionaries have items. Only those rows are
-    exchanged by entity; the longer expansion is summed where it is produced.
+    exchanged by entity, before small dictionaries are joined; the longer expansion
+    is summed entity by entity, as the rows of an entity follow one another.
     """
     weight = F.col("cnt") if "cnt" in bags.columns else F.lit(1)
     counted = bags.groupBy("entity", "item").agg(F.sum(weight).cast("bigint").alias("cnt"))
-    own = bounded(vocab.select("item", F.array("idx").alias("own")), rows)
-    known = counted.join(own, "item", "left").join(tags.select("item", "tags"), "item", "left")
+    own, more = vocab.select("item", F.array("idx").alias("own")), tags.select("item", "tags")
+    small = (rows <= BROADCAST_ROWS if rows is not None else is_small(own)) and is_small(more)
+    if small:
+        # Lists instead of a sort, which Catalyst would leave out below a join.
+        listed = counted.repartition("entity").groupBy("entity").agg(F.collect_list(F.struct("item", "cnt")).alias("rows"))
+        counted = listed.select("entity", F.inline("rows"))
+        own, more = F.broadcast(own), F.broadcast(more)
+    known = counted.join(bounded(own, rows), "item", "left").join(more, "item", "left")
     shifted = F.transform("tags", lambda t: t + F.lit(dim + 1))
     none = F.array().cast("array<int>")
     indices = F.concat(F.coalesce("own", none), F.coalesce(shifted, none))
-    together = known.filter(F.col("own").isNotNull() | F.col("tags").isNotNull()).repartition("entity")
-    return _collapse(unnest(together, indices, "entity", "cnt", name="idx"), mode)
+    together = known.filter(F.col("own").isNotNull() | F.col("tags").isNotNull()).select("entity", "cnt", indices.alias("indices"))
+    if not small:
+        together = together.repartition("entity").sortWithinPartitions("entity")
+    kinds = {f.name: f.dataType for f in together.schema}
+    schema = T.StructType([T.StructField("entity", kinds["entity"]), T.StructField("idx", kinds["indices"].elementType),
+                           T.StructField("val", T.DoubleType())])
+    return together.mapInArrow(_collapse_adjacent(mode == "binary"), schema)
 
 
 def to_vectors(encoded: DataFrame) -> DataFrame:

@@ -177,6 +177,36 @@ def test_encode_modes(spark):
     assert rows(vocab.encode_with_tags(data, words, tags, 2, "count")) == [("e", [1, 2, 3, 4], [2.0, 1.0, 2.0, 3.0]), ("f", [4], [1.0])]
 
 
+def test_tag_encoding_is_summed_entity_by_entity(spark, monkeypatch):
+    """No table of all pairs of entity and index, no tag lists in an exchange; the same result on either path."""
+    items = [(e, f"i{(e or 0) * 7 % 11 + k % 5}", k % 3 + 1) for e in [*range(40), None] for k in range(e or 9)] + [(3, None, 2), (4, "i1", None)]
+    data = spark.createDataFrame(items, "entity bigint, item string, cnt bigint")
+    words = spark.createDataFrame([(f"i{k}", k) for k in range(6)], "item string, idx int")
+    shown = {f"i{k}": [k % 4, 3, *([None] if k == 2 else [])] for k in range(3, 14)} | {"i0": None}
+    tags = spark.createDataFrame([*shown.items(), (None, [1])], "item string, tags array<int>")
+    want, seen = {}, set()
+    for entity, item, cnt in items:
+        for idx in [*([int(item[1:])] if item in {f"i{k}" for k in range(6)} else []), *(t + 7 for t in shown.get(item) or [] if t is not None)]:
+            seen.add((entity, idx))
+            if cnt is not None:
+                want[entity, idx] = want.get((entity, idx), 0.0) + cnt
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for small in (True, False):
+            monkeypatch.setattr(vocab, "is_small", lambda *_, small=small: small)
+            out = vocab.encode_with_tags_long(data, words, tags, 6, "count")
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            assert not [x for x in plan.splitlines() if "Aggregate" in x and "idx#" in x]
+            assert not small or plan.index("RepartitionByExpression") > plan.index("Join")
+            assert {(r.entity, r.idx): r.val for r in out.collect()} == {k: want.get(k) for k in seen}
+            found = vocab.encode_with_tags_long(data, words, tags, 6)
+            assert {tuple(r) for r in found.collect()} == {(*k, 1.0) for k in seen}
+            assert found.count() == len(seen) and found.dtypes == [("entity", "bigint"), ("idx", "int"), ("val", "double")]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_union_of_families_keeps_order(spark):
     first = spark.createDataFrame([("e", "1:1"), ("f", "2:1")], "entity string, features string")
     second = spark.createDataFrame([("e", "9:1")], "entity string, features string")
