@@ -25,6 +25,27 @@ def texts(spark, tmp_path):
     return str(tmp_path), docs
 
 
+def test_words_of_languages_are_not_exchanged(spark, texts):
+    folder, docs = texts
+    out = QUERIES["t2_vocab_top_families"](spark, folder)
+    above = plan(out).split("Generate")[0]
+    assert not [x for x in above.splitlines() if "Aggregate [" in x and "entity#" in x]
+    triples = {(lang, i, w, int(i % 3 > 0)) for i, text, lang in docs if lang and text for w in text.split(" ")}
+    assert {r.family for r in out.collect()} == {x[0] for x in triples}
+    for family in ("x", "y"):
+        mine = [x for x in triples if x[0] == family]
+        stats = {w: (sum(x[3] for x in mine if x[2] == w), sum(x[2] == w for x in mine)) for w in {x[2] for x in mine}}
+        pos, total = sum(x[3] for x in mine), len(mine)
+
+        def score(w):
+            def part(p, n):
+                return n / total * sum(-s * np.log(s + 1e-7) for s in (p / n, 1 - p / n))
+            p, n = stats[w]
+            return round(part(p, n) + part(pos - p, total - n), 12)
+        want = sorted(stats, key=lambda w: (score(w), w))
+        assert [r.item for r in sorted(out.collect(), key=lambda r: r.idx) if r.family == family] == want
+
+
 def test_equal_weights_exchange_sums_only(spark):
     rows = [(e, f"t{(e * 5 + k * k) % 17}" if k % 7 else None) for e in range(30) for k in range(e + 1)] + [(None, "t1")]
     tokens = spark.createDataFrame(rows, "entity bigint, token string").repartition(3)
