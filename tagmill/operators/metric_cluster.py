@@ -29,7 +29,9 @@ from tagmill.session import broadcast_if_small, checkpoint
 # make a cell crowded. They shape the partition only; results do not depend on them.
 PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS, CROWD = 256, 16, 4096, 4096
 # Components in a block of points, and cells of a distance matrix held at a time.
-BLOCK_VALUES, MATRIX = 1 << 21, 1 << 22
+BLOCK_VALUES, MATRIX = 1 << 21, 1 << 18
+# Pairs measured by differences at a time.
+DOUBTS = 1 << 14
 # Share by which the bounds of the triangle inequality are widened, so that rounding leaves out nothing.
 SLACK = 1e-7
 
@@ -46,13 +48,34 @@ def _away(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _near(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
-    """Pairs within ``eps``; those that the product form cannot tell apart are measured by differences."""
+    """Pairs within ``eps``; those that the product form cannot tell apart are measured by differences.
+
+    One product gives the squares. It is taken in single precision where its error, bounded by the
+    lengths of the vectors, leaves open only a thin band around ``eps``.
+    """
+    out = np.zeros((len(a), len(b)), bool)
+    if not out.size:
+        return out
     one, two = (a * a).sum(1), (b * b).sum(1)
-    square = one[:, None] + two[None] - 2 * (a @ b.T)
-    doubt = 1e-12 * (one[:, None] + two[None] + eps * eps)
-    out = square <= eps * eps
-    i, j = np.nonzero(np.abs(square - eps * eps) <= doubt)
-    out[i, j] = np.sqrt(((a[i] - b[j]) ** 2).sum(1)) <= eps
+    limit, scale = eps * eps, one.max() + two.max()
+    # Single precision: (components + 6) roundings of 2^-24 of at most twice the sum of squares.
+    doubt = (a.shape[1] + 6) * 2.0 ** -22 * scale
+    single = doubt <= 1e-3 * limit and 1e-12 < scale < 1e30
+    kind = np.float32 if single else np.float64
+    doubt = doubt if single else 1e-12 * (scale + limit)
+    left = np.concatenate([a, one[:, None], np.ones((len(a), 1))], axis=1).astype(kind)
+    right = np.concatenate([-2 * b, np.ones((len(b), 1)), two[:, None]], axis=1).astype(kind)
+    square = (left @ right.T).ravel()
+    found = np.flatnonzero(square <= limit + doubt)
+    if len(found):
+        sure = square[found] <= limit - doubt
+        flat = out.ravel()
+        flat[found[sure]] = True
+        unsure = found[~sure]
+        for at in range(0, len(unsure), DOUBTS):
+            part = unsure[at:at + DOUBTS]
+            i, j = np.divmod(part, len(b))
+            flat[part] = np.sqrt(((a[i] - b[j]) ** 2).sum(1)) <= eps
     return out
 
 
@@ -224,7 +247,9 @@ def _count(layout: _Layout) -> Callable:
         if len(left) and len(right):
             weight = left.column("w").to_numpy()
             for mine, who, near in _met(layout, left, right):
-                total[who] += near @ weight[mine]
+                asks, found = np.nonzero(near)
+                if len(asks):
+                    total[who] += np.bincount(asks, weight[mine][found], len(who)).astype(np.int64)
         return pa.table({"id": right.column("id").cast(pa.int64()), "c": pa.array(total, pa.int64())})
 
     return run

@@ -25,6 +25,22 @@ def texts(spark, tmp_path):
     return str(tmp_path), docs
 
 
+def test_pairs_are_measured_in_little_memory():
+    rng = np.random.default_rng(3)
+    for scale, width in ((1.0, 64), (1e-3, 5), (1e4, 64), (0.0, 3)):
+        a, b = (rng.normal(size=(n, width)) * scale for n in (90, 70))
+        b[:20] = a[:20]
+        away = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+        for eps in (np.median(away), away[3, 40], 1e-9):
+            assert (metric_cluster._near(a, b, eps) == (away <= eps)).all()
+    a, b = rng.normal(size=(1024, 64)), rng.normal(size=(256, 64))
+    tracemalloc.start()
+    metric_cluster._near(a, b, 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * 1024 * 256 * 8
+
+
 def test_words_of_languages_are_not_exchanged(spark, texts):
     folder, docs = texts
     out = QUERIES["t2_vocab_top_families"](spark, folder)
