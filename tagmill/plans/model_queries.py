@@ -125,16 +125,19 @@ def m5_train_score(t: Tables) -> DataFrame:
 @query("SELECT doc_id AS entity, TRUE AS same FROM documents")
 def s14_stored_model(t: Tables) -> DataFrame:
     """Vocabulary, vector builder and trees stored as one model: scores before and after loading, row by row."""
-    words = b.document_words(t)
-    chosen = checkpoint(selection.first_ranked(selection.entropy(b.word_triples(t)), 256))
-    vectors = model.vectorize(vocab.encode(words, chosen, rows=256), 256)
-    fitted = model.train(trainset.prepare(vectors, b.document_labels(t), unique=True))
+    labelled = b.word_triples(t)
+    chosen = checkpoint(selection.first_ranked(selection.entropy(labelled), 256))
+    # Only labelled documents train; written once, as training reads them several times.
+    vectors = model.vectorize(vocab.encode(labelled.select("entity", "item"), chosen, rows=256), 256)
+    fitted = model.train(checkpoint(trainset.prepare(vectors, b.document_labels(t), unique=True)))
     whole = model.bundle([r.item for r in chosen.orderBy("idx").collect()], fitted)
     path = _scratch(t)
     model.save_bundle(whole, path)
     rows = b.texts(t).select("entity", F.split(F.coalesce("text", F.lit("")), " ").alias("items"))
-    before, after = (model.score(m, rows) for m in (whole, model.load_bundle(path)))
-    both = before.join(after.withColumnRenamed("score", "again"), "entity")
+    # Both models score a text while it is at hand.
+    before = model.score(whole, rows, keep=("entity", "items")).withColumnRenamed("score", "again")
+    scored = checkpoint(model.score(model.load_bundle(path), before, keep=("entity", "again")))
+    both = scored.select("entity", "score").join(scored.select(F.col("entity").alias("other"), "again"), F.col("entity") == F.col("other"))
     return both.select("entity", ((F.col("score") == F.col("again")) & F.col("score").between(0, 1)).alias("same"))
 
 

@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pytest
 
-from tagmill.operators import metric_cluster, simhash
+from tagmill.operators import metric_cluster, model, simhash
 from tagmill.plans.catalogue import QUERIES
 
 
@@ -79,3 +79,11 @@ def test_documents_exchange_sums_only(spark, texts):
     for name in ("f5_simhash_documents", "f9_bits_to_indices"):
         below = plan(QUERIES[name](spark, texts[0])).split("MapInPandas")[1]
         assert "Aggregate" not in below and "Join" not in below
+
+
+def test_stored_model_splits_texts_once_for_both_scores(spark, texts, monkeypatch):
+    train = model.train
+    monkeypatch.setattr(model, "train", lambda df: train(df, rounds=1, depth=1))
+    out = QUERIES["s14_stored_model"](spark, texts[0])
+    assert "split(" not in plan(out)
+    assert {r.entity for r in out.collect()} == {d[0] for d in texts[1]}
