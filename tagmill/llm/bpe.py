@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import ahocorasick
 import pyarrow as pa
@@ -13,8 +14,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces of at most this length are remembered, up to this many at a time.
-CACHED_LENGTH, CACHED_PIECES = 64, 1 << 19
+# Pieces of at most this length are remembered, up to this many at a time in two halves, and answers on this many pairs
+# of tokens: some 50 MB a worker, however much it reads.
+CACHED_LENGTH, CACHED_PIECES, CACHED_PAIRS = 64, 1 << 18, 1 << 17
 # Longer texts are cut into pieces lazily.
 LONG_TEXT = 1 << 20
 GROUP = 1 << 15
@@ -30,27 +32,27 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
-def may_stand_together(left: int, right: int, merged: dict, parts: list) -> bool:
+def may_stand_together(left: int, right: int, tokens: list[bytes], rank_of: dict[bytes, int], lefts: array, rights: array) -> bool:
     """Whether BPE, given the bytes of both tokens, ends with exactly these two.
 
     Both tokens are taken apart, later merges first; if at some point the pieces
     that touch would have merged across the border before the next undoing, the
     pair cannot be what BPE produces.
     """
-    bound = len(parts)
+    bound = len(lefts)
     while True:
-        across = merged.get((left, right))
-        if across is not None and across < bound:
+        across = rank_of.get(tokens[left] + tokens[right], bound)
+        if across < bound and lefts[across] == left:
             return False
         undo_left = left > right
         for _ in range(2):
             if undo_left:
-                whole, left = left, parts[left][1]
+                whole, left = left, rights[left]
                 if left != whole:
                     bound = whole
                     break
             else:
-                whole, right = right, parts[right][0]
+                whole, right = right, lefts[right]
                 if right != whole:
                     bound = whole + 1
                     break
@@ -73,38 +75,40 @@ class Tables:
         self.tokens, self.rank_of = tokens, rank_of
         # The longest token that is a proper prefix of a token.
         self.shorter = [next((rank_of[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in rank_of), -1) for t in tokens]
-        self.merged: dict[tuple[int, int], int] = {}
-        self.parts: list[tuple[int, int]] = []
+        # The two tokens that merge into a token; itself twice if none do.
+        self.lefts, self.rights = array("i"), array("i")
         for i, token in enumerate(tokens):
-            self.parts.append((i, i))
+            self.lefts.append(i)
+            self.rights.append(i)
             left = self.shorter[i]
             while left >= 0:
                 right = rank_of.get(token[len(tokens[left]):], i)
-                if left < i and right < i and may_stand_together(left, right, self.merged, self.parts):
-                    self.parts[i] = (left, right)
-                    self.merged[left, right] = i
+                if left < i and right < i and may_stand_together(left, right, tokens, rank_of, self.lefts, self.rights):
+                    self.lefts[i], self.rights[i] = left, right
                     break
                 left = self.shorter[left]
 
     def plain(self) -> tuple:
-        """Plain values only. The two empty memos at the end live as long as a worker keeps the broadcast."""
-        return (self.automaton, self.tokens, self.rank_of, self.shorter, self.merged, self.parts,
-                [len(t) for t in self.tokens], {}, {})
+        """Plain values only. The three empty memos at the end live as long as a worker keeps the broadcast."""
+        return (self.automaton, self.tokens, self.rank_of, self.shorter, self.lefts, self.rights,
+                [len(t) for t in self.tokens], {}, {}, {})
 
 
 class Codec:
     """Encode and decode with the tables; one per task."""
 
     def __init__(self, plain: tuple, pattern: str):
-        (self.automaton, self.tokens, self.rank_of, self.shorter, self.merged, self.parts, self.sizes, self.fits,
-         self.known) = plain
+        (self.automaton, self.tokens, self.rank_of, self.shorter, self.lefts, self.rights, self.sizes, self.fits,
+         self.known, self.older) = plain
         self.pattern = regex.compile(pattern)
+        # Remembered ids are packed: two bytes each, or four for larger vocabularies.
+        self.code = "H" if len(self.tokens) <= 1 << 16 else "I"
 
     def _fit(self, left: int, right: int) -> bool:
-        key = (left, right)
-        if len(self.fits) >= 1 << 20:
+        if len(self.fits) >= CACHED_PAIRS:
             self.fits.clear()
-        fit = self.fits[key] = may_stand_together(left, right, self.merged, self.parts)
+        fit = may_stand_together(left, right, self.tokens, self.rank_of, self.lefts, self.rights)
+        self.fits[left << 32 | right] = fit
         return fit
 
     def encode_bytes(self, data: bytes) -> list[int]:
@@ -123,7 +127,7 @@ class Codec:
         while at < size:
             end = at + sizes[token]
             if alive[end]:
-                fit = last < 0 or fits.get((last, token))
+                fit = last < 0 or fits.get(last << 32 | token)
                 if fit is None:
                     fit = self._fit(last, token)
                 if fit:
@@ -140,12 +144,17 @@ class Codec:
                 last = out[-1] if out else -1
         return out
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
+        """Packed ids of a piece. Once half the memo is full it becomes the older half, whose pieces are kept if met again."""
         ids = self.known.get(piece)
         if ids is None:
-            ids = tuple(self.encode_bytes(piece.encode()))
+            ids = self.older.get(piece)
+            if ids is None:
+                ids = array(self.code, self.encode_bytes(piece.encode())).tobytes()
             if len(piece) <= CACHED_LENGTH:
-                if len(self.known) >= CACHED_PIECES:
+                if len(self.known) >= CACHED_PIECES // 2:
+                    self.older.clear()
+                    self.older.update(self.known)
                     self.known.clear()
                 self.known[piece] = ids
         return ids
@@ -161,8 +170,7 @@ class Codec:
             ids = list(map(self.known.get, some))
             if None in ids:
                 ids = [self._piece(piece) if known is None else known for piece, known in zip(some, ids, strict=True)]
-            ids = list(chain.from_iterable(ids))
-            yield ids
+            yield array(self.code, b"".join(ids)).tolist()
 
     def encode(self, text: str) -> list[int]:
         return [i for ids in self.groups(text) for i in ids]
@@ -177,9 +185,9 @@ def _digests(shared, pattern: str):
         digits = [str(i) for i in range(len(codec.tokens))]
         for batch in batches:
             counts, encoded, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(1):
                 n, ids_hash, bytes_hash, first = 0, hashlib.sha256(), hashlib.sha256(), True
-                for ids in codec.groups(text or ""):
+                for ids in codec.groups(text.as_py() or ""):
                     if ids:
                         ids_hash.update(("" if first else " ").encode() + " ".join(map(digits.__getitem__, ids)).encode())
                         bytes_hash.update(codec.decode(ids))
@@ -198,7 +206,7 @@ def _encoded(shared, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, pattern)
         for batch in batches:
-            ids = [codec.encode(text or "") for text in batch.column(1).to_pylist()]
+            ids = [codec.encode(text.as_py() or "") for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return run

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zipfile
 
 import duckdb
@@ -42,6 +43,36 @@ def test_bpe_equals_library(docs_of, edges):
     assert bpe.digests(edges.filter("false"), RANKS, PATTERN).count() == 0
 
 
+def test_bpe_memos_stay_small():
+    plain = bpe.Tables([bytes([i]) for i in range(256)]).plain()
+    codec = bpe.Codec(plain, r"\S+")
+    tracemalloc.start()
+    for i in range(300_000, 690_000, 1000):
+        codec.encode(" ".join(map(str, range(i, i + 1000))))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 50 << 20
+
+
+def test_bpe_ids_do_not_depend_on_memos(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 8)
+    monkeypatch.setattr(bpe, "CACHED_PAIRS", 4)
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={t: i for i, t in enumerate(ranks)}, special_tokens={})
+    r = random.Random(5)
+    parts = ["".join(r.choice("abetsé漢 ") for _ in range(r.randint(2, 12))) for _ in range(30)]
+    texts = ["".join(r.choices(parts, k=40)) for _ in range(100)]
+    # Vocabularies of more than 2^16 tokens pack their ids wider.
+    grown = [*ranks, *(b"\0\1" + str(i).encode() for i in range(1 << 16))]
+    for tokens in (ranks, grown):
+        plain = bpe.Tables(tokens).plain()
+        codec = bpe.Codec(plain, PATTERN)
+        for text in texts:
+            ids = codec.encode(text)
+            assert ids == library.encode_ordinary(text) and codec.decode(ids) == text.encode()
+            assert len(codec.known) + len(codec.older) <= 8 and len(codec.fits) <= 4
+    assert bpe.Codec(plain, r"(?s).+").encode("\0\x0165535") == [len(ranks) + 65535]
+
 def shingles(text):
     words = (text or "").encode().lower().split()
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
