@@ -9,18 +9,27 @@ is formed, however many they are. The triangle inequality decides most of what i
 * one farther than ``eps`` plus the radius is next to none of it,
 * a point can only have neighbours in cells whose border is within ``eps`` of it.
 
-Only what these leave open is compared, exactly, in bounded blocks of points. Crowded cells
-get more pivots of their own points. Equal vectors are one point with a weight.
+Only what these leave open is compared, exactly, in bounded blocks of points, and only as long
+as the answer is open. Points visit blocks in rounds, at first those around their own. One that
+weighs enough with the neighbours found so far is a core point and asks no more. Core points of
+one piece are not compared with each other, and those of the largest piece only answer: every
+pair that could still join two pieces has an end outside of it. So where points have many
+neighbours, each is compared with as many as it takes to find a few; where they have few, with
+all that the partition leaves open.
+
+Crowded cells get more pivots of their own points. Equal vectors are one point with a weight.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.session import broadcast_if_small, checkpoint
@@ -28,8 +37,11 @@ from tagmill.session import broadcast_if_small, checkpoint
 # Points per pivot that the first choice aims at, bounds of the number of pivots, and points outside of a ball that
 # make a cell crowded. They shape the partition only; results do not depend on them.
 PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS, CROWD = 256, 16, 4096, 4096
-# Components in a block of points, and cells of a distance matrix held at a time.
-BLOCK_VALUES, MATRIX = 1 << 21, 1 << 18
+# Components in a block of points, points that a block has at least before a small table is cut into more than one,
+# and cells of a distance matrix held at a time.
+BLOCK_VALUES, LEAST_BLOCK, MATRIX = 1 << 21, 1 << 12, 1 << 18
+# Distances to pivots held at a time, and partitions that blocks are dealt to beyond one for each group.
+AWAY, SPARE = 1 << 20, 256
 # Pairs measured by differences at a time.
 DOUBTS = 1 << 14
 # Share by which the bounds of the triangle inequality are widened, so that rounding leaves out nothing.
@@ -47,15 +59,13 @@ def _away(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * (a @ b.T), 0))
 
 
-def _near(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
-    """Pairs within ``eps``; those that the product form cannot tell apart are measured by differences.
+def _meeting(a: np.ndarray, b: np.ndarray, eps: float) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Pairs within ``eps`` of given rows of ``a`` and ``b``, as places in these; those that the product form cannot
+    tell apart are measured by differences.
 
     One product gives the squares. It is taken in single precision where its error, bounded by the
     lengths of the vectors, leaves open only a thin band around ``eps``.
     """
-    out = np.zeros((len(a), len(b)), bool)
-    if not out.size:
-        return out
     one, two = (a * a).sum(1), (b * b).sum(1)
     limit, scale = eps * eps, one.max() + two.max()
     # Single precision: (components + 6) roundings of 2^-24 of at most twice the sum of squares.
@@ -65,23 +75,34 @@ def _near(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
     doubt = doubt if single else 1e-12 * (scale + limit)
     left = np.concatenate([a, one[:, None], np.ones((len(a), 1))], axis=1).astype(kind)
     right = np.concatenate([-2 * b, np.ones((len(b), 1)), two[:, None]], axis=1).astype(kind)
-    square = (left @ right.T).ravel()
-    found = np.flatnonzero(square <= limit + doubt)
-    if len(found):
-        sure = square[found] <= limit - doubt
-        flat = out.ravel()
-        flat[found[sure]] = True
-        unsure = found[~sure]
+
+    def run(who: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        square = (left[who] @ right[mine].T).ravel()
+        found = np.flatnonzero(square <= limit + doubt)
+        i, j = np.divmod(found, len(mine))
+        unsure = np.flatnonzero(square[found] > limit - doubt)
+        if not len(unsure):
+            return i, j
+        keep = np.ones(len(found), bool)
         for at in range(0, len(unsure), DOUBTS):
             part = unsure[at:at + DOUBTS]
-            i, j = np.divmod(part, len(b))
-            flat[part] = np.sqrt(((a[i] - b[j]) ** 2).sum(1)) <= eps
+            keep[part] = np.sqrt(((a[who[i[part]]] - b[mine[j[part]]]) ** 2).sum(1)) <= eps
+        return i[keep], j[keep]
+
+    return run
+
+
+def _near(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    """Pairs within ``eps``."""
+    out = np.zeros((len(a), len(b)), bool)
+    if out.size:
+        out[_meeting(a, b, eps)(np.arange(len(a)), np.arange(len(b)))] = True
     return out
 
 
 @dataclass
 class _Layout:
-    """Pivots, balls and blocks; all arrays go by pivot."""
+    """Pivots, balls and blocks; all arrays but the last three go by pivot."""
 
     pivots: np.ndarray
     eps: float
@@ -92,26 +113,33 @@ class _Layout:
     group: np.ndarray   # balls known to be one cluster have one number
     first: np.ndarray   # first block of the ball (row 1) and of the other points (row 0)
     many: np.ndarray    # how many blocks they have
+    order: np.ndarray   # pivots in the order of their blocks
+    blocks: int         # how many blocks there are
+    balls: int          # first block of balls
 
-    def open(self, away: np.ndarray, home: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For points: cells to compare with, balls to compare with, and balls that surely are neighbours."""
-        loose = SLACK * (1 + away.max(initial=0.0))
-        border = away - away[np.arange(len(away)), home][:, None] <= 2 * self.eps + loose
-        others = (away <= self.eps + self.outer + loose) & border & (self.outer >= 0) & ~inside[:, None]
-        sure = self.dense & (away <= self.eps - self.inner - loose)
-        balls = self.dense & (away <= self.eps + self.inner + loose) & border & ~sure
-        # Points of a ball only tell whether their ball touches one of another cluster.
-        known = inside[:, None] & (self.group[home][:, None] == self.group[None])
-        return others, balls & ~known, sure & ~known
+    def open(self, away: np.ndarray, far: np.ndarray, cells: np.ndarray, balls: bool) -> np.ndarray:
+        """For points, distances to the pivots of ``cells`` and to their own: whose points, or balls, may be neighbours."""
+        loose = SLACK * (1 + max(away.max(initial=0.0), far.max(initial=0.0)))
+        border = away - far[:, None] <= 2 * self.eps + loose
+        if balls:
+            return self.dense[cells] & (away <= self.eps + self.inner[cells] + loose) & border
+        return (away <= self.eps + self.outer[cells] + loose) & border & (self.outer[cells] >= 0)
+
+    def sure(self, away: np.ndarray) -> np.ndarray:
+        """Balls that lie within the radius as a whole."""
+        return self.dense & (away <= self.eps - self.inner - SLACK * (1 + away.max(initial=0.0)))
 
 
 def _deal(pivots: np.ndarray, eps: float) -> Callable:
     """Cell, distance to its pivot, and whether the point is within ``eps / 2`` of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            away = _away(_matrix(batch.column("vec")), pivots)
-            cell = away.argmin(1) if len(batch) else np.empty(0, np.int64)
-            far = away[np.arange(len(batch)), cell]
+            code, cell, far = _matrix(batch.column("vec")), np.empty(len(batch), np.int64), np.empty(len(batch))
+            step = max(1, AWAY // len(pivots))
+            for at in range(0, len(batch), step):
+                away = _away(code[at:at + step], pivots)
+                cell[at:at + step] = away.argmin(1)
+                far[at:at + step] = away.min(1)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("id", "w", "vec")), pa.array(cell, pa.int32()), pa.array(far, pa.float64()),
                  pa.array(far <= eps / 2 * (1 - SLACK))], ["id", "w", "vec", "cell", "far", "inside"])
@@ -177,7 +205,7 @@ def _layout(pivots: np.ndarray, figures: dict, eps: float, min_pts: int, size: i
     # Cells next to one another share blocks; what is larger than a block gets several.
     top = _away(pivots, pivots[:16])
     order = np.lexsort((top.min(1), top.argmin(1)))
-    first, number, at, filled = np.zeros((2, many), np.int64), np.ones((2, many), np.int64), 0, 0
+    first, number, at, filled, edge = np.zeros((2, many), np.int64), np.ones((2, many), np.int64), 0, 0, [0, 0, 0]
     for kind in (0, 1):
         for c in order:
             n = rows[kind, c]
@@ -187,125 +215,265 @@ def _layout(pivots: np.ndarray, figures: dict, eps: float, min_pts: int, size: i
             at, filled = at + number[kind, c] - 1, filled + n
             if number[kind, c] > 1:
                 at, filled = at + 1, 0
-    return _Layout(pivots, eps, dense, ball, inner, outer, group, first, number)
+        # Balls and other points have blocks of their own.
+        at, filled = at + (filled > 0), 0
+        edge[kind + 1] = at
+    return _Layout(pivots, eps, dense, ball, inner, outer, group, first, number, order, int(edge[2]), int(edge[1]))
 
 
-_VISIT = "id bigint, core boolean, home int, inside boolean, vec array<double>, block bigint, ball bigint"
+_PLANNED = ("id bigint, w bigint, vec array<double>, cell int, far double, ball boolean, block int, comp bigint, "
+            "touched array<bigint>, blocks array<int>")
 
 
-def _visits(layout: _Layout) -> Callable:
-    """Blocks a point is compared in, and (without vector and block) balls it surely touches."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            away = _away(_matrix(batch.column("vec")), layout.pivots)
-            home = batch.column("cell").to_numpy().astype(np.int64)
-            inside = batch.column("inside").to_numpy(zero_copy_only=False).astype(bool) & layout.dense[home]
-            others, balls, sure = layout.open(away, home, inside)
-            rows, blocks = [], []
-            for kind, wanted in ((0, others), (1, balls)):
-                i, c = np.nonzero(wanted)
-                number = layout.many[kind, c]
-                rows.append(np.repeat(i, number))
-                start = np.repeat(layout.first[kind, c] - np.cumsum(number) + number, number)
-                blocks.append(start + np.arange(number.sum()))
-            both = np.unique(np.stack([np.concatenate(rows), np.concatenate(blocks)]), axis=1)
-            i, c = np.nonzero(sure)
-            # Balls that are one cluster count once.
-            _, one = np.unique(np.stack([i, layout.group[c]]), axis=1, return_index=True)
-            i, c = i[one], c[one]
-            taken = batch.take(pa.array(np.concatenate([both[0], i]), pa.int64()))
-            empty = np.concatenate([np.zeros(both.shape[1], bool), np.ones(len(i), bool)])
-            vec = pa.concat_arrays([taken.column("vec").slice(0, both.shape[1]), pa.nulls(len(i), taken.column("vec").type)])
-            yield pa.RecordBatch.from_arrays(
-                [taken.column("id"), taken.column("core"), taken.column("cell"),
-                 pa.array(np.concatenate([inside[both[0]], inside[i]])), vec,
-                 pa.array(np.concatenate([both[1], np.zeros(len(i), np.int64)]), pa.int64(), mask=empty),
-                 pa.array(np.concatenate([np.zeros(both.shape[1], np.int64), layout.ball[c]]), pa.int64(), mask=~empty)],
-                ["id", "core", "home", "inside", "vec", "block", "ball"])
+def _lists(which: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """For each row of ``which``, the values it marks."""
+    ends = np.concatenate([[0], np.cumsum(which.sum(1))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[which], kind))
 
-    return run
 
+def _plan(layout: _Layout) -> Callable:
+    """Whether a point is in a ball, its block and first piece, balls that it surely touches, one of each cluster, and
+    blocks to compare it with, from its own onwards.
 
-def _met(layout: _Layout, left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Point numbers of a block, point numbers that ask, and which pairs are neighbours; a part at a time."""
-    code, asking = _matrix(left.column("vec")), _matrix(right.column("vec"))
-    cell, part = left.column("cell").to_numpy(), left.column("part").to_numpy()
-    others, balls, _ = layout.open(_away(asking, layout.pivots), right.column("home").to_numpy().astype(np.int64),
-                                   right.column("inside").to_numpy().astype(bool))
-    for kind, wanted in ((0, others), (1, balls)):
-        for c in np.unique(cell[part == kind]):
-            mine, who = np.flatnonzero((cell == c) & (part == kind)), np.flatnonzero(wanted[:, c])
-            step = max(1, MATRIX // max(1, len(mine)))
-            for at in range(0, len(who), step):
-                now = who[at:at + step]
-                yield mine, now, _near(asking[now], code[mine], layout.eps)
+    Points of a ball only tell whether their ball touches one of another cluster.
+    """
+    runs = []
+    for kind in (0, 1):
+        firsts = layout.first[kind, layout.order]
+        start = np.flatnonzero(np.diff(firsts, prepend=-1))
+        runs.append((start, np.maximum.reduceat(layout.many[kind, layout.order], start)))
+    cells, rows = np.arange(len(layout.pivots)), max(1, AWAY // (len(layout.pivots) + layout.blocks))
+
+    def part(code: np.ndarray, home: np.ndarray, far: np.ndarray, ball: np.ndarray, own: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        away = _away(code, layout.pivots)
+        known = ball[:, None] & (layout.group[home][:, None] == layout.group[None])
+        sure = layout.sure(away)
+        wanted = (layout.open(away, far, cells, False) & ~ball[:, None], layout.open(away, far, cells, True) & ~sure & ~known)
+        # Cells that follow one another in one block, then the blocks of those that have several.
+        wanted = np.concatenate([np.repeat(np.logical_or.reduceat(w[:, layout.order], start, axis=1), many, axis=1)[:, :n]
+                                 for w, (start, many), n in zip(wanted, runs, (layout.balls, layout.blocks - layout.balls), strict=True)], axis=1)
+        turned = (own[:, None] + np.arange(layout.blocks)) % layout.blocks
+        i, c = np.nonzero(sure & ~known)
+        _, one = np.unique(np.stack([i, layout.group[c]]), axis=1, return_index=True)
+        touched = np.zeros(away.shape, bool)
+        touched[i[one], layout.group[c[one]]] = True
+        return (_lists(touched, np.broadcast_to(layout.ball, away.shape), pa.int64()),
+                _lists(np.take_along_axis(wanted, turned, 1), turned, pa.int32()))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), rows):
+                batch = whole.slice(at, rows)
+                home = batch.column("cell").to_numpy().astype(np.int64)
+                ball = batch.column("inside").to_numpy(zero_copy_only=False).astype(bool) & layout.dense[home]
+                own = layout.first[ball.astype(int), home] + batch.column("hash").to_numpy() % layout.many[ball.astype(int), home]
+                lists = part(_matrix(batch.column("vec")), home, batch.column("far").to_numpy(), ball, own)
+                comp = pc.if_else(pa.array(ball), pa.array(layout.ball[layout.group[home]], pa.int64()), batch.column("id"))
+                names = ["id", "w", "vec", "cell", "far"]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in names), pa.array(ball), pa.array(own, pa.int32()), comp, *lists],
+                    [*names, "ball", "block", "comp", "touched", "blocks"])
 
-def _count(layout: _Layout) -> Callable:
+    return run
+
+
+def _tiles(layout: _Layout, left: pa.Table, right: pa.Table, alive: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows that ask and rows of a block that may be neighbours, in bounded parts; who is not ``alive`` by then is passed over."""
+    asking, far, cell = _matrix(right.column("vec")), right.column("far").to_numpy(), left.column("cell").to_numpy()
+    balls = left.column("block")[0].as_py() >= layout.balls
+    high = max(1, math.isqrt(MATRIX) // 2)
+    wide, asks = max(1, MATRIX // high), np.argsort(right.column("cell").to_numpy(), kind="stable")
+    order = np.argsort(cell, kind="stable")
+    for at in range(0, len(order), wide):
+        mine = order[at:at + wide]
+        cells = np.unique(cell[mine])
+        step = max(high, AWAY // len(cells) // high * high)
+        todo = asks[alive[asks]]
+        for start in range(0, len(todo), step):
+            who = todo[start:start + step]
+            who = who[layout.open(_away(asking[who], layout.pivots[cells]), far[who], cells, balls).any(1)]
+            for s in range(0, len(who), high):
+                yield who[s:s + high], mine
+
+
+def _count(layout: _Layout, min_pts: int) -> Callable:
+    """What the neighbours in a block weigh, until it is enough with what was found before."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         total = np.zeros(len(right), np.int64)
         if len(left) and len(right):
-            weight = left.column("w").to_numpy()
-            for mine, who, near in _met(layout, left, right):
-                asks, found = np.nonzero(near)
+            weight, before = left.column("w").to_numpy(), right.column("c").to_numpy()
+            near, alive = _meeting(_matrix(right.column("vec")), _matrix(left.column("vec")), layout.eps), before < min_pts
+            for who, mine in _tiles(layout, left, right, alive):
+                asks, found = near(who, mine)
                 if len(asks):
                     total[who] += np.bincount(asks, weight[mine][found], len(who)).astype(np.int64)
+                    alive[who] = before[who] + total[who] < min_pts
         return pa.table({"id": right.column("id").cast(pa.int64()), "c": pa.array(total, pa.int64())})
 
     return run
 
 
+def _merged(piece: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pieces, each named by its smallest member, once the pieces ``a`` and ``b`` of each pair are one."""
+    while True:
+        low, high = np.minimum(piece[a], piece[b]), np.maximum(piece[a], piece[b])
+        if (low == high).all():
+            return piece
+        np.minimum.at(piece, high, low)
+        while (piece != (up := piece[piece])).any():
+            piece = up
+
+
 def _link(layout: _Layout) -> Callable:
-    """``a, b, border``: a spanning forest of what the core points of a block and the points that ask have to do with
-    each other; for border points one core point of each such piece."""
+    """``src, dst``: a spanning forest of what the core points of a block and those that ask there join.
+
+    Only what is not one piece yet is compared: who is outside of the piece that most of the points are in with all of
+    them, who is inside with the others.
+    """
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        src = dst = np.empty(0, np.int64)
         if len(left) and len(right):
-            def named(table: pa.Table, cell: str, inside: np.ndarray) -> np.ndarray:
-                return np.where(inside, layout.ball[table.column(cell).to_numpy()], table.column("id").to_numpy())
-
-            target = named(left, "cell", left.column("part").to_numpy() == 1)
-            asking = named(right, "home", right.column("inside").to_numpy().astype(bool))
-            core = right.column("core").to_numpy().astype(bool)
-            piece, seen = np.arange(len(left)), {}
-            for mine, who, near in _met(layout, left, right):
-                for k in np.flatnonzero(near.any(1)):
-                    q, hit = who[k], mine[near[k]]
-                    found = np.unique(piece[hit])
-                    if core[q] and (len(found) > 1 or q in seen):
-                        found = np.unique(np.concatenate([found, piece[seen.get(q, hit[:1])]]))
-                        piece[np.isin(piece, found)] = found[0]
-                    seen[q] = found[:1] if core[q] else np.unique(np.concatenate([found, seen.get(q, found)]))
-            for q, found in seen.items():
-                if core[q]:
-                    out.append((asking[q], target[piece[found[0]]], False))
-                else:
-                    out += [(asking[q], target[p], True) for p in np.unique(piece[found])]
-            moved = np.flatnonzero(piece != np.arange(len(piece)))
-            out += list({(target[i], target[piece[i]], False) for i in moved})
-        a, b, border = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "border": pa.array(border, pa.bool_())})
+            near, alive = _meeting(_matrix(right.column("vec")), _matrix(left.column("vec")), layout.eps), np.ones(len(right), bool)
+            names, at = np.unique(np.concatenate([left.column("comp").to_numpy(), right.column("comp").to_numpy()]), return_inverse=True)
+            target, asking = at[:len(left)], at[len(left):]
+            piece = np.arange(len(names))
+            for who, mine in _tiles(layout, left, right, alive):
+                here, there = piece[asking[who]], piece[target[mine]]
+                values, times = np.unique(there, return_counts=True)
+                most, moved = values[times.argmax()], False
+                for some, others in ((who[here != most], mine), (who[here == most], mine[there != most])):
+                    if len(some) and len(others):
+                        i, j = near(some, others)
+                        a, b = asking[some[i]], target[others[j]]
+                        if (piece[a] != piece[b]).any():
+                            piece, moved = _merged(piece, piece[a], piece[b]), True
+                if moved:
+                    whole = piece[target]
+                    if (whole == whole[0]).all():
+                        alive &= piece[asking] != whole[0]
+            apart = np.flatnonzero(piece != np.arange(len(piece)))
+            src, dst = names[apart], names[piece[apart]]
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
 
     return run
 
 
-def _blocks(layout: _Layout, targets: DataFrame, visits: DataFrame, run: Callable, schema: str, size: int) -> DataFrame:
-    """Apply ``run`` to each block with those that ask there, at most about ``size`` rows of either."""
-    ball = F.col("inside") & F.element_at(F.lit([bool(x) for x in layout.dense]), F.col("cell") + 1)
+def _border(layout: _Layout) -> Callable:
+    """The smallest cluster among the core points next to a point."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        none = np.iinfo(np.int64).max
+        best = np.full(len(right), none)
+        if len(left) and len(right):
+            cluster = left.column("cluster").to_numpy()
+            near, alive = _meeting(_matrix(right.column("vec")), _matrix(left.column("vec")), layout.eps), np.ones(len(right), bool)
+            for who, mine in _tiles(layout, left, right, alive):
+                asks, found = near(who, mine)
+                np.minimum.at(best, who[asks], cluster[mine[found]])
+        some = pa.array(best < none)
+        return pa.table({"id": right.column("id").cast(pa.int64()), "cluster": pa.array(best, pa.int64())}).filter(some)
+
+    return run
 
-    def of(values: np.ndarray) -> F.Column:
-        return F.when(ball, F.element_at(F.lit([int(x) for x in values[1]]), F.col("cell") + 1)).otherwise(
-            F.element_at(F.lit([int(x) for x in values[0]]), F.col("cell") + 1))
 
-    placed = targets.select("id", "w", "vec", "cell", F.when(ball, 1).otherwise(0).alias("part"),
-                            (of(layout.first) + F.pmod(F.xxhash64("id"), of(layout.many))).cast("bigint").alias("block"))
+def _by(values: list, at: Column) -> Column:
+    """The value at each place, counted from 0."""
+    return F.element_at(F.lit(values), at + 1)
+
+
+def _blocks(layout: _Layout, targets: DataFrame, asks: DataFrame, run: Callable, schema: str, size: int) -> DataFrame:
+    """Apply ``run`` to each block with those that ask there (their ``blocks``), at most about ``size`` rows of either."""
+    tally = {r.block: r["count"] for r in asks.select(F.explode("blocks").alias("block")).groupBy("block").count().collect()}
+    if not tally:
+        return targets.sparkSession.createDataFrame([], schema)
     # Blocks that many ask in are dealt out again; there are as many counts as blocks.
-    asks = visits.filter("block IS NOT NULL")
-    turns = checkpoint(asks.groupBy("block").agg(F.ceil(F.count("*") / size).alias("turns")))
-    turns = broadcast_if_small(turns)
-    left = placed.join(turns, "block").withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns") - 1)))
-    right = asks.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("id"), "turns").cast("bigint"))
-    return left.groupBy("block", "turn").cogroup(right.groupBy("block", "turn")).applyInArrow(run, schema)
+    turns = [-(-tally.get(b, 0) // size) for b in range(layout.blocks)]
+    groups = sum(turns)
+    parts = min(4 * groups, groups + SPARE)
+    left = targets.withColumn("turns", _by(turns, F.col("block"))).filter("turns > 0")
+    left = left.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("turns").cast("bigint") - 1))).drop("turns")
+    right = asks.withColumn("block", F.explode("blocks")).drop("blocks")
+    # Columns of the same table on both sides would be taken for one another.
+    right = right.select(*(F.col(c).alias(c) for c in right.columns), F.pmod(F.xxhash64("id"), _by(turns, F.col("block")).cast("bigint")).alias("turn"))
+    key = ("block", "turn")
+    return (left.repartition(parts, *key).groupBy(*key).cogroup(right.repartition(parts, *key).groupBy(*key)).applyInArrow(run, schema))
+
+
+def _rounds(layout: _Layout, size: int, full: int) -> Iterator[tuple[int, int]]:
+    """Places in the list of blocks that points visit together: those of a full block at first, then about twice as many."""
+    low, high = 0, max(1, full // size)
+    while low < layout.blocks:
+        # The caller may send the number of points that still ask: few of them visit all blocks at once.
+        few = yield low, high
+        low, high = high, layout.blocks if few else 2 * high + 1
+
+
+def _core(layout: _Layout, placed: DataFrame, min_pts: int, total: int, size: int, full: int) -> DataFrame:
+    """``placed`` with ``core`` and ``c``, what a point weighs with its neighbours; exact where it is not core."""
+    enough = (F.size("touched") > 0) | (F.col("w") >= min_pts)
+    plain = placed.filter("NOT ball AND id IS NOT NULL")
+    counts = plain.select("id", F.when(enough, F.lit(min_pts)).otherwise(0).cast("bigint").alias("c"))
+    asks = plain.filter(~enough).withColumn("c", F.lit(0).cast("bigint"))
+    targets = placed.select("id", "w", "vec", "cell", "block")
+    rounds = _rounds(layout, size, full)
+    low, high = next(rounds)
+    while True:
+        wanted = asks.select("id", "vec", "cell", "far", "c", F.slice("blocks", low + 1, high - low).alias("blocks"))
+        hits = _blocks(layout, targets, wanted, _count(layout, min_pts), "id bigint, c bigint", size)
+        counts = checkpoint(counts.unionByName(hits).groupBy("id").agg(F.sum("c").alias("c")))
+        if high >= layout.blocks:
+            break
+        left = counts.filter(F.col("c") < min_pts)
+        many = left.count()
+        if not many:
+            break
+        low, high = rounds.send(many * layout.blocks <= total)
+        asks = plain.join(broadcast_if_small(left), "id")
+    core = F.col("ball") | F.coalesce(F.col("c") >= min_pts, F.lit(False))
+    return checkpoint(placed.join(counts, "id", "left").withColumn("core", core))
+
+
+def _pieces(layout: _Layout, marked: DataFrame, total: int, size: int, full: int, connect: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Core points with ``comp``, the number of their piece."""
+    groups = layout.ball[layout.group]
+    core = marked.filter("core").select("id", "vec", "cell", "far", "block", "comp", "touched", "blocks")
+    links = core.select(F.col("comp").alias("src"), F.explode("touched").alias("dst")) if layout.dense.any() else None
+    spark, largest = marked.sparkSession, None
+    rounds = _rounds(layout, size, full)
+    low, high = next(rounds)
+    while True:
+        # A block need not be visited from the piece that all its points are in, and only balls must be from the largest.
+        skip = [largest] * layout.balls + [None] * (layout.blocks - layout.balls)
+        for b in range(layout.balls, layout.blocks):
+            inside = layout.dense & (layout.first[1] <= b) & (b < layout.first[1] + layout.many[1])
+            pieces = np.unique(groups[inside])
+            skip[b] = pieces[0].item() if len(pieces) == 1 else None
+        blocks = F.slice("blocks", low + 1, high - low)
+        if any(x is not None for x in skip):
+            known, piece = [x is not None for x in skip], [0 if x is None else x for x in skip]
+            blocks = F.filter(blocks, lambda b: ~_by(known, b) | (_by(piece, b).cast("bigint") != F.col("comp")))  # noqa: B023
+        asks = core.select("id", "vec", "cell", "far", "comp", blocks.alias("blocks"))
+        asks = asks.filter(F.size("blocks") > 0)
+        found = _blocks(layout, core.select("id", "vec", "cell", "block", "comp"), asks, _link(layout), "src bigint, dst bigint", size)
+        links = checkpoint((found if links is None else found.unionByName(links)).distinct())
+        moved = connect(links)
+        core = checkpoint(core.join(broadcast_if_small(moved.select(F.col("node").alias("comp"), "component")), "comp", "left")
+                          .withColumn("comp", F.coalesce("component", "comp")).drop("component"))
+        if high >= layout.blocks:
+            return core
+        wanted = [(int(x),) for x in {*groups[layout.dense], *([] if largest is None else [largest])}]
+        if wanted:
+            now = dict(spark.createDataFrame(wanted, "node bigint").join(moved, "node").collect())
+            groups = np.array([now.get(x, x) for x in groups.tolist()], np.int64)
+            largest = now.get(largest, largest)
+        if largest is None:
+            top = core.groupBy("comp").count().orderBy(F.desc("count"), "comp").first()
+            if top is None:
+                return core
+            largest = top.comp
+        links, many = None, core.filter(F.col("comp") != largest).count()
+        if not many:
+            return core
+        low, high = rounds.send(many * layout.blocks <= total)
 
 
 def clusters(points: DataFrame, eps: float, min_pts: int, connect: Callable[[DataFrame], DataFrame],
@@ -319,39 +487,22 @@ def clusters(points: DataFrame, eps: float, min_pts: int, connect: Callable[[Dat
     total, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
     if not total:
         return points.sparkSession.createDataFrame([], "id bigint, cluster bigint, kind int")
-    size = max(64, BLOCK_VALUES // max(1, width))
+    full = max(64, BLOCK_VALUES // max(1, width))
+    # A small table is cut finer, so that there are more blocks than cores.
+    size = min(full, max(LEAST_BLOCK, total // 16))
     pivots, dealt, figures = _divided(distinct, total, eps, min_pts)
     layout = _layout(pivots, figures, eps, min_pts, size)
-    dealt = checkpoint(dealt)
-    ball = F.col("inside") & F.element_at(F.lit([bool(x) for x in layout.dense]), F.col("cell") + 1)
-
-    # Points outside of balls: core if they touch all of a ball or weigh enough with their neighbours.
-    plain = dealt.filter(~ball).withColumn("core", F.lit(False))
-    asked = plain.mapInArrow(_visits(layout), _VISIT)
-    counted = (_blocks(layout, dealt, asked, _count(layout), "id bigint, c bigint", size)
-               .unionByName(asked.filter("ball IS NOT NULL").select("id", F.lit(min_pts).cast("bigint").alias("c")))
-               .groupBy("id").agg(F.sum("c").alias("c")).select("id", (F.col("c") >= min_pts).alias("core")))
-    marked = checkpoint(dealt.join(counted, "id", "left").withColumn("core", ball | F.coalesce("core", F.lit(False))))
-
-    visits = marked.mapInArrow(_visits(layout), _VISIT)
-    node = F.when(ball, F.element_at(F.lit([int(x) for x in layout.ball]), F.col("cell") + 1)).otherwise(F.col("id"))
-    home = F.element_at(F.lit([int(x) for x in layout.ball]), F.col("home") + 1)
-    sure = visits.filter("ball IS NOT NULL").select(F.when(F.col("inside"), home).otherwise(F.col("id")).alias("a"),
-                                                    F.col("ball").alias("b"), F.lit(False).alias("border"))
-    links = _blocks(layout, marked.filter("core"), visits, _link(layout), "a bigint, b bigint, border boolean", size)
-    spark = points.sparkSession
-    joined = [(int(layout.ball[i]), int(layout.ball[layout.group[i]]), False) for i in np.flatnonzero(layout.dense)]
-    links = checkpoint(links.unionByName(sure).unionByName(spark.createDataFrame(joined, "a bigint, b bigint, border boolean")).distinct())
-
-    linked = connect(links.filter("NOT border").select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    cores = marked.filter("core").select("id", node.alias("node"))
-    placed = cores.join(linked, "node", "left").select("id", "node", F.coalesce("component", "node").alias("component"))
-    placed = checkpoint(placed)
-    first = placed.groupBy("component").agg(F.min("id").alias("first_core"))
-    named = placed.join(number(first).select("component", "cluster"), "component").select("id", "node", "cluster")
-    named = checkpoint(named)
-    touched = (links.filter("border").join(named.select(F.col("node").alias("b"), "cluster").distinct(), "b")
-               .groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("cluster")))
+    placed = checkpoint(dealt.withColumn("hash", F.xxhash64("id")).mapInArrow(_plan(layout), _PLANNED))
+
+    marked = _core(layout, placed, min_pts, total, size, full)
+    core = _pieces(layout, marked, total, size, full, connect)
+    first = core.groupBy("comp").agg(F.min("id").alias("first_core")).withColumnRenamed("comp", "component")
+    named = checkpoint(core.withColumnRenamed("comp", "component").join(number(first).select("component", "cluster"), "component")
+                       .select("id", "vec", "cell", "block", "cluster"))
+    # Points that are not core, but not alone: the core points next to them.
+    loose = marked.filter("NOT core AND id IS NOT NULL AND c > w").select("id", "vec", "cell", "far", "blocks")
+    touched = (_blocks(layout, named, loose, _border(layout), "id bigint, cluster bigint", size)
+               .groupBy("id").agg(F.min("cluster").alias("cluster")))
     kinds = named.select("id", "cluster", F.lit(1).alias("kind")).unionByName(touched.select("id", "cluster", F.lit(0).alias("kind")))
     each = distinct.join(kinds, "id", "left").select("id", "w", "vec", F.coalesce("cluster", F.lit(0)).cast("bigint").alias("cluster"),
                                                      F.coalesce("kind", F.lit(-1)).alias("kind"))

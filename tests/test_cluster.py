@@ -135,3 +135,26 @@ def test_rows_without_a_place_are_noise(spark):
     assert sorted(map(tuple, cluster.dbscan(df, 1.0, 2).collect())) == [(1, 0, -1), (2, 0, -1), (3, 1, 1), (4, 1, 1), (5, 0, -1), (6, 0, -1)]
     empty = df.filter("id = 1")
     assert cluster.dbscan(empty, 1.0, 2, dims=5).count() == 1
+
+
+def test_long_vectors_visit_blocks_until_they_are_settled(spark, monkeypatch):
+    """Where points have many neighbours most visit few of the blocks; far pieces and lone points visit the others."""
+    for name, value in (("PER_PIVOT", 20), ("LEAST_PIVOTS", 4), ("BLOCK_VALUES", 64 * 5), ("MATRIX", 400)):
+        monkeypatch.setattr(metric_cluster, name, value)
+    visits, blocks = [], metric_cluster._blocks
+
+    def counted(layout, targets, asks, *rest):
+        visits.append((layout.blocks, asks.selectExpr("coalesce(sum(size(blocks)), 0)").first()[0]))
+        return blocks(layout, targets, asks, *rest)
+
+    monkeypatch.setattr(metric_cluster, "_blocks", counted)
+    points = uniform(11, 600, 5)
+    points.update({600 + i: (p[0] + 1.7, *p[1:]) for i, p in uniform(12, 60, 5).items()})
+    points.update({700 + i: (9.0 * i + 9, 0.0, 0.0, 0.0, 0.0) for i in range(5)})
+    points.update({710 + i: (0.5, 0.5, 0.5, 0.5, 1.25 + 0.55 * i) for i in range(4)})
+    expected = brute_force(points, 0.6, 4)
+    assert len({c for c, _ in expected.values()}) > 2 and {k for _, k in expected.values()} == {1, 0, -1}
+    assert run(spark, points, 0.6, 4) == expected
+    many = visits[0][0]
+    assert many >= 10 and len(visits) > 4
+    assert sum(n for _, n in visits) < 0.7 * many * len(points)

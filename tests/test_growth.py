@@ -3,6 +3,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagmill.operators import metric_cluster, model, simhash
@@ -87,3 +88,38 @@ def test_stored_model_splits_texts_once_for_both_scores(spark, texts, monkeypatc
     out = QUERIES["s14_stored_model"](spark, texts[0])
     assert "split(" not in plan(out)
     assert {r.entity for r in out.collect()} == {d[0] for d in texts[1]}
+
+
+def test_points_with_many_neighbours_are_compared_with_few(monkeypatch):
+    """Blocks of scattered points, each with hundreds of neighbours: a few decide about core points, and one joins a point to its piece."""
+    rng, pairs = np.random.default_rng(5), []
+    meeting = metric_cluster._meeting
+
+    def counted(a, b, eps):
+        near = meeting(a, b, eps)
+        return lambda who, mine: (pairs.append(len(who) * len(mine)), near(who, mine))[1]
+
+    monkeypatch.setattr(metric_cluster, "_meeting", counted)
+    monkeypatch.setattr(metric_cluster, "MATRIX", 1 << 12)
+    points, n = rng.random((3000, 8)), 3000
+    cell = (points[:, 0] * 4).astype(np.int32)
+    pivots = np.stack([points[cell == c].mean(0) for c in range(4)])
+    away = metric_cluster._away(points, pivots)
+    far = away[np.arange(n), cell]
+    outer = np.array([far[cell == c].max() for c in range(4)])
+    one = np.ones((2, 4), np.int64)
+    layout = metric_cluster._Layout(pivots, 0.7, np.zeros(4, bool), np.full(4, -1), np.zeros(4), outer, np.arange(4), 0 * one, one,
+                                    np.arange(4), 1, 1)
+    columns = {"id": np.arange(n), "w": np.ones(n, np.int64), "vec": pa.array(list(points)), "cell": cell, "far": far,
+               "block": np.zeros(n, np.int32), "c": np.zeros(n, np.int64), "comp": np.arange(n)}
+    table = pa.table(columns)
+    near = metric_cluster._near(points, points, 0.7)
+    pairs.clear()
+    found = metric_cluster._count(layout, 5)(table, table)
+    assert ((found["c"].to_numpy() >= 5) == (near.sum(1) >= 5)).all()
+    assert sum(pairs) < 0.3 * n * n
+    pairs.clear()
+    links = metric_cluster._link(layout)(table, table)
+    piece = metric_cluster._merged(np.arange(n), links["src"].to_numpy(), links["dst"].to_numpy())
+    want = metric_cluster._merged(np.arange(n), *np.nonzero(near))
+    assert (piece == want).all() and sum(pairs) < 0.3 * n * n
